@@ -1,0 +1,111 @@
+"""Delay bands and leading causes per airport and month."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from skyledger.functions import causes_text, delay_band, round2, top_causes
+from skyledger.functions.causes import CAUSES
+from skyledger.functions.flights import BAND_HIGH, BAND_LOW, BAND_MEDIUM
+
+# Cancellation code and minutes column that feed each total. No code stands for late aircraft.
+CAUSE_SOURCES = {
+    "carrier_val": ("A", "CARRIER_DELAY"),
+    "weather_val": ("B", "WEATHER_DELAY"),
+    "nas_val": ("C", "NAS_DELAY"),
+    "security_val": ("D", "SECURITY_DELAY"),
+    "late_aircraft_val": (None, "LATE_AIRCRAFT_DELAY"),
+}
+
+BANDS = [BAND_HIGH, BAND_LOW, BAND_MEDIUM]
+
+
+def _airport_month() -> list[Column]:
+    return [F.col("ORIGIN").alias("airport"), F.coalesce("MONTH", F.lit(0)).alias("month")]
+
+
+def _or_zero(name: str) -> Column:
+    return F.coalesce(F.col(name), F.lit(0.0))
+
+
+def _cause_sums() -> list[Column]:
+    """Minutes of each cause plus one for every flight cancelled for it."""
+    sums = []
+    for total, (code, minutes) in CAUSE_SOURCES.items():
+        value = _or_zero(minutes)
+        if code is not None:
+            for_code = (F.col("CANCELLED") == 1) & (F.col("CANCELLATION_CODE") == code)
+            value = value + F.when(for_code, 1.0).otherwise(0.0)
+        sums.append(F.sum(value).alias(total))
+    return sums
+
+
+def delay_band_stats(flights: DataFrame) -> DataFrame:
+    """Flights and average delays per (airport, month, band).
+
+    An unknown delay counts as 0 and an unknown month as month 0.
+    """
+    return flights.groupBy(*_airport_month(), delay_band("DEP_DELAY").alias("delay_band")).agg(
+        F.count("*").alias("flight_count"),
+        round2(F.avg(_or_zero("DEP_DELAY"))).alias("avg_dep_delay"),
+        round2(F.avg(_or_zero("ARR_DELAY"))).alias("avg_arr_delay"),
+    )
+
+
+def cause_totals(flights: DataFrame) -> DataFrame:
+    """One total per cause for each (airport, month)."""
+    return flights.groupBy(*_airport_month()).agg(*_cause_sums())
+
+
+def top_cause_rows(totals: DataFrame, k: int = 3) -> DataFrame:
+    """The ``k`` leading causes of each row of :func:`cause_totals`, one row per cause, with its place."""
+    placed = totals.select("airport", "month", F.posexplode(top_causes(k)).alias("at", "entry"))
+    return placed.select("airport", "month", (F.col("at") + 1).alias("place"), "entry.cause", "entry.impact")
+
+
+def delay_report(flights: DataFrame, k: int = 3) -> DataFrame:
+    """Bands of each (airport, month) beside its ``k`` leading causes.
+
+    The plain form joins :func:`delay_band_stats` with :func:`cause_totals`, which reads the flights
+    twice. Here one aggregate per (airport, month) holds the sums of every band and of every cause, and
+    the bands become rows afterwards: one scan, one shuffle, no join.
+    """
+    band = F.col("band")
+    per_band = []
+    for name in BANDS:
+        per_band += [
+            F.count_if(band == name).alias(f"{name}_count"),
+            F.sum(F.when(band == name, F.col("dep"))).alias(f"{name}_dep"),
+            F.sum(F.when(band == name, F.col("arr"))).alias(f"{name}_arr"),
+        ]
+    totals = (
+        flights.withColumns(
+            {"band": delay_band("DEP_DELAY"), "dep": _or_zero("DEP_DELAY"), "arr": _or_zero("ARR_DELAY")}
+        )
+        .groupBy(*_airport_month())
+        .agg(*per_band, *_cause_sums())
+    )
+    bands = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("delay_band"),
+                F.col(f"{name}_count").alias("flight_count"),
+                F.col(f"{name}_dep").alias("dep"),
+                F.col(f"{name}_arr").alias("arr"),
+            )
+            for name in BANDS
+        ]
+    )
+    rows = totals.select(
+        "airport", "month", causes_text(top_causes(k)).alias(f"top{k}_causes"), F.inline(bands)
+    ).filter(F.col("flight_count") > 0)
+    return rows.select(
+        "airport",
+        "month",
+        round2(F.col("arr") / F.col("flight_count")).alias("avg_arr_delay"),
+        round2(F.col("dep") / F.col("flight_count")).alias("avg_dep_delay"),
+        "delay_band",
+        "flight_count",
+        f"top{k}_causes",
+    ).orderBy("airport", "month", "delay_band")
