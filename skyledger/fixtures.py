@@ -6,9 +6,15 @@ text is plain SQL, so that another engine can derive the same rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.operators import clean_flights
+from skyledger.schemas import RAW_FLIGHTS
+from skyledger.session import scratch_dir
+from skyledger.sinks import write_clustered
+from skyledger.sources import read_flights
 
 RAW_FLIGHTS_SQL = """
 SELECT
@@ -66,14 +72,45 @@ def _tables(spark: SparkSession, sf_dir: str, names: list[str]) -> dict[str, Dat
     return {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in names}
 
 
-def raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+# Folders of derived tables, by application, input and table.
+_written: dict[tuple[str, str, str], str] = {}
+
+
+def _written_once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    """The folder of a derived table, which the first call of an application writes.
+
+    All queries then read a Parquet table, as they would in production, instead of each repeating the
+    joins below. It lies in the shared scratch folder, so it outlives lost executors.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _written:
+        path = f"{scratch_dir(spark)}/{name}"
+        write(path)
+        _written[key] = path
+    return _written[key]
+
+
+def derive_raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw flights, all text, with dirty values in every column."""
     return spark.sql(RAW_FLIGHTS_SQL, **_tables(spark, sf_dir, ["lineitem", "supplier", "nation", "part"]))
 
 
+def raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, as a written table."""
+    path = _written_once(spark, sf_dir, "raw", lambda p: derive_raw_flights(spark, sf_dir).write.parquet(p))
+    return spark.read.schema(RAW_FLIGHTS).parquet(path)
+
+
+def flights_path(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the cleaned flights, partitioned by YEAR and MONTH."""
+    return _written_once(
+        spark, sf_dir, "cleaned", lambda p: write_clustered(clean_flights(raw_flights(spark, sf_dir)), p)
+    )
+
+
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The cleaned flights."""
-    return clean_flights(raw_flights(spark, sf_dir))
+    """The cleaned flights, read from there."""
+    return read_flights(spark, flights_path(spark, sf_dir))
 
 
 def timings(spark: SparkSession, sf_dir: str) -> DataFrame:

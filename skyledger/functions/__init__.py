@@ -1,19 +1,17 @@
 from skyledger.functions.causes import causes_text, top_causes
 from skyledger.functions.flights import (
-    active_months,
     anomaly_label,
     clean_code,
     delay_band,
     flag_to_int,
     has_text,
     in_range,
-    month_bit,
+    parse_date,
     percent,
     round2,
 )
 
 __all__ = [
-    "active_months",
     "anomaly_label",
     "causes_text",
     "clean_code",
@@ -21,7 +19,7 @@ __all__ = [
     "flag_to_int",
     "has_text",
     "in_range",
-    "month_bit",
+    "parse_date",
     "percent",
     "round2",
     "top_causes",

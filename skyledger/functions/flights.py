@@ -30,6 +30,14 @@ def clean_code(name: str) -> Column:
     return F.coalesce(F.upper(F.trim(name)), F.lit(NO_CODE))
 
 
+def parse_date(name: str) -> Column:
+    """A date written as ``yyyy-MM-dd``; anything else gives NULL.
+
+    The cast alone would also take ``2024-1-5`` or ``2024``; a parse by pattern costs twice as much.
+    """
+    return F.when(F.col(name).rlike(r"^\d{4}-\d{2}-\d{2}$"), F.col(name).try_cast("date"))
+
+
 def in_range(name: str, low: float, high: float) -> Column:
     """NULL, or between the bounds, which belong to the range."""
     return F.col(name).isNull() | F.col(name).between(low, high)
@@ -58,19 +66,3 @@ def round2(value: Column) -> Column:
 def percent(part: Column, whole: Column) -> Column:
     """``part`` in percent of ``whole``, two decimals."""
     return round2(part / whole * 100)
-
-
-def month_bit(name: str = "MONTH") -> Column:
-    """The month as one bit of an int, so that ``bit_or`` collects a set of months.
-
-    ``collect_set`` would keep an object per group: it leaves code generation and falls back to sorting
-    its whole input beyond 128 groups per task. An int buffer stays in the hash aggregate. Months come
-    from ``F.month`` and so are 1 to 12; NULL stays NULL and is skipped by ``bit_or``.
-    """
-    return F.expr(f"shiftleft(1, {name})")
-
-
-def active_months(bits: Column) -> Column:
-    """The months in a ``bit_or`` of :func:`month_bit`, ascending; empty if there were none."""
-    months = F.array(*[F.when(bits.bitwiseAND(1 << m) != 0, m) for m in range(1, 13)])
-    return F.array_compact(months)

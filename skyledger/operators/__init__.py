@@ -1,4 +1,4 @@
-from skyledger.operators.airline_stats import airline_stats, airline_stats_text
+from skyledger.operators.airlines import airline_stats, airline_stats_text
 from skyledger.operators.anomalies import (
     airport_baseline,
     anomaly_ranking,
@@ -8,7 +8,7 @@ from skyledger.operators.anomalies import (
     worst_pairs,
 )
 from skyledger.operators.cleaning import clean_flights, cleaning_report
-from skyledger.operators.delay_report import cause_totals, delay_band_stats, delay_report, top_cause_rows
+from skyledger.operators.delays import cause_totals, delay_band_stats, delay_report, top_cause_rows
 from skyledger.operators.subsets import hashed_subset, make_subset
 from skyledger.operators.timings import consolidate_timings, speedup, timing_pivot, timing_totals
 

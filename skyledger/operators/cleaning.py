@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.functions import clean_code, flag_to_int, has_text, in_range
+from skyledger.functions import clean_code, flag_to_int, has_text, in_range, parse_date
 from skyledger.schemas import CAUSE_COLUMNS, DELAY_COLUMNS, RAW_COLUMNS
 
 # Minutes a delay of an operated flight may have, bounds included.
@@ -59,7 +59,7 @@ def range_filter(flights: DataFrame, low: float = MIN_DELAY, high: float = MAX_D
 
 def add_date_parts(flights: DataFrame) -> DataFrame:
     """FL_DATE as date (NULL if it is no date) with its month and year."""
-    dated = flights.withColumn("FL_DATE", F.try_to_date("FL_DATE", "yyyy-MM-dd"))
+    dated = flights.withColumn("FL_DATE", parse_date("FL_DATE"))
     return dated.withColumns({"MONTH": F.month("FL_DATE"), "YEAR": F.year("FL_DATE")})
 
 

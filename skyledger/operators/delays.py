@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.functions import causes_text, delay_band, round2, top_causes
 from skyledger.functions.causes import CAUSES
-from skyledger.functions.flights import BAND_HIGH, BAND_LOW, BAND_MEDIUM
 
 # Cancellation code and minutes column that feed each total. No code stands for late aircraft.
 CAUSE_SOURCES = {
@@ -18,8 +17,6 @@ CAUSE_SOURCES = {
     "late_aircraft_val": (None, "LATE_AIRCRAFT_DELAY"),
 }
 
-BANDS = [BAND_HIGH, BAND_LOW, BAND_MEDIUM]
-
 
 def _airport_month() -> list[Column]:
     return [F.col("ORIGIN").alias("airport"), F.coalesce("MONTH", F.lit(0)).alias("month")]
@@ -68,44 +65,26 @@ def delay_report(flights: DataFrame, k: int = 3) -> DataFrame:
     """Bands of each (airport, month) beside its ``k`` leading causes.
 
     The plain form joins :func:`delay_band_stats` with :func:`cause_totals`, which reads the flights
-    twice. Here one aggregate per (airport, month) holds the sums of every band and of every cause, and
-    the bands become rows afterwards: one scan, one shuffle, no join.
+    twice. Here the flights are aggregated once, per band, with the causes in the same pass; a month's
+    causes are the sum over its bands, of which there are at most three.
     """
-    band = F.col("band")
-    per_band = []
-    for name in BANDS:
-        per_band += [
-            F.count_if(band == name).alias(f"{name}_count"),
-            F.sum(F.when(band == name, F.col("dep"))).alias(f"{name}_dep"),
-            F.sum(F.when(band == name, F.col("arr"))).alias(f"{name}_arr"),
-        ]
-    totals = (
-        flights.withColumns(
-            {"band": delay_band("DEP_DELAY"), "dep": _or_zero("DEP_DELAY"), "arr": _or_zero("ARR_DELAY")}
-        )
-        .groupBy(*_airport_month())
-        .agg(*per_band, *_cause_sums())
+    whole_month = Window.partitionBy("airport", "month")
+    bands = flights.groupBy(*_airport_month(), delay_band("DEP_DELAY").alias("delay_band")).agg(
+        F.count("*").alias("flight_count"),
+        F.avg(_or_zero("ARR_DELAY")).alias("arr"),
+        F.avg(_or_zero("DEP_DELAY")).alias("dep"),
+        *_cause_sums(),
     )
-    bands = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("delay_band"),
-                F.col(f"{name}_count").alias("flight_count"),
-                F.col(f"{name}_dep").alias("dep"),
-                F.col(f"{name}_arr").alias("arr"),
-            )
-            for name in BANDS
-        ]
+    return (
+        bands.withColumns({total: F.sum(total).over(whole_month) for total in CAUSES})
+        .select(
+            "airport",
+            "month",
+            round2(F.col("arr")).alias("avg_arr_delay"),
+            round2(F.col("dep")).alias("avg_dep_delay"),
+            "delay_band",
+            "flight_count",
+            causes_text(top_causes(k)).alias(f"top{k}_causes"),
+        )
+        .orderBy("airport", "month", "delay_band")
     )
-    rows = totals.select(
-        "airport", "month", causes_text(top_causes(k)).alias(f"top{k}_causes"), F.inline(bands)
-    ).filter(F.col("flight_count") > 0)
-    return rows.select(
-        "airport",
-        "month",
-        round2(F.col("arr") / F.col("flight_count")).alias("avg_arr_delay"),
-        round2(F.col("dep") / F.col("flight_count")).alias("avg_dep_delay"),
-        "delay_band",
-        "flight_count",
-        f"top{k}_causes",
-    ).orderBy("airport", "month", "delay_band")
