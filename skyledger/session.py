@@ -7,23 +7,24 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Sized for large scans: fewer, bigger tasks keep the number of partial aggregates per key low, and
-# rebalanced writes aim at files of the advisory size. Adaptive execution merges what is too small.
+# For large scans: fewer, bigger tasks keep the number of partial aggregates per key low. Shuffles start
+# with many partitions, which adaptive execution merges, or splits if skewed, to the advisory size.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1000",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
 }
 
 
 def session(app_name: str) -> SparkSession:
-    """A session with :data:`SETTINGS`; what ``spark-submit`` or an existing session set stays as it is."""
-    submitted = SparkSession.getActiveSession()
-    if submitted is not None:
-        return submitted
-    builder = SparkSession.builder.appName(app_name)
-    spark = builder.getOrCreate()
+    """A session with :data:`SETTINGS`; what ``spark-submit`` set, and a session that runs already, stay as they are."""
+    running = SparkSession.getActiveSession()
+    if running is not None:
+        return running
+    spark = SparkSession.builder.appName(app_name).getOrCreate()
     given = {key for key, _ in spark.sparkContext.getConf().getAll()}
     for key, value in SETTINGS.items():
         if key not in given:

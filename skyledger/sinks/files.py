@@ -96,14 +96,15 @@ def export_csv(
     source: str,
     target: str,
     order: Sequence[str] = (),
-    skip_other_files: bool = False,
+    names: str | None = None,
     single_file_rows: int = SINGLE_FILE_ROWS,
 ) -> DataFrame:
-    """All Parquet files of a result folder as CSV; names that start with ``_`` or ``.`` are left out.
+    """All Parquet files of a result folder as CSV; returns the table that was exported.
 
-    With ``skip_other_files`` a file that is no Parquet file is passed over instead of an error.
-    Returns the table that was exported.
+    Names that start with ``_`` or ``.`` are left out. If other files lie there too, ``names`` is the
+    pattern of the wanted ones, such as ``*.parquet``. A damaged Parquet file is an error, not skipped.
     """
-    table = spark.read.option("ignoreCorruptFiles", skip_other_files).parquet(source)
+    reader = spark.read if names is None else spark.read.option("pathGlobFilter", names)
+    table = reader.parquet(source)
     write_csv(table, target, order, single_file_rows)
     return table

@@ -21,7 +21,7 @@ class Layout:
 
     @property
     def raw(self) -> str:
-        return self._at("user/bigdata/flight2024/raw/flights_2024.csv")
+        return self._at("data/raw/flights.csv")
 
     @property
     def cleaned(self) -> str:

@@ -1,0 +1,68 @@
+from __future__ import annotations
+
+from skyledger import operators as ops
+from skyledger.operators import make_subset
+from skyledger.schemas import AIRLINE_STATS
+from tests.support import dicts, flight_table, group, half_up, mean
+
+
+def brute_force(records):
+    result = []
+    for (airline, airport), members in group(records, lambda r: (r["OP_UNIQUE_CARRIER"], r["ORIGIN"])).items():
+        arrivals = [r["ARR_DELAY"] for r in members if r["ARR_DELAY"] is not None]
+        result.append(
+            {
+                "airline": airline,
+                "airport": airport,
+                "total_flights": len(members),
+                "min_arr_delay": min(arrivals, default=None),
+                "max_arr_delay": max(arrivals, default=None),
+                "avg_arr_delay": half_up(mean(arrivals)),
+                "cancellation_rate_pct": half_up(sum(r["CANCELLED"] for r in members) / len(members) * 100),
+                "active_months": sorted({r["MONTH"] for r in members if r["MONTH"] is not None}),
+            }
+        )
+    return sorted(result, key=lambda r: (r["airline"], r["airport"]))
+
+
+def test_schema(flights):
+    assert [(f.name, f.dataType.simpleString()) for f in ops.airline_stats(flights).schema] == [
+        (f.name, f.dataType.simpleString()) for f in AIRLINE_STATS
+    ]
+
+
+def test_against_brute_force(flights):
+    assert dicts(ops.airline_stats(flights)) == brute_force(dicts(flights))
+
+
+def test_null_delays_are_skipped_and_a_cancelled_flights_known_delay_counts(spark):
+    table = flight_table(
+        spark,
+        {"ARR_DELAY": 10.0},
+        {"ARR_DELAY": None, "CANCELLED": 1},
+        {"ARR_DELAY": 20.0, "CANCELLED": 1, "MONTH": 3},
+        {"ARR_DELAY": -4.0, "MONTH": None},
+    )
+    (row,) = dicts(ops.airline_stats(table))
+    assert (row["min_arr_delay"], row["max_arr_delay"], row["avg_arr_delay"]) == (-4.0, 20.0, 8.67)
+    assert (row["total_flights"], row["cancellation_rate_pct"], row["active_months"]) == (4, 50.0, [1, 3])
+
+
+def test_group_without_delay_or_month(spark):
+    (row,) = dicts(ops.airline_stats(flight_table(spark, {"ARR_DELAY": None, "CANCELLED": 1, "MONTH": None})))
+    assert (row["min_arr_delay"], row["max_arr_delay"], row["avg_arr_delay"]) == (None, None, None)
+    assert row["active_months"] == []
+
+
+def test_text_form(spark):
+    table = flight_table(spark, {"MONTH": 12}, {"MONTH": 2}, {"MONTH": 2})
+    (row,) = dicts(ops.airline_stats_text(ops.airline_stats(table)))
+    assert row["active_months"] == "2, 12"
+
+
+def test_doubling_changes_nothing_but_counts(flights):
+    once = dicts(ops.airline_stats(flights))
+    twice = dicts(ops.airline_stats(make_subset(flights, 200)))
+    for row in once:
+        row["total_flights"] *= 2
+    assert once == twice

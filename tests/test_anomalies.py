@@ -1,0 +1,141 @@
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from skyledger import operators as ops
+from skyledger.functions import anomaly_label, round2
+from skyledger.operators import cleaning, make_subset
+from skyledger.schemas import ANOMALY_RANKING
+from tests.support import blank, dicts, flight_table, group, half_up, mean, rows
+
+
+def delays(members, column):
+    return [r[column] for r in members if r["CANCELLED"] == 0 and r[column] is not None]
+
+
+def brute_force(records):
+    result = []
+    for airport, everyone in group([r for r in records if not blank(r["ORIGIN"])], lambda r: r["ORIGIN"]).items():
+        base = half_up(mean(delays(everyone, "DEP_DELAY")))
+        named = [r for r in everyone if not blank(r["OP_UNIQUE_CARRIER"])]
+        pairs = group(named, lambda r: r["OP_UNIQUE_CARRIER"])
+        averages = {a: half_up(mean(delays(m, "DEP_DELAY"))) for a, m in pairs.items()}
+        for airline, members in pairs.items():
+            own = averages[airline]
+            diff = None if own is None or base is None else half_up(own - base)
+            known = [v for v in averages.values() if v is not None]
+            label = "NELLA_NORMA"
+            if diff is not None and diff > 15:
+                label = "ANOMALO_PEGGIORE"
+            elif diff is not None and diff < -15:
+                label = "ANOMALO_MIGLIORE"
+            result.append(
+                {
+                    "airport": airport,
+                    "airline": airline,
+                    "flight_count": len(members),
+                    "avg_dep_delay": own or 0.0,
+                    "avg_arr_delay": half_up(mean(delays(members, "ARR_DELAY"))) or 0.0,
+                    "cancellation_rate_pct": half_up(sum(r["CANCELLED"] for r in members) / len(members) * 100.0),
+                    "airport_avg_dep_delay": base or 0.0,
+                    "airport_total_flights": len(everyone),
+                    "dep_delay_diff": diff or 0.0,
+                    "rank_in_airport": 1 + (len(known) if own is None else sum(v < own for v in known)),
+                    "anomaly_label": label,
+                }
+            )
+    return sorted(result, key=lambda r: (r["airport"], r["rank_in_airport"], r["airline"]))
+
+
+def plain_form(flights):
+    """Two aggregates of the flights and a join."""
+    joined = ops.pair_stats(flights).join(ops.airport_baseline(flights), "airport")
+    ranked = joined.withColumns(
+        {
+            "dep_delay_diff": round2(F.col("avg_dep_delay") - F.col("airport_avg_dep_delay")),
+            "rank_in_airport": ops.rank_in_airport(),
+        }
+    )
+    labelled = ranked.withColumn("anomaly_label", anomaly_label(F.col("dep_delay_diff")))
+    zeros = dict.fromkeys(["avg_dep_delay", "avg_arr_delay", "airport_avg_dep_delay", "dep_delay_diff"], 0.0)
+    return labelled.fillna(zeros)
+
+
+def test_schema(flights):
+    found = ops.anomaly_ranking(flights).schema
+    assert [(f.name, f.dataType) for f in found] == [(f.name, f.dataType) for f in ANOMALY_RANKING]
+
+
+def test_against_brute_force(flights):
+    assert dicts(ops.anomaly_ranking(flights)) == brute_force(dicts(flights))
+
+
+def test_uncleaned_rows_against_brute_force(raw):
+    """Rows without an airline count for their airport, but are not ranked."""
+    parsed = cleaning.parse_types(raw)
+    assert dicts(ops.anomaly_ranking(parsed)) == brute_force(dicts(parsed))
+
+
+def test_one_scan_equals_plain_form(raw, flights):
+    for table in (flights, cleaning.parse_types(raw)):
+        assert rows(ops.anomaly_ranking(table)) == rows(plain_form(table))
+
+
+def test_ties_share_a_place_and_null_is_last(spark):
+    averages = {"A": 1.0, "B": 2.0, "C": 2.0, "D": 3.0}
+    table = flight_table(
+        spark,
+        *[{"OP_UNIQUE_CARRIER": a, "DEP_DELAY": v} for a, v in averages.items()],
+        {"OP_UNIQUE_CARRIER": "E", "DEP_DELAY": None, "CANCELLED": 1},
+    )
+    found = {r["airline"]: r for r in dicts(ops.anomaly_ranking(table))}
+    assert [found[a]["rank_in_airport"] for a in "ABCDE"] == [1, 2, 2, 4, 5]
+    assert (found["E"]["avg_dep_delay"], found["E"]["dep_delay_diff"]) == (0.0, 0.0)
+    assert (found["E"]["anomaly_label"], found["E"]["cancellation_rate_pct"]) == ("NELLA_NORMA", 100.0)
+
+
+def test_airport_with_only_cancelled_flights(spark):
+    (row,) = dicts(ops.anomaly_ranking(flight_table(spark, {"DEP_DELAY": None, "CANCELLED": 1})))
+    assert (row["airport_avg_dep_delay"], row["rank_in_airport"], row["anomaly_label"]) == (0.0, 1, "NELLA_NORMA")
+
+
+def test_cancelled_flights_are_left_out_of_averages(spark):
+    table = flight_table(spark, {"DEP_DELAY": 10.0}, {"DEP_DELAY": 90.0, "CANCELLED": 1})
+    (row,) = dicts(ops.anomaly_ranking(table))
+    assert (row["avg_dep_delay"], row["flight_count"], row["cancellation_rate_pct"]) == (10.0, 2, 50.0)
+
+
+def test_difference_is_taken_between_rounded_averages(spark):
+    own = [{"OP_UNIQUE_CARRIER": "A", "DEP_DELAY": v} for v in (1.0, 1.0, 0.0)]
+    table = flight_table(spark, *own, {"OP_UNIQUE_CARRIER": "B", "DEP_DELAY": 0.0})
+    first = next(r for r in dicts(ops.anomaly_ranking(table)) if r["airline"] == "A")
+    assert (first["avg_dep_delay"], first["airport_avg_dep_delay"], first["dep_delay_diff"]) == (0.67, 0.5, 0.17)
+
+
+def test_label_distribution(flights):
+    ranking = ops.anomaly_ranking(flights)
+    found = dicts(ops.label_distribution(ranking))
+    assert sum(r["count"] for r in found) == ranking.count()
+    assert [r["count"] for r in found] == sorted((r["count"] for r in found), reverse=True)
+    assert len(found) == 3
+
+
+def test_worst_pairs(flights):
+    everyone = [r for r in dicts(ops.anomaly_ranking(flights)) if r["anomaly_label"] == "ANOMALO_PEGGIORE"]
+    everyone.sort(key=lambda r: (-r["dep_delay_diff"], r["airport"], r["airline"]))
+    columns = ["airline", "airport", "avg_dep_delay", "dep_delay_diff", "rank_in_airport"]
+    worst = ops.worst_pairs(ops.anomaly_ranking(flights))
+    assert worst.columns == columns
+    assert dicts(worst) == [{c: r[c] for c in columns} for r in everyone[:10]]
+
+
+def test_pairs_add_up_to_the_airport(flights):
+    sums = ops.anomaly_ranking(flights).groupBy("airport", "airport_total_flights").agg(F.sum("flight_count").alias("n"))
+    assert all(r["n"] == r["airport_total_flights"] for r in dicts(sums))
+
+
+def test_doubling_keeps_ranks_and_labels(flights):
+    def kept(table):
+        return rows(ops.anomaly_ranking(table).drop("flight_count", "airport_total_flights"))
+
+    assert kept(flights) == kept(make_subset(flights, 200))

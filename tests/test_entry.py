@@ -1,0 +1,30 @@
+from __future__ import annotations
+
+import pytest
+
+from __spark_entry__ import entry, oracle_sql, queries
+from skyledger.schemas import ANOMALY_RANKING
+from tests.check_oracle import compare, connect
+
+NO_SQL = {"subset_025", "subset_050", "subset_hashed_025"}
+
+
+@pytest.fixture(scope="module")
+def con(sf_dir):
+    return connect(sf_dir)
+
+
+def test_names():
+    assert set(queries()) - set(oracle_sql()) == NO_SQL
+    assert set(oracle_sql()) <= set(queries())
+
+
+def test_entry(spark):
+    result = entry(spark)
+    assert result.columns == ANOMALY_RANKING.names
+    assert result.count() > 0
+
+
+@pytest.mark.parametrize("name", list(queries()))
+def test_query_equals_its_sql(spark, con, sf_dir, name):
+    assert compare(spark, con, sf_dir, name) == ""

@@ -1,0 +1,77 @@
+from __future__ import annotations
+
+import math
+import struct
+
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from skyledger.operators import hashed_subset, make_subset
+from skyledger.operators.subsets import subset_label
+from tests.support import rows
+
+
+def test_labels():
+    assert [subset_label(p) for p in (25, 50, 100, 200)] == ["pct_025", "pct_050", "pct_100", "pct_200"]
+
+
+def test_identity(flights):
+    assert rows(make_subset(flights, 100)) == rows(flights)
+
+
+@pytest.mark.parametrize("percent", [200, 300])
+def test_copies(flights, percent):
+    expected = {row: n * percent // 100 for row, n in rows(flights).items()}
+    copies = make_subset(flights, percent)
+    assert copies.schema == flights.schema
+    assert rows(copies) == expected
+
+
+@pytest.mark.parametrize("percent", [25, 50])
+def test_sample(flights, percent):
+    total, sample = flights.count(), rows(make_subset(flights, percent))
+    share = percent / 100
+    assert abs(sum(sample.values()) - total * share) < 5 * math.sqrt(total * share * (1 - share))
+    assert not sample - rows(flights)
+    assert sample == rows(make_subset(flights, percent))
+    assert sample != rows(make_subset(flights, percent, seed=7))
+
+
+@pytest.mark.parametrize("percent", [0, -5, 150])
+def test_bad_percent(flights, percent):
+    with pytest.raises(ValueError):
+        make_subset(flights, percent)
+
+
+def value_bytes(value):
+    """A value as the hash function sees it."""
+    if isinstance(value, str):
+        return value.encode()
+    if isinstance(value, float):
+        return struct.pack("<d", value + 0.0)
+    if isinstance(value, int):
+        return struct.pack("<i", value)
+    return struct.pack("<i", value.toordinal() - 719163)
+
+
+def row_hash(row):
+    seed = 42
+    for value in row:
+        if value is not None:
+            seed = xxhash.xxh64_intdigest(value_bytes(value), seed)
+    return seed - (1 << 64) if seed >= 1 << 63 else seed
+
+
+def test_hashed_subset_against_brute_force(flights):
+    everyone = flights.collect()
+    kept = [r for r in everyone if row_hash(r) % 100 < 25]
+    found = hashed_subset(flights, 25)
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, kept))
+    assert 0.2 < len(kept) / len(everyone) < 0.3
+
+
+def test_hashed_subset_does_not_depend_on_layout(flights):
+    by_file = rows(hashed_subset(flights, 50))
+    assert by_file == rows(hashed_subset(flights.repartition(7), 50))
+    assert by_file == rows(hashed_subset(flights.orderBy(F.desc("ORIGIN")).coalesce(1), 50))
