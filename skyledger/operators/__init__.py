@@ -2,13 +2,14 @@ from skyledger.operators.airlines import airline_stats, airline_stats_text
 from skyledger.operators.anomalies import (
     airport_baseline,
     anomaly_ranking,
+    join_baseline,
     label_distribution,
     pair_stats,
     rank_in_airport,
     worst_pairs,
 )
 from skyledger.operators.cleaning import clean_flights, cleaning_report
-from skyledger.operators.delays import cause_totals, delay_band_stats, delay_report, top_cause_rows
+from skyledger.operators.delays import cause_totals, delay_band_stats, delay_report, join_causes, top_cause_rows
 from skyledger.operators.subsets import hashed_subset, make_subset
 from skyledger.operators.timings import consolidate_timings, speedup, timing_pivot, timing_totals
 
@@ -24,6 +25,8 @@ __all__ = [
     "delay_band_stats",
     "delay_report",
     "hashed_subset",
+    "join_baseline",
+    "join_causes",
     "label_distribution",
     "make_subset",
     "pair_stats",

@@ -45,13 +45,43 @@ def rank_in_airport() -> Column:
     return F.rank().over(by_delay)
 
 
+def _rank_and_label(pairs: DataFrame, threshold: float) -> DataFrame:
+    """The ranking's columns and order, from averages of pairs beside those of their airports.
+
+    Rank and label see a NULL average, the output shows it as 0.
+    """
+    diff = round2(F.col("avg_dep_delay") - F.col("airport_avg_dep_delay"))
+    ranked = pairs.withColumns({"dep_delay_diff": diff, "rank_in_airport": rank_in_airport()})
+
+    def shown(name: str) -> Column:
+        return F.coalesce(F.col(name), F.lit(0.0)).alias(name)
+
+    return ranked.select(
+        "airport",
+        "airline",
+        "flight_count",
+        shown("avg_dep_delay"),
+        shown("avg_arr_delay"),
+        "cancellation_rate_pct",
+        shown("airport_avg_dep_delay"),
+        "airport_total_flights",
+        shown("dep_delay_diff"),
+        "rank_in_airport",
+        anomaly_label(F.col("dep_delay_diff"), threshold).alias("anomaly_label"),
+    ).orderBy("airport", "rank_in_airport", "airline")
+
+
+def join_baseline(pairs: DataFrame, airports: DataFrame, threshold: float = 15.0) -> DataFrame:
+    """:func:`pair_stats` ranked against :func:`airport_baseline`, for tables that were computed apart."""
+    return _rank_and_label(pairs.join(airports, "airport"), threshold)
+
+
 def anomaly_ranking(flights: DataFrame, threshold: float = 15.0) -> DataFrame:
     """Every (airport, airline) against its airport's average.
 
-    The plain form joins :func:`pair_stats` with :func:`airport_baseline`, which reads the flights twice.
-    Here the flights are aggregated once, to sums and counts per pair; the airport's average comes from
-    the same sums. Both windows run over one row per airline of an airport, never over flights, and
-    share one shuffle. Rank and label see a NULL average, the output shows it as 0.
+    :func:`join_baseline` would read the flights twice. Here they are aggregated once, to sums and counts
+    per pair; the airport's average comes from the same sums. Both windows run over one row per airline
+    of an airport, never over flights, and share one shuffle.
     """
     whole_airport = Window.partitionBy("airport")
     sums = (
@@ -65,49 +95,24 @@ def anomaly_ranking(flights: DataFrame, threshold: float = 15.0) -> DataFrame:
             F.sum("CANCELLED").alias("cancelled"),
         )
     )
-    pairs = (
-        sums.withColumns(
-            {
-                "airport_dep_sum": F.sum("dep_sum").over(whole_airport),
-                "airport_dep_count": F.sum("dep_count").over(whole_airport),
-                "airport_total_flights": F.sum("flight_count").over(whole_airport),
-            }
-        )
-        .filter(has_text("airline"))
-        .select(
-            "airport",
-            "airline",
-            "flight_count",
-            round2(F.try_divide("dep_sum", "dep_count")).alias("avg_dep_delay"),
-            round2(F.col("arr_avg")).alias("avg_arr_delay"),
-            percent(F.col("cancelled"), F.col("flight_count")).alias("cancellation_rate_pct"),
-            round2(F.try_divide("airport_dep_sum", "airport_dep_count")).alias("airport_avg_dep_delay"),
-            "airport_total_flights",
-        )
-    )
-    ranked = pairs.withColumns(
+    with_airport = sums.withColumns(
         {
-            "dep_delay_diff": round2(F.col("avg_dep_delay") - F.col("airport_avg_dep_delay")),
-            "rank_in_airport": rank_in_airport(),
+            "airport_dep_sum": F.sum("dep_sum").over(whole_airport),
+            "airport_dep_count": F.sum("dep_count").over(whole_airport),
+            "airport_total_flights": F.sum("flight_count").over(whole_airport),
         }
     )
-
-    def shown(name: str) -> Column:
-        return F.coalesce(F.col(name), F.lit(0.0)).alias(name)
-
-    return ranked.select(
+    pairs = with_airport.filter(has_text("airline")).select(
         "airport",
         "airline",
         "flight_count",
-        shown("avg_dep_delay"),
-        shown("avg_arr_delay"),
-        "cancellation_rate_pct",
-        shown("airport_avg_dep_delay"),
+        round2(F.try_divide("dep_sum", "dep_count")).alias("avg_dep_delay"),
+        round2(F.col("arr_avg")).alias("avg_arr_delay"),
+        percent(F.col("cancelled"), F.col("flight_count")).alias("cancellation_rate_pct"),
+        round2(F.try_divide("airport_dep_sum", "airport_dep_count")).alias("airport_avg_dep_delay"),
         "airport_total_flights",
-        shown("dep_delay_diff"),
-        "rank_in_airport",
-        anomaly_label(F.col("dep_delay_diff"), threshold).alias("anomaly_label"),
-    ).orderBy("airport", "rank_in_airport", "airline")
+    )
+    return _rank_and_label(pairs, threshold)
 
 
 def label_distribution(ranking: DataFrame) -> DataFrame:

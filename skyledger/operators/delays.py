@@ -26,6 +26,14 @@ def _or_zero(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(0.0))
 
 
+def _band_averages() -> list[Column]:
+    return [
+        F.count("*").alias("flight_count"),
+        round2(F.avg(_or_zero("DEP_DELAY"))).alias("avg_dep_delay"),
+        round2(F.avg(_or_zero("ARR_DELAY"))).alias("avg_arr_delay"),
+    ]
+
+
 def _cause_sums() -> list[Column]:
     """Minutes of each cause plus one for every flight cancelled for it."""
     sums = []
@@ -43,11 +51,7 @@ def delay_band_stats(flights: DataFrame) -> DataFrame:
 
     An unknown delay counts as 0 and an unknown month as month 0.
     """
-    return flights.groupBy(*_airport_month(), delay_band("DEP_DELAY").alias("delay_band")).agg(
-        F.count("*").alias("flight_count"),
-        round2(F.avg(_or_zero("DEP_DELAY"))).alias("avg_dep_delay"),
-        round2(F.avg(_or_zero("ARR_DELAY"))).alias("avg_arr_delay"),
-    )
+    return flights.groupBy(*_airport_month(), delay_band("DEP_DELAY").alias("delay_band")).agg(*_band_averages())
 
 
 def cause_totals(flights: DataFrame) -> DataFrame:
@@ -61,30 +65,32 @@ def top_cause_rows(totals: DataFrame, k: int = 3) -> DataFrame:
     return placed.select("airport", "month", (F.col("at") + 1).alias("place"), "entry.cause", "entry.impact")
 
 
+def _with_causes_text(rows: DataFrame, k: int) -> DataFrame:
+    """The report's columns and order, from averages beside cause totals."""
+    return rows.select(
+        "airport",
+        "month",
+        "avg_arr_delay",
+        "avg_dep_delay",
+        "delay_band",
+        "flight_count",
+        causes_text(top_causes(k)).alias(f"top{k}_causes"),
+    ).orderBy("airport", "month", "delay_band")
+
+
+def join_causes(bands: DataFrame, totals: DataFrame, k: int = 3) -> DataFrame:
+    """:func:`delay_band_stats` beside :func:`cause_totals`, for tables that were computed apart."""
+    return _with_causes_text(bands.join(totals, ["airport", "month"], "left"), k)
+
+
 def delay_report(flights: DataFrame, k: int = 3) -> DataFrame:
     """Bands of each (airport, month) beside its ``k`` leading causes.
 
-    The plain form joins :func:`delay_band_stats` with :func:`cause_totals`, which reads the flights
-    twice. Here the flights are aggregated once, per band, with the causes in the same pass; a month's
-    causes are the sum over its bands, of which there are at most three.
+    :func:`join_causes` would read the flights twice. Here they are aggregated once, per band, with the
+    causes in the same pass; a month's causes are the sum over its bands, of which there are at most three.
     """
     whole_month = Window.partitionBy("airport", "month")
     bands = flights.groupBy(*_airport_month(), delay_band("DEP_DELAY").alias("delay_band")).agg(
-        F.count("*").alias("flight_count"),
-        F.avg(_or_zero("ARR_DELAY")).alias("arr"),
-        F.avg(_or_zero("DEP_DELAY")).alias("dep"),
-        *_cause_sums(),
-    )
-    return (
-        bands.withColumns({total: F.sum(total).over(whole_month) for total in CAUSES})
-        .select(
-            "airport",
-            "month",
-            round2(F.col("arr")).alias("avg_arr_delay"),
-            round2(F.col("dep")).alias("avg_dep_delay"),
-            "delay_band",
-            "flight_count",
-            causes_text(top_causes(k)).alias(f"top{k}_causes"),
-        )
-        .orderBy("airport", "month", "delay_band")
+        *_band_averages(), *_cause_sums()
     )
+    return _with_causes_text(bands.withColumns({total: F.sum(total).over(whole_month) for total in CAUSES}), k)

@@ -9,8 +9,10 @@ from pyspark.sql import SparkSession
 from skyledger.schemas import FLIGHTS, PARTITION_COLUMNS
 
 
-def create_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """Unless it exists; its own folder is in the warehouse if no location is given."""
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{place}")
 
 
 def create_flights_table(
