@@ -40,25 +40,33 @@ def arrays_as_text(table: DataFrame) -> DataFrame:
 
 
 def _in_files(table: DataFrame, order: Sequence[str], single_file_rows: int) -> DataFrame:
+    """The table in one partition if it is small enough, else in as many as its sort makes."""
     if table.count() <= single_file_rows:
         one = table.coalesce(1)
         return one.sortWithinPartitions(*order) if order else one
     return table.orderBy(*order) if order else table
 
 
+def _json(table: DataFrame, path: str) -> None:
+    table.write.mode("overwrite").json(path)
+
+
+def _csv(table: DataFrame, path: str) -> None:
+    arrays_as_text(table).write.mode("overwrite").option("header", True).csv(path)
+
+
 def write_json(
     table: DataFrame, path: str, order: Sequence[str] = (), single_file_rows: int = SINGLE_FILE_ROWS
 ) -> None:
     """JSON lines. Reads ``table`` twice, to count and to write: give it a saved result, not a query."""
-    _in_files(table, order, single_file_rows).write.mode("overwrite").json(path)
+    _json(_in_files(table, order, single_file_rows), path)
 
 
 def write_csv(
     table: DataFrame, path: str, order: Sequence[str] = (), single_file_rows: int = SINGLE_FILE_ROWS
 ) -> None:
     """CSV with header, arrays as text. Reads ``table`` twice, as :func:`write_json` does."""
-    text = arrays_as_text(_in_files(table, order, single_file_rows))
-    text.write.mode("overwrite").option("header", True).csv(path)
+    _csv(_in_files(table, order, single_file_rows), path)
 
 
 def write_report(
@@ -71,8 +79,9 @@ def write_report(
     """
     report.write.mode("overwrite").parquet(f"{path}/parquet")
     saved = report.sparkSession.read.schema(report.schema).parquet(f"{path}/parquet")
-    write_json(saved, f"{path}/json", order, single_file_rows)
-    write_csv(saved, f"{path}/csv", order, single_file_rows)
+    in_files = _in_files(saved, order, single_file_rows)
+    _json(in_files, f"{path}/json")
+    _csv(in_files, f"{path}/csv")
     return saved
 
 
