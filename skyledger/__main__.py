@@ -6,8 +6,9 @@ import argparse
 from collections.abc import Sequence
 
 from skyledger.operators import label_distribution, worst_pairs
-from skyledger.plans import REPORTS, run_cleaning, run_report, run_subsets, run_timings
+from skyledger.plans import REPORTS, run_cleaning, run_report, run_report_table, run_subsets, run_timings
 from skyledger.session import session
+from skyledger.sinks import export_csv
 from skyledger.sources import Layout
 
 
@@ -28,13 +29,21 @@ def _parser() -> argparse.ArgumentParser:
         report = command(name, "write this report")
         report.add_argument("--subset", default=None, help="pct_025 and the like; the full table if left out")
         report.add_argument("--environment", default=None, help="name of this cluster in the run time log")
+        report.add_argument("--database", default=None, help="run on catalog tables of this database instead")
     command("timings", "run time log as one CSV")
+    export = commands.add_parser("export", help="a folder of Parquet files as CSV")
+    export.add_argument("source")
+    export.add_argument("target")
+    export.add_argument("--names", default=None, help="pattern of the wanted file names, e.g. *.parquet")
     return parser
 
 
 def main(argv: Sequence[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = session(f"skyledger-{args.command}")
+    if args.command == "export":
+        export_csv(spark, args.source, args.target, names=args.names)
+        return
     layout = Layout(args.base)
     if args.command == "clean":
         run_cleaning(spark, layout, *args.raw).show()
@@ -43,7 +52,10 @@ def main(argv: Sequence[str] | None = None) -> None:
     elif args.command == "timings":
         run_timings(spark, layout).show(50)
     else:
-        result = run_report(spark, layout, args.command, args.subset, args.environment)
+        if args.database:
+            result = run_report_table(spark, layout, args.command, args.database, args.subset)
+        else:
+            result = run_report(spark, layout, args.command, args.subset, args.environment)
         result.show(10, truncate=False)
         if args.command == "anomaly_ranking":
             label_distribution(result).show()

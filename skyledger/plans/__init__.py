@@ -1,3 +1,10 @@
-from skyledger.plans.jobs import REPORTS, run_cleaning, run_report, run_subsets, run_timings
+from skyledger.plans.jobs import (
+    REPORTS,
+    run_cleaning,
+    run_report,
+    run_report_table,
+    run_subsets,
+    run_timings,
+)
 
-__all__ = ["REPORTS", "run_cleaning", "run_report", "run_subsets", "run_timings"]
+__all__ = ["REPORTS", "run_cleaning", "run_report", "run_report_table", "run_subsets", "run_timings"]

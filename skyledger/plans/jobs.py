@@ -18,8 +18,25 @@ from skyledger.operators import (
     make_subset,
 )
 from skyledger.operators.subsets import subset_label
-from skyledger.sinks import append_timing, write_clustered, write_csv, write_partitioned, write_report
-from skyledger.sources import Layout, count_rows, read_flights, read_raw_csv, read_timings
+from skyledger.sinks import (
+    append_timing,
+    create_result_table,
+    overwrite_result,
+    write_clustered,
+    write_csv,
+    write_partitioned,
+    write_report,
+)
+from skyledger.sources import (
+    Layout,
+    count_rows,
+    create_database,
+    create_flights_table,
+    find_partitions,
+    read_flights,
+    read_raw_csv,
+    read_timings,
+)
 from skyledger.sources.layout import subset_name
 
 
@@ -78,6 +95,20 @@ def run_report(
     return saved.orderBy(*report.order)
 
 
+def run_report_table(
+    spark: SparkSession, layout: Layout, name: str, database: str, subset: str | None = None
+) -> DataFrame:
+    """One report from a catalog table over the flights' files into a result table; returns that table."""
+    report, label = REPORTS[name], subset_name(subset)
+    source, target = f"{database}.flights_{label}", f"{database}.{name}_{label}"
+    create_database(spark, database)
+    create_flights_table(spark, source, layout.flights(subset))
+    find_partitions(spark, source)
+    result = report.query(spark.table(source))
+    create_result_table(spark, target, result.schema, f"{layout.output(report.job, subset)}/table")
+    return overwrite_result(result, target).orderBy(*report.order)
+
+
 def run_timings(spark: SparkSession, layout: Layout) -> DataFrame:
     """The whole run time log as one sorted CSV."""
     log = read_timings(spark, layout.timings)

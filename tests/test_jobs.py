@@ -4,7 +4,7 @@ import glob
 
 import pytest
 
-from skyledger import fixtures
+from skyledger import fixtures, sinks
 from skyledger import operators as ops
 from skyledger.__main__ import main
 from skyledger.plans import REPORTS
@@ -48,6 +48,24 @@ def test_command_line_from_csv_to_timings(spark, base, flights, capsys):
         assert len(lines.readlines()) == 1 + len(log)
 
 
+def test_reports_on_catalog_tables(spark, base, flights):
+    layout = Layout(base)
+    sinks.write_clustered(flights, layout.flights("pct_100"))
+    for name, report in REPORTS.items():
+        main([name, "--base", base, "--subset", "pct_100", "--database", "job_db"])
+        table = spark.table(f"job_db.{name}_pct_100")
+        assert rows(table) == rows(report.query(flights))
+        assert table.count() == spark.read.parquet(f"{layout.output(report.job, 'pct_100')}/table").count()
+
+
+def test_export(spark, flights, tmp_path):
+    stats = ops.airline_stats(flights)
+    stats.write.parquet(str(tmp_path / "stats"))
+    main(["export", str(tmp_path / "stats"), str(tmp_path / "csv"), "--names", "*.parquet"])
+    text = ops.airline_stats_text(stats)
+    assert rows(spark.read.schema(text.schema).csv(str(tmp_path / "csv"), header=True)) == rows(text)
+
+
 def test_unknown_command():
     with pytest.raises(SystemExit):
         main(["dance", "--base", "x"])
