@@ -22,7 +22,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from skyledger import fixtures, sinks  # noqa: E402
 from skyledger import operators as ops  # noqa: E402
 from skyledger.plans import REPORTS, run_cleaning, run_report  # noqa: E402
-from skyledger.session import SETTINGS  # noqa: E402
 from skyledger.sources import Layout, read_flights  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -52,7 +51,6 @@ def main() -> None:
             .config("spark.driver.memory", "16g")
             .config("spark.sql.shuffle.partitions", CPUS)
             .config("spark.sql.session.timeZone", "UTC")
-            .config("spark.sql.maxConcurrentOutputFileWriters", SETTINGS["spark.sql.maxConcurrentOutputFileWriters"])
             .config("spark.ui.enabled", "false")
             .config("spark.ui.showConsoleProgress", "false")
             .config("spark.checkpoint.dir", f"{folder}/shared")
