@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import time
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
@@ -17,6 +18,7 @@ from skyledger.operators import (
     delay_report,
     make_subset,
 )
+from skyledger.operators.cleaning import missing_columns
 from skyledger.operators.subsets import subset_label
 from skyledger.sinks import (
     append_timing,
@@ -39,6 +41,8 @@ from skyledger.sources import (
 )
 from skyledger.sources.layout import subset_name
 
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class Report:
@@ -63,6 +67,8 @@ def run_cleaning(spark: SparkSession, layout: Layout, *raw_paths: str) -> DataFr
     second read, but they go wrong when Spark repeats a lost task.
     """
     raw = read_raw_csv(spark, *(raw_paths or (layout.raw,)))
+    if missing := missing_columns(raw):
+        log.warning("columns not found and left out: %s", ", ".join(missing))
     write_clustered(clean_flights(raw), layout.cleaned)
     return cleaning_report(raw)
 
@@ -111,6 +117,6 @@ def run_report_table(
 
 def run_timings(spark: SparkSession, layout: Layout) -> DataFrame:
     """The whole run time log as one sorted CSV."""
-    log = read_timings(spark, layout.timings)
-    write_csv(log, layout.timings_report, ("job", "subset", "technology", "environment", "elapsed_seconds"))
-    return consolidate_timings(log)
+    entries = read_timings(spark, layout.timings)
+    write_csv(entries, layout.timings_report, ("job", "subset", "technology", "environment", "elapsed_seconds"))
+    return consolidate_timings(entries)

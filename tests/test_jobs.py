@@ -9,7 +9,7 @@ from skyledger import operators as ops
 from skyledger.__main__ import main
 from skyledger.plans import REPORTS
 from skyledger.sources import Layout, read_flights, read_timings
-from tests.support import dicts, rows
+from tests.support import dicts, raw_table, rows
 
 
 @pytest.fixture(scope="module")
@@ -58,6 +58,12 @@ def test_reports_on_catalog_tables(spark, base, flights):
         assert table.count() == spark.read.parquet(f"{layout.output(report.job, 'pct_100')}/table").count()
 
 
+def test_missing_columns_are_named(spark, tmp_path, caplog):
+    raw_table(spark, {}).drop("DEST", "NAS_DELAY").write.option("header", True).csv(str(tmp_path / "raw"))
+    main(["clean", "--base", str(tmp_path), "--raw", str(tmp_path / "raw")])
+    assert "columns not found and left out: DEST, NAS_DELAY" in caplog.text
+
+
 def test_export(spark, flights, tmp_path):
     stats = ops.airline_stats(flights)
     stats.write.parquet(str(tmp_path / "stats"))
