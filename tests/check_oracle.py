@@ -66,14 +66,15 @@ def main() -> int:
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
-    failed = 0
+    counts = Counter()
     for name in names:
         started = time.monotonic()
         problem = compare(spark, con, sf_dir, name)
-        failed += bool(problem)
-        print(f"{name:28} {time.monotonic() - started:6.2f}s {'differs: ' + problem if problem else 'equal'}", flush=True)
-    print(f"{len(names) - failed} of {len(names)} equal")
-    return failed
+        verdict = "differs" if problem else "equal" if name in oracle_sql() else "has rows, no SQL"
+        counts[verdict] += 1
+        print(f"{name:28} {time.monotonic() - started:6.2f}s {verdict} {problem}".rstrip(), flush=True)
+    print(", ".join(f"{n} {verdict}" for verdict, n in counts.items()))
+    return counts["differs"]
 
 
 if __name__ == "__main__":
