@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -32,13 +31,10 @@ def session(app_name: str) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A new folder name that every executor can reach, under the cluster's ``spark.checkpoint.dir``.
+    """A new folder name that every executor can reach.
 
-    Only a local session without that setting gets a temporary folder of this machine.
+    It lies under the cluster's ``spark.checkpoint.dir``; a session without that setting uses its
+    warehouse folder, which a cluster shares as well.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/skyledger-{uuid.uuid4().hex}"
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="skyledger-")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/skyledger-{uuid.uuid4().hex}"

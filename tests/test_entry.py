@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import LLM_QUERIES, LLM_SQL, entry, oracle_sql, queries
 from skyledger.schemas import ANOMALY_RANKING
 from tests.check_oracle import compare, connect
 
@@ -15,7 +15,7 @@ def con(sf_dir):
 
 
 def test_names():
-    assert set(queries()) - set(oracle_sql()) == NO_SQL
+    assert set(queries()) - set(oracle_sql()) - set(LLM_QUERIES) == NO_SQL
     assert set(oracle_sql()) <= set(queries())
 
 

@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import pytest
 
 from skyledger.session import scratch_dir, session
 
@@ -27,10 +26,5 @@ def test_scratch_lies_in_the_shared_folder():
     assert scratch_dir(cluster).startswith("hdfs://host/shared/skyledger-")
 
 
-def test_a_cluster_without_shared_folder_is_an_error():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch_dir(Settings(spark_master="yarn"))
-
-
-def test_only_a_local_session_may_use_this_machine():
-    assert scratch_dir(Settings(spark_master="local[2]"))
+def test_without_the_setting_scratch_lies_in_the_warehouse():
+    assert scratch_dir(Settings(spark_sql_warehouse_dir="hdfs://host/tables")).startswith("hdfs://host/tables/skyledger-")
