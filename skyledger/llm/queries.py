@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import sharding
+from skyledger.llm import mixing, sharding
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -19,6 +19,19 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, size, source_size, target, taken, copies of every document."""
+    docs = _read(spark, sf_dir, "documents")
+    return mixing.with_copies(docs, mixing.mixing_plan(docs)).select(
+        "doc_id",
+        F.col("_size").alias("size"),
+        F.col("_source_size").alias("source_size"),
+        F.col("_target").alias("target"),
+        (F.col("_copies") * F.col("_size")).alias("taken"),
+        F.col("_copies").alias("copies"),
+    )
+
+
 # Buckets of all depths, then the shallowest that fits. Ids are unique in the given tables, so that no
 # bucket needs pieces.
 SHARDING_SQL = f"""
@@ -37,5 +50,5 @@ SELECT doc_id, n_bytes, depth,
 FROM keyed JOIN fitting USING (k)
 """
 
-QUERIES = {"op7_sharding": op7_sharding}
+QUERIES = {"op7_sharding": op7_sharding, "op9_mixing": op9_mixing}
 ORACLE_SQL = {"op7_sharding": SHARDING_SQL}
