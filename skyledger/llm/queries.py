@@ -5,13 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import mixing, sharding
+from skyledger.llm import decontamination, mixing, sharding
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every document."""
+    found = decontamination.find_contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), ["doc_id"])
+    return found.select(
+        "doc_id",
+        F.col("_n_words").alias("n_words"),
+        F.col("_n_hit").alias("n_hit"),
+        F.size("_items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "_items"), 256).alias("items_sha256"),
+        F.col("_contaminated").alias("contaminated"),
+    )
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_bytes, shard, depth of every document."""
     return sharding.assign_shards(_read(spark, sf_dir, "documents")).select(
@@ -32,6 +45,33 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_CONTENT_WORDS = f"regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+# Word windows of the documents joined with those of the items, without an automaton.
+DECONTAMINATION_SQL = f"""
+WITH items AS (
+  SELECT item_id, w, LEAST(10, len(w)) AS width FROM (SELECT item_id, {_CONTENT_WORDS} AS w FROM benchmark) WHERE len(w) > 0
+), item_windows AS (
+  SELECT DISTINCT item_id, width, array_to_string(w[i:i + width - 1], ' ') AS win
+  FROM (SELECT *, unnest(range(1, len(w) - width + 2)) AS i FROM items)
+), docs AS (SELECT doc_id, COALESCE({_CONTENT_WORDS}, []) AS w FROM documents),
+doc_windows AS (
+  SELECT doc_id, width, i, array_to_string(w[i:i + width - 1], ' ') AS win
+  FROM (SELECT doc_id, w, width, unnest(range(1, len(w) - width + 2)) AS i
+        FROM docs, (SELECT DISTINCT width FROM items) WHERE len(w) >= width)
+), hits AS (SELECT doc_id, i, d.width, item_id FROM doc_windows d JOIN item_windows USING (width, win)),
+hit_words AS (
+  SELECT doc_id, COUNT(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + width)) AS k FROM hits) GROUP BY doc_id
+), hit_items AS (
+  SELECT doc_id, COUNT(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, COALESCE(n_hit, 0) AS n_hit, COALESCE(n_items, 0) AS n_items,
+       sha256(COALESCE(names, '')) AS items_sha256, COALESCE(n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""
+
 # Buckets of all depths, then the shallowest that fits. Ids are unique in the given tables, so that no
 # bucket needs pieces.
 SHARDING_SQL = f"""
@@ -50,5 +90,12 @@ SELECT doc_id, n_bytes, depth,
 FROM keyed JOIN fitting USING (k)
 """
 
-QUERIES = {"op7_sharding": op7_sharding, "op9_mixing": op9_mixing}
-ORACLE_SQL = {"op7_sharding": SHARDING_SQL}
+QUERIES = {
+    "op6_decontamination": op6_decontamination,
+    "op7_sharding": op7_sharding,
+    "op9_mixing": op9_mixing,
+}
+ORACLE_SQL = {
+    "op6_decontamination": DECONTAMINATION_SQL,
+    "op7_sharding": SHARDING_SQL,
+}
