@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import decontamination, mixing, sharding
+from skyledger.llm import decontamination, jaccard_join, mixing, sharding
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_shingles, component_id of every document."""
+    found = jaccard_join.similar_documents(_read(spark, sf_dir, "documents"))
+    return found.toDF("doc_id", "n_shingles", "component_id")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every document."""
     found = decontamination.find_contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), ["doc_id"])
@@ -91,6 +97,7 @@ FROM keyed JOIN fitting USING (k)
 """
 
 QUERIES = {
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_decontamination": op6_decontamination,
     "op7_sharding": op7_sharding,
     "op9_mixing": op9_mixing,
