@@ -5,13 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import decontamination, jaccard_join, mixing, sharding
+from skyledger.llm import decontamination, jaccard_join, language, mixing, sharding
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, lang_pred, score, rejected of every document."""
+    docs = _read(spark, sf_dir, "documents")
+    found = language.identify(docs.select("doc_id", "text"), language.fit(docs))
+    return found.select(
+        "doc_id",
+        language.held_out("doc_id").alias("held_out"),
+        F.col("_lang").alias("lang_pred"),
+        F.col("_score").alias("score"),
+        F.col("_rejected").alias("rejected"),
+    )
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
     found = jaccard_join.similar_documents(_read(spark, sf_dir, "documents"))
@@ -97,6 +110,7 @@ FROM keyed JOIN fitting USING (k)
 """
 
 QUERIES = {
+    "op3_language": op3_language,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_decontamination": op6_decontamination,
     "op7_sharding": op7_sharding,
