@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import decontamination, jaccard_join, language, mixing, sharding
+from skyledger.llm import decontamination, jaccard_join, language, mixing, sharding, url_filter
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, host, path, rule, verdict, pattern of every page."""
+    found = url_filter.filter_urls(_read(spark, sf_dir, "pages"), ["page_id"])
+    return found.toDF("page_id", "host", "path", "rule", "pattern", "verdict")
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, lang_pred, score, rejected of every document."""
     docs = _read(spark, sf_dir, "documents")
@@ -64,6 +70,34 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _values(rows: list[tuple]) -> str:
+    quoted = [", ".join("'" + str(v).replace("'", "''") + "'" for v in row) for row in rows]
+    return ", ".join(f"({row})" for row in quoted)
+
+
+# Every host rule and every pattern tried on every page, without an index.
+URL_SQL = f"""
+WITH rules(rule_host, rule_path, action) AS (VALUES {_values(url_filter.HOST_RULES)}),
+patterns(name, regex) AS (VALUES {_values([(p.name, p.regex) for p in url_filter.PATTERNS])}),
+rest AS (
+  SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+  SELECT page_id, url, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM rest
+), fitting AS (
+  SELECT page_id, rule_host || rule_path AS rule, action FROM parts, rules
+  WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+), best AS (SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(action, length(rule)) AS action FROM fitting GROUP BY page_id),
+matched AS (
+  SELECT page_id, MIN(name) AS pattern FROM parts, patterns
+  WHERE regexp_matches(translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), regex) GROUP BY page_id
+)
+SELECT page_id, host, path, rule, pattern,
+       COALESCE(action, CASE WHEN pattern IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM parts LEFT JOIN best USING (page_id) LEFT JOIN matched USING (page_id)
+"""
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _CONTENT_WORDS = f"regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
@@ -110,6 +144,7 @@ FROM keyed JOIN fitting USING (k)
 """
 
 QUERIES = {
+    "op1_url_filter": op1_url_filter,
     "op3_language": op3_language,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_decontamination": op6_decontamination,
@@ -117,6 +152,7 @@ QUERIES = {
     "op9_mixing": op9_mixing,
 }
 ORACLE_SQL = {
+    "op1_url_filter": URL_SQL,
     "op6_decontamination": DECONTAMINATION_SQL,
     "op7_sharding": SHARDING_SQL,
 }
