@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import decontamination, jaccard_join, language, mixing, sharding, url_filter
+from skyledger.llm import decontamination, jaccard_join, language, mixing, secrets, sharding, url_filter
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,6 +18,17 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.toDF("page_id", "host", "path", "rule", "pattern", "verdict")
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example of every document."""
+    found = secrets.scan_secrets(_read(spark, sf_dir, "documents"), ["doc_id"])
+    return found.select(
+        "doc_id",
+        *[F.col(f"_{c}").alias(c) for c in ("n_assign", "n_access", "n_hex")],
+        F.sha2("_base", 256).alias("base_sha256"),
+        *[F.col(f"_{c}").alias(c) for c in ("spans", "n_live", "n_example")],
+    )
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, lang_pred, score, rejected of every document."""
     docs = _read(spark, sf_dir, "documents")
@@ -98,6 +109,45 @@ SELECT page_id, host, path, rule, pattern,
 FROM parts LEFT JOIN best USING (page_id) LEFT JOIN matched USING (page_id)
 """
 
+_SECRET_KINDS = [
+    (0, "assign", "([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 12),
+    (1, "access", "AKIA[A-Z0-9]+", 0, 18),
+    (2, "hex", "[0-9a-f]+", 0, 16),
+    *[(k, kind.name, kind.regex, kind.value, kind.least) for k, kind in enumerate(secrets.KINDS) if k > 2],
+]
+
+
+def _matches_sql(kind: int, regex: str, group: int, least: int) -> str:
+    quoted = regex.replace("'", "''")
+    return f"""
+    SELECT doc_id, source, {kind} AS kind, n, value, sum(gap + size) OVER (PARTITION BY doc_id ORDER BY n) AS stop, size, {least} AS least
+    FROM (SELECT doc_id, source, n, m[n] AS value0, v[n] AS value, length(m[n]) AS size, length(gaps[n]) AS gap
+          FROM (SELECT *, unnest(range(1, len(m) + 1)) AS n
+                FROM (SELECT doc_id, source, string_split_regex(text, '{quoted}') AS gaps, regexp_extract_all(text, '{quoted}') AS m,
+                             regexp_extract_all(text, '{quoted}', {group}) AS v FROM documents)))"""
+
+
+# The base kinds as the contract writes them, short matches and all.
+SECRETS_SQL = f"""
+WITH matches AS ({" UNION ALL ".join(_matches_sql(k, r, g, n) for k, _, r, g, n in _SECRET_KINDS)}),
+found AS (SELECT doc_id, source, kind, stop - size AS start, stop, value FROM matches WHERE length(value) >= least),
+owned AS (SELECT value, COUNT(DISTINCT COALESCE(source, '')) AS owners FROM found GROUP BY value),
+known AS (
+  SELECT f.*, owners < {secrets.EXAMPLE_OWNERS} AS live, name || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT) AS span
+  FROM found f JOIN owned USING (value) JOIN (VALUES {", ".join(f"({k}, '{n}')" for k, n, *_ in _SECRET_KINDS)}) names(kind, name) USING (kind)
+  WHERE f.kind < 3 OR owners < {secrets.EXAMPLE_OWNERS}
+), sums AS (
+  SELECT doc_id, COUNT(*) FILTER (kind = 0) AS n_assign, COUNT(*) FILTER (kind = 1) AS n_access, COUNT(*) FILTER (kind = 2) AS n_hex,
+         string_agg(span, ',' ORDER BY start, kind) FILTER (kind < 3) AS base, string_agg(span, ',' ORDER BY start, kind) AS spans,
+         COUNT(*) FILTER (live) AS n_live, COUNT(*) FILTER (NOT live) AS n_example
+  FROM known GROUP BY doc_id
+)
+SELECT doc_id, COALESCE(n_assign, 0) AS n_assign, COALESCE(n_access, 0) AS n_access, COALESCE(n_hex, 0) AS n_hex,
+       sha256(COALESCE(base, '')) AS base_sha256, COALESCE(spans, '') AS spans,
+       COALESCE(n_live, 0) AS n_live, COALESCE(n_example, 0) AS n_example
+FROM documents LEFT JOIN sums USING (doc_id)
+"""
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _CONTENT_WORDS = f"regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
@@ -145,6 +195,7 @@ FROM keyed JOIN fitting USING (k)
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op2_secrets": op2_secrets,
     "op3_language": op3_language,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_decontamination": op6_decontamination,
@@ -153,6 +204,7 @@ QUERIES = {
 }
 ORACLE_SQL = {
     "op1_url_filter": URL_SQL,
+    "op2_secrets": SECRETS_SQL,
     "op6_decontamination": DECONTAMINATION_SQL,
     "op7_sharding": SHARDING_SQL,
 }
