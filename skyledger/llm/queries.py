@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import decontamination, jaccard_join, language, mixing, secrets, sharding, url_filter
+from skyledger.llm import decontamination, jaccard_join, language, mixing, secrets, sharding, url_filter, vector_search
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -68,6 +68,11 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """query_id, rank, vec_id, score: 20 nearest vectors of every vector whose id is divisible by 20."""
+    return vector_search.nearest(_read(spark, sf_dir, "embeddings"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, size, source_size, target, taken, copies of every document."""
     docs = _read(spark, sf_dir, "documents")
@@ -200,6 +205,7 @@ QUERIES = {
     "op5_jaccard_join": op5_jaccard_join,
     "op6_decontamination": op6_decontamination,
     "op7_sharding": op7_sharding,
+    "op8_vector_search": op8_vector_search,
     "op9_mixing": op9_mixing,
 }
 ORACLE_SQL = {
