@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import decontamination, jaccard_join, language, mixing, secrets, sharding, url_filter, vector_search
+from skyledger.llm import decontamination, jaccard_join, language, mixing, secrets, sharding, toxicity, url_filter, vector_search
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -180,6 +180,20 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, COALESCE(n_hit, 0) AS n_hit,
 FROM docs d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, toxic, p_toxic, low_quality, p_low_quality of every document."""
+    docs = _read(spark, sf_dir, "documents")
+    labels = _read(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
+    chain = toxicity.learn(docs, labels, ["low_quality", "toxic"])
+    return toxicity.score(docs.select("doc_id", "text"), chain).select(
+        "doc_id",
+        F.col("_is_toxic").alias("toxic"),
+        F.col("_p_toxic").alias("p_toxic"),
+        F.col("_is_low_quality").alias("low_quality"),
+        F.col("_p_low_quality").alias("p_low_quality"),
+    )
+
+
 # Buckets of all depths, then the shallowest that fits. Ids are unique in the given tables, so that no
 # bucket needs pieces.
 SHARDING_SQL = f"""
@@ -207,6 +221,7 @@ QUERIES = {
     "op7_sharding": op7_sharding,
     "op8_vector_search": op8_vector_search,
     "op9_mixing": op9_mixing,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLE_SQL = {
     "op1_url_filter": URL_SQL,

@@ -116,3 +116,30 @@ def fingerprint(shingles: np.ndarray) -> tuple[int, int]:
     high = int(np.sum(mix(shingles ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64))
     low = int(np.sum(mix(shingles + np.uint64(0x14057B7EF767814F)), dtype=np.uint64))
     return high - (1 << 63), low - (1 << 63)
+
+
+_PLAIN = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
+
+
+def prefix_hashes(text: str | None, lengths: tuple[int, ...]) -> np.ndarray:
+    """Hashes of the lower-cased words of a text, and of the first ``lengths`` bytes of the words that have them.
+
+    Letters, digits and non-ASCII characters make up words.
+    """
+    raw = b"" if text is None else text.lower().encode("utf-8", "surrogatepass").translate(_PLAIN)
+    found = [np.empty(0, np.uint64)]
+    at = 0
+    while at < len(raw):
+        gap = raw.find(b" ", at + PIECE_BYTES)
+        piece = np.frombuffer(raw[at : gap if gap >= 0 else len(raw)], dtype=np.uint8)
+        edges = np.flatnonzero(np.diff(np.concatenate(([False], piece != 32, [False])).astype(np.int8)))
+        starts, ends = edges[::2], edges[1::2]
+        _grow(len(piece) + 1)
+        sums = np.zeros(len(piece) + 1, dtype=np.uint64)
+        np.cumsum(_BYTE_VALUES[piece] * _powers[: len(piece)], out=sums[1:])
+        found.append(mix((sums[ends] - sums[starts]) * _inverses[starts]))
+        for length in lengths:
+            first = starts[ends - starts >= length]
+            found.append(mix((sums[first + length] - sums[first]) * _inverses[first] + np.uint64(length)))
+        at += len(piece)
+    return np.concatenate(found)
