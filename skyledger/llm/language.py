@@ -137,7 +137,8 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", l
     usable = docs.select(
         F.col(lang_column).cast("string").alias("lang"), F.col(text_column).alias("text"), hash60(key_text(id_column)).alias("key"), held_out(id_column).alias("held_out")
     ).filter("lang IS NOT NULL AND text IS NOT NULL AND NOT held_out")
-    rates = usable.groupBy("lang").agg((F.lit(float(SAMPLE_PER_LANGUAGE)) / F.count("*")).alias("rate"))
+    # Written, so that Spark knows how few rows it has and does not shuffle the texts to join it.
+    rates = saved(usable.groupBy("lang").agg((F.lit(float(SAMPLE_PER_LANGUAGE)) / F.count("*")).alias("rate")))
     sample = saved(
         usable.join(rates, "lang").filter(F.col("key") < F.col("rate") * float(1 << 60)).select("lang", "key", "text").repartition(16, "key")
     )

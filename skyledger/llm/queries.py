@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import decontamination, jaccard_join, language, mixing, secrets, sharding, toxicity, url_filter, vector_search
+from skyledger.llm import decontamination, html_extraction, jaccard_join, language, mixing, secrets, sharding, toxicity, url_filter, vector_search
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -42,6 +42,12 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, url, text, n_chars of every page."""
+    found = html_extraction.extract_main_text(_read(spark, sf_dir, "pages"), ["page_id", "url"])
+    return found.select("page_id", "url", F.col("_text").alias("text"), F.char_length("_text").cast("long").alias("n_chars"))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
     found = jaccard_join.similar_documents(_read(spark, sf_dir, "documents"))
@@ -216,6 +222,7 @@ QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_secrets": op2_secrets,
     "op3_language": op3_language,
+    "op4_html_extraction": op4_html_extraction,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_decontamination": op6_decontamination,
     "op7_sharding": op7_sharding,
