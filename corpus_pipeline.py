@@ -1,12 +1,79 @@
-"""Training data from raw documents, in stages that are each written and read again."""
+"""Training data from raw documents, in stages that are each written and read again.
+
+Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept, and returns the columns of
+``documents``; the last adds what it decides.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from skyledger.llm import decontamination, jaccard_join, language, mixing, sharding
+from skyledger.llm.common import saved
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def _documents(docs: DataFrame) -> DataFrame:
+    return docs.select(*COLUMNS)
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that language identification rejects go; the others carry the language it found."""
+    found = language.identify(_documents(docs), language.fit(docs))
+    return found.filter("NOT _rejected").withColumn("lang", F.col("_lang")).select(*COLUMNS)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the smallest id stays, and one row of it.
+
+    Documents without words are no one's duplicates. They and rows with a NULL id stay as they are.
+    """
+    found = saved(jaccard_join.similar_documents(docs))
+    # A component bears its smallest id, so these are the ids of all other rows.
+    extra = saved(found.filter("_id <> _component").select(F.col("_id").alias("doc_id")).distinct())
+    kept = _documents(docs).join(extra, "doc_id", "left_anti")
+    often = found.filter("_id IS NOT NULL AND _n_shingles > 0").groupBy("_id").agg(F.count("*").alias("n"))
+    repeated = saved(often.filter("n > 1").select(F.col("_id").alias("doc_id")))
+    if repeated.isEmpty():
+        return kept
+    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(repeated, "doc_id", "left_anti").unionByName(once)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontamination.find_contamination(_documents(docs), benchmark, COLUMNS)
+    return found.filter("NOT _contaminated").select(*COLUMNS)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    return mixing.mix(_documents(docs))
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The columns of documents and shard."""
+    return sharding.assign_shards(_documents(docs)).select(*COLUMNS, F.col("_shard").alias("shard"))
+
+
+STAGES = [
+    ("language identification", identify_language),
+    ("near duplicates", drop_near_duplicates),
+    ("benchmark decontamination", drop_contaminated),
+    ("mixing to target weights", mix_sources),
+    ("sharding", shard),
+]
 
-STAGES = []
+# A fitted model decides in the first stage, which SQL cannot express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages in turn over documents; each but the last is written to the shared folder."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in STAGES[:-1]:
+        docs = saved(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

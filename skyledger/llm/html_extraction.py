@@ -27,6 +27,8 @@ LEAST_SHARE = 0.05
 # A container gives way to its parent while that adds at most this much text: a headline, a lead.
 PARENT_GAIN = 1.3
 SLICE = 256
+# Elements deeper than this count as part of the container at this depth.
+MAX_DEPTH = 100
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe textarea title svg math object canvas video audio select".split())
@@ -93,6 +95,8 @@ def _step(tag: str, attributes: str, parent: Element | None) -> Element:
         kept = kept and not names & COMMENTS
     elif tag not in ROOTS and (names & NEVER_NAMES or ("header" in names and not in_article)):
         kept = False
+    if len(inside) >= MAX_DEPTH:
+        return Element(tag, parent.path, kept, inside)
     path = (parent.path + "/" if parent else "") + ".".join([tag, *classes])
     parents = inside if tag in LEAVES else (*inside, path)
     return Element(tag, path, kept, parents)

@@ -214,7 +214,7 @@ fitting AS (
   WHERE s.total <= {sharding.SHARD_BYTES} OR s.n = 1 GROUP BY l.k
 )
 SELECT doc_id, n_bytes, depth,
-       substr(lpad(CAST(CAST(k AS BIT) AS VARCHAR)[-60:], 60, '0'), 1, depth) AS shard
+       's' || substr(lpad(CAST(CAST(k AS BIT) AS VARCHAR)[-60:], 60, '0'), 1, depth) AS shard
 FROM keyed JOIN fitting USING (k)
 """
 

@@ -69,7 +69,7 @@ def shard_directory(documents: DataFrame, limit: int) -> tuple[DataFrame, int]:
 def assign_shards(docs: DataFrame, limit: int = SHARD_BYTES, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The input columns, and _shard (text), _depth, _bytes of each row.
 
-    ``_shard`` is the bucket's bits, then, only where no bit can split an oversized bucket, ``-`` and the
+    ``_shard`` is ``s`` (so that no reader takes it for a number) and the bucket's bits, then, only where no bit can split an oversized bucket, ``-`` and the
     number of a piece. Such a bucket holds rows of one id (repeated rows, or NULL ids, which hash as the
     empty text); it is cut along its running size. Every shard is within the limit, but for a single
     document that is larger than it, which gets a shard of its own. A NULL text has 0 bytes. Input columns
@@ -88,7 +88,7 @@ def assign_shards(docs: DataFrame, limit: int = SHARD_BYTES, id_column: str = "d
         placed = placed.join(entries, _prefix(number * ROUND_BITS) == F.col(f"_slot{number}"), "left")
     depth = F.coalesce(*[F.col(f"_depth{n}") for n in range(1, rounds + 1)])
     placed = placed.withColumn("_depth", depth).drop(*[f"_{c}{n}" for n in range(1, rounds + 1) for c in ("slot", "depth")])
-    bits = F.substring(F.lpad(F.bin("_key"), HASH_BITS, "0"), F.lit(1), F.coalesce("_depth", F.lit(LAST_BITS)))
+    bits = F.concat(F.lit("s"), F.substring(F.lpad(F.bin("_key"), HASH_BITS, "0"), F.lit(1), F.coalesce("_depth", F.lit(LAST_BITS))))
     whole = placed.filter("_depth IS NOT NULL").withColumn("_shard", bits)
     if directory.filter((F.col("round") == rounds) & F.col("depth").isNull()).isEmpty():
         return whole.drop("_key")

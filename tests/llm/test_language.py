@@ -1,0 +1,89 @@
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from skyledger.llm import language as lg
+from skyledger.llm import queries
+from tests.llm.support import ODD_ROWS, documents
+
+SOUNDS = {"aa": "ba da ko mi lo", "bb": "schr ung ach tz ei", "cc": "ção não éx uí oã"}
+
+
+def text(lang, pick, n):
+    return " ".join("".join(pick.choices(SOUNDS[lang].split(), k=pick.randint(1, 4))) for _ in range(n))
+
+
+def rows(seed=1, n=240):
+    pick = random.Random(seed)
+    return [(i, text(lang := pick.choice(list(SOUNDS)), pick, pick.randint(1, 40)), lang, "s", 0) for i in range(n)]
+
+
+def test_held_out_rows_are_predicted(spark):
+    table = documents(spark, rows())
+    found = lg.identify(table.withColumn("out", lg.held_out("doc_id")), lg.fit(table)).collect()
+    assert {r.doc_id: r.out for r in found} == {i: zlib.crc32(str(i).encode()) % 3 == 1 for i, *_ in rows()}
+    out = [r for r in found if r.out]
+    assert sum(r._lang == r.lang for r in out) >= 0.97 * len(out)
+    assert all(0 <= r._score <= 1 for r in found)
+
+
+def test_labels_of_held_out_rows_are_not_learned(spark):
+    table = documents(spark, [(i, t, l if zlib.crc32(str(i).encode()) % 3 != 1 else "wrong", s, n) for i, t, l, s, n in rows()])
+    assert set(lg.fit(table).languages) == set(SOUNDS)
+
+
+def test_given_documents(spark, sf_dir):
+    found = queries.op3_language(spark, sf_dir).join(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang"), "doc_id")
+    out = found.filter("held_out").collect()
+    assert sum(r.lang == r.lang_pred for r in out) >= 0.97 * len(out)
+    assert not any(r.rejected for r in out)
+
+
+def test_prediction_is_the_nearest_centroid():
+    random_ = np.random.default_rng(0)
+    centroids = lg.vectors(random_.integers(0, 9, (4, lg.DIMENSIONS)), np.ones(lg.DIMENSIONS))
+    model = lg.Model(np.ones(lg.DIMENSIONS, np.float32), centroids, ["a", "a", "b", "b"], np.zeros(4))
+    for body in ("some words", "Wörter und mehr", "x"):
+        own = lg.vectors(lg.counts(body)[None, :], model.idf)[0]
+        cosines = [float(own @ c) for c in centroids]
+        lang, score, rejected = next(model.predict([body]))
+        assert lang == model.languages[int(np.argmax(cosines))] and score == pytest.approx(max(0.0, *cosines), abs=1e-6) and not rejected
+
+
+def test_far_texts_are_rejected(spark):
+    table = documents(spark, rows())
+    strange = documents(spark, [(1, "漢字仮名交じり文", None, None, 0), (2, text("bb", random.Random(3), 30), None, None, 0)])
+    found = {r.doc_id: r._rejected for r in lg.identify(strange, lg.fit(table)).collect()}
+    assert found == {1: True, 2: False}
+
+
+def test_letters():
+    assert "".join(map(chr, lg.letters("Ab1!! c\tÉ"))) == " ab c é "
+    assert lg.counts("12 !?") is None and lg.counts(None) is None and lg.counts("") is None
+    assert np.array_equal(lg.counts("Wort, WORT!"), lg.counts("wort...wort"))
+
+
+def test_clusters_part_what_lies_apart():
+    random_ = np.random.default_rng(0)
+    axes = np.eye(8)[[0, 3, 6]]
+    points = np.concatenate([a + 0.05 * random_.standard_normal((20, 8)) for a in axes])
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    assert sorted((lg.cluster(points, 3) @ axes.T).argmax(axis=1)) == [0, 1, 2]
+    assert len(lg.cluster(points[:2], 4)) == 2
+
+
+def test_odd_rows(spark):
+    table = documents(spark, ODD_ROWS, _lang="clash", rate=1, key="x")
+    model = lg.fit(documents(spark, rows() + ODD_ROWS))
+    found = lg.identify(table, model).collect()
+    assert len(found) == len(ODD_ROWS)
+    for r in found:
+        wordless = r.text is None or not any(c.isalpha() for c in r.text)
+        assert (r._lang == "und") == wordless and (r._score == 0.0 or not wordless)
+    assert lg.identify(documents(spark, []), model).collect() == []
+    unlearned = lg.fit(documents(spark, []))
+    assert {(r._lang, r._rejected) for r in lg.identify(table, unlearned).collect()} == {("und", True)}

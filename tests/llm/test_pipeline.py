@@ -1,0 +1,82 @@
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+
+import corpus_pipeline as cp
+from skyledger.llm import language
+from tests.llm.support import ODD_ROWS, documents, linked_components
+from tests.llm.test_decontamination import plain as contamination
+from tests.llm.test_mixing import plain_targets, words
+
+
+@pytest.fixture(scope="module")
+def steps(spark, sf_dir):
+    """What goes into each stage and what comes out of the last, as rows."""
+    from skyledger.llm.common import saved
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    tables = [docs]
+    for _, stage in cp.STAGES:
+        tables.append(saved(stage(spark, tables[-1], sf_dir)))
+    return tables
+
+
+def ids(table):
+    return Counter(r.doc_id for r in table.collect())
+
+
+def test_stages_keep_the_columns(steps):
+    assert all(t.columns == cp.COLUMNS for t in steps[:-1])
+    assert steps[-1].columns == [*cp.COLUMNS, "shard"]
+
+
+def test_language_stage(steps):
+    model = language.fit(steps[0])
+    kept = {r.doc_id: r.lang for r in steps[1].collect()}
+    for r in steps[0].collect():
+        lang, _, rejected = next(model.predict([r.text]))
+        assert kept.get(r.doc_id) == (None if rejected else lang)
+
+
+def test_near_duplicate_stage(steps):
+    expected = linked_components([(r.doc_id, r.text) for r in steps[1].collect()])
+    assert ids(steps[2]) == Counter({i for i, (_, root) in expected.items() if i == root})
+
+
+def test_decontamination_stage(spark, steps, sf_dir):
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    assert ids(steps[3]) == Counter(r.doc_id for r in steps[2].collect() if contamination(r.text, items)[1] == 0)
+
+
+def test_mixing_stage(steps):
+    before, after = steps[3].collect(), ids(steps[4])
+    assert set(after) <= {r.doc_id for r in before} and max(after.values()) <= 3
+    sizes, taken, largest = Counter(), Counter(), Counter()
+    for r in before:
+        n = len(words(r.text))
+        sizes[r.source] += n
+        taken[r.source] += n * after[r.doc_id]
+        largest[r.source] = max(largest[r.source], n)
+    for source, target in plain_targets(sizes).items():
+        assert abs(taken[source] - target) <= largest[source] / 2 + 1
+
+
+def test_sharding_stage(steps):
+    assert ids(steps[5]) == ids(steps[4])
+    assert {r.shard for r in steps[5].collect()} == {"s"}
+
+
+def test_whole_run(spark, sf_dir, steps):
+    assert ids(cp.run(spark, sf_dir)) == ids(steps[-1])
+
+
+def test_odd_rows(spark, sf_dir):
+    table = documents(spark, ODD_ROWS, _lang="clash", shard=1, _id=3)
+    for docs in (table, documents(spark, [])):
+        for _, stage in cp.STAGES:
+            out = stage(spark, docs, sf_dir)
+            assert out.columns[:5] == cp.COLUMNS
+            assert set(ids(out)) <= set(ids(docs))
+    assert ids(cp.drop_near_duplicates(spark, table, sf_dir))[905] == 1

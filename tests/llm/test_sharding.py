@@ -1,0 +1,69 @@
+from __future__ import annotations
+
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from skyledger.llm import sharding
+from tests.llm.support import ODD_ROWS, documents
+
+
+def assigned(table, limit):
+    return sharding.assign_shards(table, limit).collect()
+
+
+def bytes_per_shard(rows):
+    total = Counter()
+    for r in rows:
+        total[r._shard] += r._bytes
+    return total
+
+
+def test_every_shard_fits_and_only_large_buckets_split(spark):
+    table = documents(spark, [(k, "x" * (k % 50), "en", "s", 0) for k in range(3000)])
+    rows = assigned(table, 1000)
+    sizes = bytes_per_shard(rows)
+    assert len(rows) == 3000 and max(sizes.values()) <= 1000
+    # Together with its neighbour a bucket is too large, else it had not been split.
+    names = set(sizes)
+    assert all(name.startswith("s") for name in names)
+    for name in names:
+        sibling = name[:-1] + ("0" if name[-1] == "1" else "1")
+        assert sizes[name] + sum(v for k, v in sizes.items() if k.startswith(sibling)) > 1000
+    # No shard lies in another.
+    assert not any(a != b and b.startswith(a) for a in names for b in names)
+
+
+def test_more_bits_than_one_round_has(spark):
+    rows = assigned(documents(spark, [(k, "x" * 10, "en", "s", 0) for k in range(2000)]), 20)
+    assert max(bytes_per_shard(rows).values()) <= 20
+    assert max(r._depth for r in rows) > sharding.ROUND_BITS
+
+
+def test_rows_of_one_id_are_cut_into_pieces(spark):
+    rows = assigned(documents(spark, [(1, "x" * 30, "en", "s", 0)] * 50 + [(1, "y" * 500, "en", "s", 0)]), 100)
+    sizes = bytes_per_shard(rows)
+    assert len(rows) == 51 and sorted(sizes.values())[-1] == 500
+    assert sorted(sizes.values())[-2] <= 100
+
+
+def test_a_document_over_the_limit_is_alone(spark):
+    rows = assigned(documents(spark, [(k, "x" * (5000 if k == 3 else 40), "en", "s", 0) for k in range(20)]), 100)
+    big = next(r for r in rows if r._bytes == 5000)
+    assert [r.doc_id for r in rows if r._shard == big._shard] == [3]
+
+
+def test_odd_rows(spark):
+    table = documents(spark, ODD_ROWS, _key="clash", _shard=1, slot=2, limit="x", round=3, depth=None)
+    rows = assigned(table, 1 << 20)
+    assert Counter(r.doc_id for r in rows) == Counter(r[0] for r in ODD_ROWS)
+    assert {r.doc_id: r._bytes for r in rows}[901] == 0 and rows[0].slot == 2
+    assert assigned(documents(spark, []), 100) == []
+
+
+def test_written_shards(spark, tmp_path):
+    table = documents(spark, [(k, "x" * 20, "en", "s", 0) for k in range(200)])
+    sharding.write_shards(table, str(tmp_path / "out"), 4, limit=500)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.count() == 200
+    assert back.groupBy("_shard").agg(F.sum("_bytes").alias("n")).agg(F.max("n")).first()[0] <= 500
