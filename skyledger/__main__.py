@@ -53,7 +53,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         run_timings(spark, layout).show(50)
     else:
         if args.database:
-            result = run_report_table(spark, layout, args.command, args.database, args.subset)
+            result = run_report_table(spark, layout, args.command, args.database, args.subset, args.environment)
         else:
             result = run_report(spark, layout, args.command, args.subset, args.environment)
         result.show(10, truncate=False)

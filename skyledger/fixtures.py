@@ -6,22 +6,16 @@ text is plain SQL, so that another engine can derive the same rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.operators import clean_flights
-from skyledger.schemas import RAW_FLIGHTS
-from skyledger.session import scratch_dir
-from skyledger.sinks import write_clustered
-from skyledger.sources import read_flights
 
 RAW_FLIGHTS_SQL = """
 SELECT
  CASE WHEN l_orderkey % 997 = 0 THEN 'not-a-date' ELSE substr(CAST(l_shipdate AS STRING), 1, 10) END AS FL_DATE,
  CASE WHEN l_orderkey % 503 = 0 THEN ' ' WHEN l_orderkey % 509 = 0 THEN NULL ELSE p_brand END AS OP_UNIQUE_CARRIER,
  CAST(l_partkey AS STRING) AS OP_CARRIER_FL_NUM,
- CASE WHEN l_orderkey % 601 = 0 THEN '' ELSE n_name END AS ORIGIN,
+ CASE WHEN l_orderkey % 601 = 0 THEN '' WHEN l_orderkey % 607 = 0 THEN NULL ELSE n_name END AS ORIGIN,
  CONCAT('NATION_', CAST(l_partkey % 25 AS STRING)) AS DEST,
  CASE WHEN canc = 1 AND l_linenumber <> 2 THEN NULL WHEN l_orderkey % 401 = 0 THEN '1501.0'
       WHEN l_orderkey % 409 = 0 THEN '-121.0' WHEN l_orderkey % 307 = 0 THEN NULL
@@ -33,7 +27,7 @@ SELECT
  CASE WHEN canc = 1 AND l_orderkey % 11 <> 0
       THEN CASE l_orderkey % 4 WHEN 0 THEN ' a' WHEN 1 THEN 'B' WHEN 2 THEN 'c ' ELSE 'D' END
       ELSE NULL END AS CANCELLATION_CODE,
- CASE WHEN canc = 0 AND dep >= 15 THEN CONCAT(CAST(l_partkey % 40 AS STRING), '.0') ELSE NULL END AS CARRIER_DELAY,
+ CASE WHEN canc = 0 AND dep >= 15 THEN CONCAT(CAST(l_partkey % 40 AS STRING), CASE WHEN l_orderkey % 5 = 0 THEN '.25' ELSE '.0' END) ELSE NULL END AS CARRIER_DELAY,
  CASE WHEN canc = 0 AND dep >= 15 THEN CONCAT(CAST(l_suppkey % 7 AS STRING), '.0') ELSE NULL END AS WEATHER_DELAY,
  CASE WHEN canc = 0 AND dep >= 15 THEN CONCAT(CAST(l_orderkey % 30 AS STRING), '.0') ELSE NULL END AS NAS_DELAY,
  CASE WHEN canc = 0 AND dep >= 15
@@ -53,12 +47,13 @@ FROM (
  JOIN {part} ON l_partkey = p_partkey) x
 """
 
-# Quarter seconds, so that sums of them are exact in any order.
+# Quarter seconds, so that sums of them are exact in any order. Subsets beside the usual four, as any can be logged.
 TIMINGS_SQL = """
 SELECT
  CASE event_id % 3 WHEN 0 THEN 'job31' WHEN 1 THEN 'job32' ELSE 'job33' END AS job,
  CASE user_id % 3 WHEN 0 THEN 'spark_sql' WHEN 1 THEN 'spark_core' ELSE 'hive' END AS technology,
- CASE event_id % 4 WHEN 0 THEN 'pct_025' WHEN 1 THEN 'pct_050' WHEN 2 THEN 'pct_100' ELSE 'pct_200' END AS subset,
+ CASE event_id % 6 WHEN 0 THEN 'pct_025' WHEN 1 THEN 'pct_050' WHEN 2 THEN 'pct_100' WHEN 3 THEN 'pct_200'
+      WHEN 4 THEN 'pct_010' ELSE 'full' END AS subset,
  CASE WHEN event_id % 5 < 2 THEN 'local' ELSE 'aws' END AS environment,
  CAST(20 + user_id % 90 + (event_id % 7) / 4.0 AS DOUBLE) AS elapsed_seconds,
  event_id AS record_count
@@ -72,45 +67,14 @@ def _tables(spark: SparkSession, sf_dir: str, names: list[str]) -> dict[str, Dat
     return {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in names}
 
 
-# Folders of derived tables, by application, input and table.
-_written: dict[tuple[str, str, str], str] = {}
-
-
-def _written_once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
-    """The folder of a derived table, which the first call of an application writes.
-
-    All queries then read a Parquet table, as they would in production, instead of each repeating the
-    joins below. It lies in the shared scratch folder, so it outlives lost executors.
-    """
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _written:
-        path = f"{scratch_dir(spark)}/{name}"
-        write(path)
-        _written[key] = path
-    return _written[key]
-
-
-def derive_raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw flights, all text, with dirty values in every column."""
-    return spark.sql(RAW_FLIGHTS_SQL, **_tables(spark, sf_dir, ["lineitem", "supplier", "nation", "part"]))
-
-
 def raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same, as a written table."""
-    path = _written_once(spark, sf_dir, "raw", lambda p: derive_raw_flights(spark, sf_dir).write.parquet(p))
-    return spark.read.schema(RAW_FLIGHTS).parquet(path)
-
-
-def flights_path(spark: SparkSession, sf_dir: str) -> str:
-    """Folder of the cleaned flights, partitioned by YEAR and MONTH."""
-    return _written_once(
-        spark, sf_dir, "cleaned", lambda p: write_clustered(clean_flights(raw_flights(spark, sf_dir)), p)
-    )
+    """Raw flights, all text, with dirty values in every column, straight from the given tables."""
+    return spark.sql(RAW_FLIGHTS_SQL, **_tables(spark, sf_dir, ["lineitem", "supplier", "nation", "part"]))
 
 
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The cleaned flights, read from there."""
-    return read_flights(spark, flights_path(spark, sf_dir))
+    """The same, cleaned."""
+    return clean_flights(raw_flights(spark, sf_dir))
 
 
 def timings(spark: SparkSession, sf_dir: str) -> DataFrame:

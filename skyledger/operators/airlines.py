@@ -11,34 +11,21 @@ from skyledger.functions import percent, round2
 def airline_stats(flights: DataFrame) -> DataFrame:
     """Flights, arrival delay, cancellation rate and months flown per (airline, airport).
 
-    NULL delays are skipped, a cancelled flight with a known delay counts. The flights are aggregated
-    once, per (airline, airport, month), with fixed-width sums that stay in the generated hash
-    aggregate; the set of months is collected from that small table. Collecting it from the flights
-    themselves would keep an object per group and fall back to sorting them. The second aggregate and
-    the final sort move at most one row per airline, airport and month.
+    NULL delays are skipped, a cancelled flight with a known delay counts. One aggregate does it all: the
+    months are gathered as bits of one number, a buffer of fixed width like the sums beside it, which stays in
+    the generated hash aggregate, where a set per group would not.
     """
-    monthly = flights.groupBy(
-        F.col("OP_UNIQUE_CARRIER").alias("airline"), F.col("ORIGIN").alias("airport"), "MONTH"
-    ).agg(
-        F.count("*").alias("flights"),
-        F.min("ARR_DELAY").alias("min_arr"),
-        F.max("ARR_DELAY").alias("max_arr"),
-        F.sum("ARR_DELAY").alias("arr_sum"),
-        F.count("ARR_DELAY").alias("arr_count"),
-        F.sum("CANCELLED").alias("cancelled"),
-    )
-    return (
-        monthly.groupBy("airline", "airport")
-        .agg(
-            F.sum("flights").alias("total_flights"),
-            F.min("min_arr").alias("min_arr_delay"),
-            F.max("max_arr").alias("max_arr_delay"),
-            round2(F.try_divide(F.sum("arr_sum"), F.sum("arr_count"))).alias("avg_arr_delay"),
-            percent(F.sum("cancelled"), F.sum("flights")).alias("cancellation_rate_pct"),
-            F.sort_array(F.collect_set("MONTH")).alias("active_months"),
-        )
-        .orderBy("airline", "airport")
+    months = F.array(*[F.lit(m) for m in range(1, 13)])
+    stats = flights.groupBy(F.col("OP_UNIQUE_CARRIER").alias("airline"), F.col("ORIGIN").alias("airport")).agg(
+        F.count("*").alias("total_flights"),
+        F.min("ARR_DELAY").alias("min_arr_delay"),
+        F.max("ARR_DELAY").alias("max_arr_delay"),
+        round2(F.try_divide(F.sum("ARR_DELAY"), F.count("ARR_DELAY"))).alias("avg_arr_delay"),
+        percent(F.sum("CANCELLED"), F.count("*")).alias("cancellation_rate_pct"),
+        F.expr("COALESCE(bit_or(shiftleft(1, MONTH)), 0)").alias("months"),
     )
+    flown = F.filter(months, lambda m: F.getbit("months", m) == 1).alias("active_months")
+    return stats.select(*[c for c in stats.columns if c != "months"], flown).orderBy("airline", "airport")
 
 
 def airline_stats_text(stats: DataFrame) -> DataFrame:

@@ -83,6 +83,29 @@ def clean_flights(raw: DataFrame, low: float = MIN_DELAY, high: float = MAX_DELA
     return fill_delays(normalise_codes(add_date_parts(kept)))
 
 
+def cleaning_stages(raw: DataFrame, low: float = MIN_DELAY, high: float = MAX_DELAY) -> DataFrame:
+    """All rows, cleaned, with the stage that keeps them or takes them out: ``kept``, ``key_filter``, ``range_filter``.
+
+    The rows of :func:`clean_flights` are those of stage ``kept``; the others have no values but their stage. As
+    nothing is filtered, every value is parsed once, and a table written by stage tells its own counts.
+    """
+    rows = parse_types(raw)
+    stage = F.when(~has_keys() | has_keys().isNull(), "key_filter").when(is_plausible(low, high), "kept").otherwise("range_filter")
+    cleaned = fill_delays(normalise_codes(add_date_parts(rows.withColumn("stage", stage))))
+    kept = F.col("stage") == "kept"
+    return cleaned.select(*[F.when(kept, F.col(c)).alias(c) for c in cleaned.columns if c != "stage"], "stage")
+
+
+def stage_report(stages: DataFrame) -> DataFrame:
+    """The counts of :func:`cleaning_report` from a table with a stage per row, such as one written by stage."""
+    counts = stages.agg(
+        F.count("*").alias("raw"),
+        F.count_if(F.col("stage") != "key_filter").alias("keyed"),
+        F.count_if(F.col("stage") == "kept").alias("kept"),
+    )
+    return _report(counts)
+
+
 def cleaning_report(raw: DataFrame, low: float = MIN_DELAY, high: float = MAX_DELAY) -> DataFrame:
     """Rows left and rows removed per stage: ``stage, rows_left, rows_removed``.
 
@@ -93,7 +116,10 @@ def cleaning_report(raw: DataFrame, low: float = MIN_DELAY, high: float = MAX_DE
         F.count_if(has_keys()).alias("keyed"),
         F.count_if(has_keys() & is_plausible(low, high)).alias("kept"),
     )
+    return _report(counts)
+
 
+def _report(counts: DataFrame) -> DataFrame:
     def stage(name: str, left: str, before: str) -> Column:
         removed = F.col(before) - F.col(left)
         return F.struct(F.lit(name).alias("stage"), F.col(left).alias("rows_left"), removed.alias("rows_removed"))

@@ -88,9 +88,12 @@ def delay_report(flights: DataFrame, k: int = 3) -> DataFrame:
 
     :func:`join_causes` would read the flights twice. Here they are aggregated once, per band, with the
     causes in the same pass; a month's causes are the sum over its bands, of which there are at most three.
+    As in the join, where NULL equals nothing, flights without an airport have bands but no causes.
     """
     whole_month = Window.partitionBy("airport", "month")
     bands = flights.groupBy(*_airport_month(), delay_band("DEP_DELAY").alias("delay_band")).agg(
         *_band_averages(), *_cause_sums()
     )
-    return _with_causes_text(bands.withColumns({total: F.sum(total).over(whole_month) for total in CAUSES}), k)
+    known = F.col("airport").isNotNull()
+    sums = {total: F.when(known, F.sum(total).over(whole_month)) for total in CAUSES}
+    return _with_causes_text(bands.withColumns(sums), k)

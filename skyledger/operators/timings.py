@@ -5,10 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# The subsets that are compared.
-SUBSETS = ["pct_025", "pct_050", "pct_100", "pct_200"]
-
-
 def consolidate_timings(timings: DataFrame) -> DataFrame:
     """The log in reading order."""
     return timings.orderBy("job", "subset", "technology", "environment", "elapsed_seconds")
@@ -21,8 +17,9 @@ def _mean_seconds(timings: DataFrame) -> DataFrame:
     )
 
 
-def timing_pivot(timings: DataFrame, subsets: list[str] = SUBSETS) -> DataFrame:
-    """Mean seconds per (environment, job, technology), one column per subset."""
+def timing_pivot(timings: DataFrame) -> DataFrame:
+    """Mean seconds per (environment, job, technology), one column per subset that the log names."""
+    subsets = [r.subset for r in timings.select("subset").distinct().orderBy("subset").collect()]
     wide = timings.groupBy("environment", "job", "technology").pivot("subset", subsets)
     return wide.agg(F.round(F.avg("elapsed_seconds"), 1)).orderBy("environment", "job", "technology")
 
@@ -40,18 +37,20 @@ def timing_totals(timings: DataFrame) -> DataFrame:
 def speedup(timings: DataFrame, base: str = "local", other: str = "aws") -> DataFrame:
     """How many times faster each (job, technology, subset) ran in ``other`` than in ``base``.
 
-    Only what ran in both is listed. The two sides meet in one aggregate, without a join.
+    Only what ran in both is listed, with a NULL speedup where ``other`` took no time. The two sides meet in
+    one aggregate, without a join.
     """
     both = (
         timings.groupBy("job", "technology", "subset")
         .pivot("environment", [base, other])
         .agg(F.avg("elapsed_seconds"))
     )
-    return both.select(
+    ran_in_both = both.filter(F.col(base).isNotNull() & F.col(other).isNotNull())
+    return ran_in_both.select(
         "job",
         "technology",
         "subset",
         F.round(base, 1).alias("base_seconds"),
         F.round(other, 1).alias("other_seconds"),
         F.round(F.try_divide(base, other), 2).alias("speedup"),
-    ).filter(F.col("speedup").isNotNull()).orderBy("job", "technology", "subset")
+    ).orderBy("job", "technology", "subset")

@@ -12,14 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from skyledger.operators import (
     airline_stats,
     anomaly_ranking,
-    clean_flights,
-    cleaning_report,
     consolidate_timings,
     delay_report,
     make_subset,
 )
-from skyledger.operators.cleaning import missing_columns
+from skyledger.operators.cleaning import cleaning_stages, missing_columns, stage_report
 from skyledger.operators.subsets import subset_label
+from skyledger.schemas import PARTITION_COLUMNS, STAGES
 from skyledger.sinks import (
     append_timing,
     create_result_table,
@@ -63,14 +62,14 @@ REPORTS = {
 def run_cleaning(spark: SparkSession, layout: Layout, *raw_paths: str) -> DataFrame:
     """Raw CSV to the cleaned table; returns rows left and removed per stage.
 
-    The CSV is read once to write and once to count. Counts taken along with the write would need no
-    second read, but they go wrong when Spark repeats a lost task.
+    The CSV is read once. Rows that a stage takes out are written too, without their values, in a folder of
+    that stage; so the counts come from what was written, and stay right when Spark repeats a lost task.
     """
     raw = read_raw_csv(spark, *(raw_paths or (layout.raw,)))
     if missing := missing_columns(raw):
         log.warning("columns not found and left out: %s", ", ".join(missing))
-    write_clustered(clean_flights(raw), layout.cleaned)
-    return cleaning_report(raw)
+    write_clustered(cleaning_stages(raw), layout.stages, ["stage", *PARTITION_COLUMNS])
+    return stage_report(spark.read.schema(STAGES).parquet(layout.stages))
 
 
 def run_subsets(spark: SparkSession, layout: Layout, percents: Iterable[int] = (25, 50, 100, 200)) -> None:
@@ -102,21 +101,33 @@ def run_report(
 
 
 def run_report_table(
-    spark: SparkSession, layout: Layout, name: str, database: str, subset: str | None = None
+    spark: SparkSession, layout: Layout, name: str, database: str, subset: str | None = None, environment: str | None = None
 ) -> DataFrame:
-    """One report from a catalog table over the flights' files into a result table; returns that table."""
+    """One report from a catalog table over the flights' files into a result table; returns that table.
+
+    Each report declares a table of its own, so that two reports at once do not disturb each other. The run
+    time log has it under technology ``spark_table``.
+    """
     report, label = REPORTS[name], subset_name(subset)
-    source, target = f"{database}.flights_{label}", f"{database}.{name}_{label}"
+    started = time.monotonic()
+    source, target = f"{database}.flights_{label}_{name}", f"{database}.{name}_{label}"
     create_database(spark, database)
     create_flights_table(spark, source, layout.flights(subset))
     find_partitions(spark, source)
     result = report.query(spark.table(source))
     create_result_table(spark, target, result.schema, f"{layout.output(report.job, subset)}/table")
-    return overwrite_result(result, target).orderBy(*report.order)
+    saved = overwrite_result(result, target)
+    records = count_rows(spark.table(source))
+    seconds = time.monotonic() - started
+    append_timing(
+        spark, layout.timings, report.job, label, seconds, records, technology="spark_table", environment=environment
+    )
+    return saved.orderBy(*report.order)
 
 
 def run_timings(spark: SparkSession, layout: Layout) -> DataFrame:
     """The whole run time log as one sorted CSV."""
     entries = read_timings(spark, layout.timings)
-    write_csv(entries, layout.timings_report, ("job", "subset", "technology", "environment", "elapsed_seconds"))
+    order = ("job", "subset", "technology", "environment", "elapsed_seconds")
+    write_csv(entries, layout.timings_report, order, files=1)
     return consolidate_timings(entries)

@@ -65,6 +65,9 @@ FLIGHTS = _schema(
     MONTH=_INT,
 )
 
+# The same rows with the cleaning stage that keeps them, or takes them out, as their first folder.
+STAGES = T.StructType([*FLIGHTS.fields, T.StructField("stage", _TEXT)])
+
 AIRLINE_STATS = _schema(
     airline=_TEXT,
     airport=_TEXT,

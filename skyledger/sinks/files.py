@@ -10,22 +10,27 @@ from pyspark.sql import types as T
 
 from skyledger.schemas import PARTITION_COLUMNS, TIMINGS
 
-# A result up to this many rows is written as one file; a larger one as one file per partition.
-SINGLE_FILE_ROWS = 1_000_000
+# Over so many tasks a month is dealt out where adaptive execution cannot split it by its size.
+MONTH_SPLITS = 16
 
 
-def write_partitioned(flights: DataFrame, path: str) -> None:
+def write_partitioned(flights: DataFrame, path: str, columns: Sequence[str] = PARTITION_COLUMNS) -> None:
     """Parquet in YEAR / MONTH folders, without a shuffle. For input that already lies by month."""
-    flights.write.mode("overwrite").partitionBy(*PARTITION_COLUMNS).parquet(path)
+    flights.write.mode("overwrite").partitionBy(*columns).parquet(path)
 
 
-def write_clustered(flights: DataFrame, path: str) -> None:
+def write_clustered(flights: DataFrame, path: str, columns: Sequence[str] = PARTITION_COLUMNS) -> None:
     """Parquet in YEAR / MONTH folders, with few files per month.
 
     A plain repartition by month would give each month, however large, to one task. The rebalance hint
-    lets adaptive execution split a large month over tasks and join small ones, by measured bytes.
+    lets adaptive execution split a large month over tasks and join small ones, by measured bytes. Without
+    adaptive execution Spark ignores the hint, so months are dealt out by a hash of their rows.
     """
-    write_partitioned(flights.hint("rebalance", *PARTITION_COLUMNS), path)
+    if flights.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        dealt = flights.hint("rebalance", *columns)
+    else:
+        dealt = flights.repartition(*columns, F.pmod(F.xxhash64(*flights.columns), F.lit(MONTH_SPLITS)))
+    write_partitioned(dealt, path, columns)
 
 
 def preview(table: DataFrame, n: int = 10) -> DataFrame:
@@ -39,49 +44,35 @@ def arrays_as_text(table: DataFrame) -> DataFrame:
     return table.withColumns({c: F.concat_ws(", ", F.col(c).cast("array<string>")) for c in arrays})
 
 
-def _in_files(table: DataFrame, order: Sequence[str], single_file_rows: int) -> DataFrame:
-    """The table in one partition if it is small enough, else in as many as its sort makes."""
-    if table.count() <= single_file_rows:
-        one = table.coalesce(1)
-        return one.sortWithinPartitions(*order) if order else one
-    return table.orderBy(*order) if order else table
+def _in_files(table: DataFrame, order: Sequence[str], files: int | None) -> DataFrame:
+    """The table in at most ``files`` sorted partitions; with None sorted as a whole, one file per partition."""
+    if files is None:
+        return table.orderBy(*order) if order else table
+    few = table.coalesce(files)
+    return few.sortWithinPartitions(*order) if order else few
 
 
-def _json(table: DataFrame, path: str) -> None:
-    table.write.mode("overwrite").json(path)
+def write_json(table: DataFrame, path: str, order: Sequence[str] = (), files: int | None = None) -> None:
+    """JSON lines."""
+    _in_files(table, order, files).write.mode("overwrite").json(path)
 
 
-def _csv(table: DataFrame, path: str) -> None:
-    arrays_as_text(table).write.mode("overwrite").option("header", True).csv(path)
+def write_csv(table: DataFrame, path: str, order: Sequence[str] = (), files: int | None = None) -> None:
+    """CSV with header, arrays as text."""
+    arrays_as_text(_in_files(table, order, files)).write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_json(
-    table: DataFrame, path: str, order: Sequence[str] = (), single_file_rows: int = SINGLE_FILE_ROWS
-) -> None:
-    """JSON lines. Reads ``table`` twice, to count and to write: give it a saved result, not a query."""
-    _json(_in_files(table, order, single_file_rows), path)
-
-
-def write_csv(
-    table: DataFrame, path: str, order: Sequence[str] = (), single_file_rows: int = SINGLE_FILE_ROWS
-) -> None:
-    """CSV with header, arrays as text. Reads ``table`` twice, as :func:`write_json` does."""
-    _csv(_in_files(table, order, single_file_rows), path)
-
-
-def write_report(
-    report: DataFrame, path: str, order: Sequence[str] = (), single_file_rows: int = SINGLE_FILE_ROWS
-) -> DataFrame:
+def write_report(report: DataFrame, path: str, order: Sequence[str] = (), files: int | None = 1) -> DataFrame:
     """Run the query once, into ``path/parquet``; make ``path/json`` and ``path/csv`` from that.
 
-    Returns the saved table. A saved table outlives the loss of executors, where a cached one would make
-    Spark read the flights again.
+    A report has a row per airport and airline, or month and band, so one file holds it; ``files=None`` writes
+    as many as there are partitions. Returns the saved table. A saved table outlives the loss of executors,
+    where a cached one would make Spark read the flights again.
     """
     report.write.mode("overwrite").parquet(f"{path}/parquet")
     saved = report.sparkSession.read.schema(report.schema).parquet(f"{path}/parquet")
-    in_files = _in_files(saved, order, single_file_rows)
-    _json(in_files, f"{path}/json")
-    _csv(in_files, f"{path}/csv")
+    write_json(saved, f"{path}/json", order, files)
+    write_csv(saved, f"{path}/csv", order, files)
     return saved
 
 
@@ -106,7 +97,7 @@ def export_csv(
     target: str,
     order: Sequence[str] = (),
     names: str | None = None,
-    single_file_rows: int = SINGLE_FILE_ROWS,
+    files: int | None = None,
 ) -> DataFrame:
     """All Parquet files of a result folder as CSV; returns the table that was exported.
 
@@ -115,5 +106,5 @@ def export_csv(
     """
     reader = spark.read if names is None else spark.read.option("pathGlobFilter", names)
     table = reader.parquet(source)
-    write_csv(table, target, order, single_file_rows)
+    write_csv(table, target, order, files)
     return table

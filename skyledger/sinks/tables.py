@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from skyledger.sources.catalog import quoted
+
 
 def create_result_table(spark: SparkSession, name: str, schema: T.StructType, location: str) -> None:
     """(Re)declare an external Parquet table; dropping it leaves the files."""
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{location}'")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION {quoted(location)}")
 
 
 def overwrite_result(result: DataFrame, name: str) -> DataFrame:

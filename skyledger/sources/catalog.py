@@ -9,9 +9,14 @@ from pyspark.sql import SparkSession
 from skyledger.schemas import FLIGHTS, PARTITION_COLUMNS
 
 
+def quoted(path: str) -> str:
+    """A path as SQL text."""
+    return "'" + path.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     """Unless it exists; its own folder is in the warehouse if no location is given."""
-    place = f" LOCATION '{location}'" if location else ""
+    place = f" LOCATION {quoted(location)}" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{place}")
 
 
@@ -29,7 +34,7 @@ def create_flights_table(
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(
         f"CREATE TABLE {name} ({declared}) USING parquet "
-        f"PARTITIONED BY ({', '.join(PARTITION_COLUMNS)}) LOCATION '{location}'"
+        f"PARTITIONED BY ({', '.join(PARTITION_COLUMNS)}) LOCATION {quoted(location)}"
     )
 
 
@@ -43,6 +48,6 @@ def add_months(
 ) -> None:
     """Make just these months visible, whether they hold files or not."""
     parts = " ".join(
-        f"PARTITION (YEAR={year}, MONTH={m}) LOCATION '{location}/YEAR={year}/MONTH={m}'" for m in months
+        f"PARTITION (YEAR={year}, MONTH={m}) LOCATION {quoted(f'{location}/YEAR={year}/MONTH={m}')}" for m in months
     )
     spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")

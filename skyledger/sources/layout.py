@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 FULL = "full"
 
 
 def subset_name(subset: str | None) -> str:
-    """``pct_050`` and the like stay, anything else is the full table."""
-    return subset if subset and subset.startswith("pct_") else FULL
+    """``full`` for none, else the name as it is; a name of no subset is an error."""
+    if subset is None or subset == FULL:
+        return FULL
+    if not re.fullmatch(r"pct_\d{3}", subset):
+        raise ValueError(f"no subset: {subset}; {FULL}, or pct_ and three digits")
+    return subset
 
 
 @dataclass(frozen=True)
@@ -24,9 +29,14 @@ class Layout:
         return self._at("data/raw/flights.csv")
 
     @property
-    def cleaned(self) -> str:
+    def stages(self) -> str:
+        """All rows that cleaning read, in one folder per stage."""
         return self._at("data/cleaned")
 
+    @property
+    def cleaned(self) -> str:
+        return f"{self.stages}/stage=kept"
+
     @property
     def timings(self) -> str:
         return self._at("data/outputs/timings")

@@ -36,14 +36,23 @@ def sf_dir():
 
 
 @pytest.fixture(scope="session")
-def raw(spark, sf_dir):
+def raw(spark, sf_dir, tmp_path_factory):
+    """Raw flights as a stored table."""
     from skyledger import fixtures
+    from skyledger.schemas import RAW_FLIGHTS
 
-    return fixtures.raw_flights(spark, sf_dir)
+    path = str(tmp_path_factory.mktemp("tables") / "raw")
+    fixtures.raw_flights(spark, sf_dir).write.parquet(path)
+    return spark.read.schema(RAW_FLIGHTS).parquet(path)
 
 
 @pytest.fixture(scope="session")
-def flights(spark, sf_dir):
-    from skyledger import fixtures
-
-    return fixtures.flights(spark, sf_dir)
+def flights(spark, raw, tmp_path_factory):
+    """Cleaned flights as a stored table."""
+    from skyledger.operators import clean_flights
+    from skyledger.sinks import write_clustered
+    from skyledger.sources import read_flights
+
+    path = str(tmp_path_factory.mktemp("tables") / "cleaned")
+    write_clustered(clean_flights(raw), path)
+    return read_flights(spark, path)

@@ -6,7 +6,7 @@ from __spark_entry__ import LLM_QUERIES, LLM_SQL, entry, oracle_sql, queries
 from skyledger.schemas import ANOMALY_RANKING
 from tests.check_oracle import compare, connect
 
-NO_SQL = {"subset_025", "subset_050", "subset_hashed_025"}
+NO_SQL: set[str] = set()
 
 
 @pytest.fixture(scope="module")

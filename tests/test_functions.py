@@ -96,6 +96,20 @@ def test_no_causes(spark):
     assert causes(spark, 0.0, None, 0.0, -2.0, None) == {"top": [], "text": "[]"}
 
 
+def test_not_a_number_takes_no_place(spark):
+    nan = float("nan")
+    assert causes(spark, nan, 4.0, 3.0, 2.0, 1.0)["text"] == "[('Weather', 4.0), ('NAS', 3.0), ('Security', 2.0)]"
+    assert causes(spark, nan, nan, None, nan, nan)["text"] == "[]"
+
+
+@pytest.mark.parametrize("impact", [1e29, 1e-12, 1 / 3, 0.1 + 0.2, 1.5e300, 12.25, float("inf")])
+def test_no_entry_is_lost_or_loses_digits(spark, impact):
+    found = causes(spark, impact, 1.0, 2.0, None, None, k=5)
+    assert len(found["top"]) == found["text"].count("('") == 3
+    number = found["text"].split("('Carrier', ")[1].split(")")[0]
+    assert float(number.replace("Infinity", "inf")) == impact
+
+
 @pytest.mark.parametrize("impact", [3134.0, 12.25, 0.5, 10000000.0, 123456789012.75, 100.0])
 def test_cause_numbers_are_written_without_exponent(spark, impact):
     assert causes(spark, impact, None, None, None, None)["text"] == str([("Carrier", impact)])

@@ -52,10 +52,19 @@ def test_reports_on_catalog_tables(spark, base, flights):
     layout = Layout(base)
     sinks.write_clustered(flights, layout.flights("pct_100"))
     for name, report in REPORTS.items():
-        main([name, "--base", base, "--subset", "pct_100", "--database", "job_db"])
+        main([name, "--base", base, "--subset", "pct_100", "--database", "job_db", "--environment", "there"])
         table = spark.table(f"job_db.{name}_pct_100")
         assert rows(table) == rows(report.query(flights))
         assert table.count() == spark.read.parquet(f"{layout.output(report.job, 'pct_100')}/table").count()
+    logged = [r for r in dicts(read_timings(spark, layout.timings)) if r["technology"] == "spark_table"]
+    assert sorted((r["job"], r["subset"], r["environment"], r["record_count"]) for r in logged) == [
+        (report.job, "pct_100", "there", flights.count()) for report in REPORTS.values()
+    ]
+
+
+def test_a_wrong_subset_is_an_error(base):
+    with pytest.raises(ValueError, match="no subset"):
+        main(["airline_stats", "--base", base, "--subset", "050"])
 
 
 def test_missing_columns_are_named(spark, tmp_path, caplog):

@@ -50,6 +50,14 @@ def test_delay_report(spark, seed):
     assert dicts(ops.delay_report(table)) == test_delays.brute_force(dicts(table))
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_delay_report_is_its_join_form_with_unknown_airports(spark, seed):
+    table = flight_table(spark, *random_flights(seed, ["P", "Q", None], ["A", None]))
+    found = dicts(ops.delay_report(table))
+    assert found == dicts(ops.join_causes(ops.delay_band_stats(table), ops.cause_totals(table)))
+    assert {r["top3_causes"] for r in found if r["airport"] is None} == {"[]"}
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_anomaly_ranking(spark, seed):
     table = flight_table(spark, *random_flights(seed, ["P", "Q", None, "", "  "], ["A", "B", "C", "D", None, "", " "]))

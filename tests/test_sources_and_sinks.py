@@ -43,7 +43,10 @@ def test_csv_falls_back_only_for_a_missing_path(spark, tmp_path):
 
 def test_layout():
     layout = sources.Layout("hdfs://host:9000/")
-    assert layout.flights() == layout.flights("full") == "hdfs://host:9000/data/cleaned"
+    assert layout.flights() == layout.flights("full") == "hdfs://host:9000/data/cleaned/stage=kept"
+    for wrong in ("050", "pct100", "pct_5", "", "pct_050x"):
+        with pytest.raises(ValueError, match="no subset"):
+            layout.flights(wrong)
     assert layout.flights("pct_050") == "hdfs://host:9000/data/subsets/pct_050"
     assert layout.output("job31", "pct_050") == "hdfs://host:9000/data/outputs/job31/pct_050"
     assert layout.output("job31") == "hdfs://host:9000/data/outputs/job31/full"
@@ -122,15 +125,34 @@ def test_report_files(spark, flights, tmp_path):
     assert rows(spark.read.schema(text.schema).csv(f"{folder}/csv", header=True)) == rows(text)
 
 
-def test_large_results_keep_their_partitions(spark, tmp_path):
+def test_a_path_may_hold_a_quote(spark, flights, tmp_path):
+    place = str(tmp_path / "it's here")
+    ranking = ops.anomaly_ranking(flights)
+    sources.create_database(spark, "quoted_db", f"{place}/db")
+    sinks.create_result_table(spark, "quoted_db.ranking", ANOMALY_RANKING, f"{place}/ranking")
+    assert rows(sinks.overwrite_result(ranking, "quoted_db.ranking")) == rows(ranking)
+
+
+def test_months_are_dealt_out_without_adaptive_execution(spark, flights, tmp_path):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sinks.write_clustered(flights.repartition(8), str(tmp_path / "cleaned"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    files = Counter(os.path.dirname(p) for p in part_files(tmp_path / "cleaned"))
+    assert max(files.values()) <= 4  # as many as there are shuffle partitions
+    assert rows(sources.read_flights(spark, str(tmp_path / "cleaned"))) == rows(flights)
+
+
+def test_one_file_or_one_per_partition(spark, tmp_path):
     numbers = spark.range(1000).repartition(4)
-    sinks.write_csv(numbers, str(tmp_path / "one"), ("id",), single_file_rows=1000)
+    sinks.write_csv(numbers, str(tmp_path / "one"), ("id",), files=1)
     (file,) = part_files(tmp_path / "one")
     with open(file) as lines:
         assert lines.read().split() == ["id", *map(str, range(1000))]
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        sinks.write_csv(numbers, str(tmp_path / "many"), ("id",), single_file_rows=999)
+        sinks.write_csv(numbers, str(tmp_path / "many"), ("id",))
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     files = sorted(part_files(tmp_path / "many"))

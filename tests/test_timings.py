@@ -55,10 +55,22 @@ def test_repeated_runs_count_once_in_totals(log):
 def test_pivot(log):
     found = {(r["environment"], r["job"], r["technology"]): r for r in dicts(ops.timing_pivot(log))}
     row = found[("local", "job31", "spark_sql")]
-    assert (row["pct_025"], row["pct_050"], row["pct_100"], row["pct_200"]) == (45.1, None, 48.0, None)
+    assert (row["pct_025"], row["pct_100"]) == (45.1, 48.0)
     assert found[("aws", "job32", "spark_sql")]["pct_100"] == 34.0
 
 
+def test_every_logged_subset_has_its_column(spark):
+    runs = [("job31", "spark_sql", s, "local", 2.0, 1) for s in ("full", "pct_010", "pct_300")]
+    (row,) = dicts(ops.timing_pivot(spark.createDataFrame(runs, TIMINGS)))
+    assert {k: v for k, v in row.items() if k not in ("environment", "job", "technology")} == {"full": 2.0, "pct_010": 2.0, "pct_300": 2.0}
+
+
+def test_speedup_lists_runs_without_a_measured_second(spark):
+    runs = [("job31", "spark_sql", "full", "local", 2.0, 1), ("job31", "spark_sql", "full", "aws", 0.0, 1), ("job32", "spark_sql", "full", "aws", 1.0, 1)]
+    (row,) = dicts(ops.speedup(spark.createDataFrame(runs, TIMINGS)))
+    assert (row["job"], row["base_seconds"], row["other_seconds"], row["speedup"]) == ("job31", 2.0, 0.0, None)
+
+
 def test_log_is_appended_to_and_consolidated(spark, tmp_path):
     path = str(tmp_path / "log")
     sinks.append_timing(spark, path, "job32", "pct_050", 2.5, 20)
