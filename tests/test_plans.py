@@ -112,8 +112,7 @@ def test_months_are_rebalanced_before_they_are_written(flights):
 def test_cleaning_by_stage_parses_each_number_once(raw):
     text = plan(cleaning.cleaning_stages(raw))
     assert nodes(text, "Scan parquet") == 1 and nodes(text, "Exchange") == 0 and nodes(text, "Filter") == 0
-    parsed = re.findall(r"try_cast\(DEP_DELAY#\d+ as double\)", text, re.I)
-    assert len(parsed) <= 1 + text.count("Arguments")
+    assert len(re.findall("try_cast\\(DEP_DELAY", text)) == 1
 
 
 def test_single_stages_do_not_shuffle(raw):
