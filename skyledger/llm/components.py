@@ -30,7 +30,7 @@ def components(edges: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy(F.col("u").alias("w")).agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.filter("v > u").join(least, F.col("u") == F.col("w")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = saved(_larger_first(large))
+        large = saved(large.filter("u <> v"))
         smallest = large.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m"))
         small = large.join(smallest, F.col("u") == F.col("w")).select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         edges = saved(_larger_first(small.unionByName(smallest.select(F.col("w").alias("u"), F.col("m").alias("v")))))

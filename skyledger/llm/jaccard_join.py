@@ -12,6 +12,7 @@ pair by pair. Pairs within one class are never made, and none between classes is
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,26 +26,36 @@ from skyledger.llm.common import saved
 from skyledger.llm.components import components
 from skyledger.llm.shingles import fingerprint, shingle_sets
 
-# Counts of shingles are kept by hash in a table of fixed size, as they only order the shingles: sharing
-# an entry makes a shingle look less rare, which costs time, never a link.
-COUNT_BITS = 20
+# A first count of shingles is kept by hash in a table of fixed size. Sharing an entry makes a shingle look
+# less rare, never rarer. Shingles that look more common than chance makes an entry of the table are ordered by it
+# alone, behind all others; so no shingle of the exact count below has more documents than the table says.
+COUNT_BITS = 22
 CHUNK = 1 << 16
+# The exact count gathers shingles by leading hash bits, in parts of about so many bytes.
+PART_BYTES = 12 << 20
+PART_SLICE = 1024
 # The wanted sets are told apart by a bitmap of fixed size; sets that it lets through in vain drop out at a join.
 WANTED_BITS = 23
 # A set is described by how many of its shingles fall into each of so many ranges of hashes.
 SPREAD = 16
+# Documents of a batch are taken in slices of so many, which bounds the memory of a Python worker.
+SLICE = 256
+# So many sets of each shingle are pivots of one round.
+PIVOTS = 4
 # Pivot rounds go on while pairs between classes outnumber the entries by this factor.
 PAIRS_PER_ENTRY = 2
-MAX_PIVOT_ROUNDS = 12
+MAX_PIVOT_ROUNDS = 3
 
 
 def prefix_length(n: int) -> int:
     return n - (3 * n + 3) // 4 + 1
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Iterator[np.ndarray]]]:
+def _texts(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[tuple[pa.RecordBatch, Iterator[np.ndarray]]]:
     for batch in batches:
-        yield batch, shingle_sets(batch.column("_text").to_pylist())
+        for at in range(0, batch.num_rows, rows):
+            part = batch.slice(at, rows)
+            yield part, shingle_sets(part.column("_text").to_pylist())
 
 
 def _lists(arrays: list[np.ndarray], kind: type) -> pa.Array:
@@ -53,20 +64,27 @@ def _lists(arrays: list[np.ndarray], kind: type) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(values.view(kind) if len(values) else values.astype(kind)))
 
 
+def _entry(shingles: np.ndarray) -> np.ndarray:
+    """Where in the count table each shingle is counted."""
+    return (shingles >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
+
+
 def _describe(docs: DataFrame) -> DataFrame:
     """One row per document: id, n, hi, lo (its set's fingerprint), spread; and rows of shingle counts."""
     kind = docs.schema["_id"].dataType.simpleString()
     docs_type = to_arrow_type(docs.schema["_id"].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << COUNT_BITS, dtype=np.int64)
+        counts = np.zeros(1 << COUNT_BITS, dtype=np.uint32)
         for batch, sets in _texts(batches):
-            n, hi, lo, spread = [], [], [], []
+            n, hi, lo, spread, entries = [], [], [], [], []
             for s in sets:
                 high, low = fingerprint(s)
                 n.append(len(s)), hi.append(high), lo.append(low)
                 spread.append(np.bincount((s >> np.uint64(60)).astype(np.int64), minlength=SPREAD).astype(np.int32))
-                np.add.at(counts, (s >> np.uint64(64 - COUNT_BITS)).astype(np.int64), 1)
+                entries.append(_entry(s))
+            at, k = np.unique(np.concatenate(entries), return_counts=True)
+            counts[at] += k.astype(np.uint32)
             none = pa.nulls(len(n))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()),
@@ -74,13 +92,12 @@ def _describe(docs: DataFrame) -> DataFrame:
                 ["_id", "n", "hi", "lo", "spread", "chunk", "counts"],
             )
         if counts.any():
-            parts = counts.astype(np.uint32).reshape(-1, CHUNK)
-            none = pa.nulls(len(parts))
             types = [docs_type, pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
-            yield pa.RecordBatch.from_arrays(
-                [*[none.cast(t) for t in types], pa.array(range(len(parts)), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())],
-                ["_id", "n", "hi", "lo", "spread", "chunk", "counts"],
-            )
+            for chunk, part in enumerate(counts.reshape(-1, CHUNK)):
+                yield pa.RecordBatch.from_arrays(
+                    [*[pa.nulls(1).cast(t) for t in types], pa.array([chunk], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())],
+                    ["_id", "n", "hi", "lo", "spread", "chunk", "counts"],
+                )
 
     return docs.mapInArrow(run, f"_id {kind}, n long, hi long, lo long, spread array<int>, chunk int, counts binary")
 
@@ -92,43 +109,129 @@ def _rarity(described: DataFrame) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                sums[chunk] = sums.get(chunk, 0) + np.frombuffer(counts, dtype=np.uint32).astype(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary())], ["chunk", "counts"]
-        )
+                part = np.frombuffer(zlib.decompress(counts), dtype=np.uint32).astype(np.int64)
+                sums[chunk] = sums.get(chunk, 0) + part
+        ranks = [np.round(np.log2(1.0 + s) * 512).astype(np.uint16).tobytes() for s in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(ranks, pa.binary())], ["chunk", "ranks"])
 
     chunks = (1 << COUNT_BITS) // CHUNK
     rows = (
         described.filter("chunk IS NOT NULL").select("chunk", "counts").repartition(chunks, "chunk")
-        .mapInArrow(add, "chunk int, counts binary").collect()
+        .mapInArrow(add, "chunk int, ranks binary").collect()
     )
-    table = np.zeros((chunks, CHUNK), dtype=np.int64)
+    table = np.zeros((chunks, CHUNK), dtype=np.uint16)
     for row in rows:
-        table[row.chunk] = np.frombuffer(row.counts, dtype=np.int64)
-    return np.round(np.log2(1.0 + table.ravel()) * 512).astype(np.uint16)
+        table[row.chunk] = np.frombuffer(row.ranks, dtype=np.uint16)
+    return table.ravel()
+
+
+def _common_from(total: int) -> int:
+    """The rank in the table from which a shingle is common: four deviations above the mean of its entries, and some."""
+    mean = total / (1 << COUNT_BITS)
+    return int(np.round(np.log2(1.0 + mean + 4 * mean**0.5 + 8) * 512)) + 1
+
+
+def _part_bits(total: int) -> int:
+    return max(0, int(np.ceil(np.log2(max(1, total * 12 / PART_BYTES)))))
+
 
+def _by_part(docs: DataFrame, rarity: np.ndarray, total: int) -> DataFrame:
+    """Shingles of all documents as arrays, gathered by part.
 
-def _prefixes(docs: DataFrame, rarity: np.ndarray) -> DataFrame:
-    """hi, lo, n and the prefix of every set, rare first."""
+    Below ``parts``: token (32 further hash bits) and doc (lo) of shingles that are not common. From ``parts`` on:
+    token, the number of a doc's common shingles. From twice that: the common shingles in a doc's prefix, as
+    wide, and their position as token.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(rarity)
+    bits, common_from = _part_bits(total), _common_from(total)
+    parts = 1 << bits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = shared.value
-        for _, sets in _texts(batches):
-            n, hi, lo, prefix = [], [], [], []
+
+        def rows(part, token, wide, doc):
+            arrays = [pa.array(part, pa.int32()), _lists(token, np.int32), _lists(wide, np.int64), _lists(doc, np.int64)]
+            return pa.RecordBatch.from_arrays(arrays, ["part", "token", "wide", "doc"])
+
+        none = np.empty(0, np.int64)
+        for _, sets in _texts(batches, PART_SLICE):
+            rare, owners, counted, n_common, wide, position, wide_owner = [], [], [], [], [], [], []
             for s in sets:
                 if not len(s):
                     continue
-                high, low = fingerprint(s)
-                n.append(len(s)), hi.append(high), lo.append(low)
-                order = np.argsort(ranks[(s >> np.uint64(64 - COUNT_BITS)).astype(np.int64)], kind="stable")
-                prefix.append(s[order[: prefix_length(len(s))]])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(hi, pa.int64()), pa.array(lo, pa.int64()), pa.array(n, pa.int64()), _lists(prefix, np.int64)],
-                ["hi", "lo", "n", "prefix"],
-            )
-
-    return docs.mapInArrow(run, "hi long, lo long, n long, prefix array<long>")
+                lo = fingerprint(s)[1]
+                rank = ranks[_entry(s)]
+                common = rank >= common_from
+                some = s[~common]
+                rare.append(some), owners.append(np.full(len(some), lo, dtype=np.int64))
+                if len(some) < len(s):
+                    counted.append(lo), n_common.append(len(s) - len(some))
+                more = prefix_length(len(s)) - len(some)
+                if more > 0:
+                    first = s[common][np.argsort(rank[common], kind="stable")[:more]]
+                    wide.append(first), position.append(np.arange(len(some), len(some) + more)), wide_owner.append(np.full(more, lo))
+            if not owners:
+                continue
+            tokens, doc = np.concatenate(rare), np.concatenate(owners)
+            part = (tokens >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(tokens), np.int64)
+            token = ((tokens >> np.uint64(32 - bits)) & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+            order = np.argsort(part, kind="stable")
+            cuts = np.searchsorted(part[order], np.arange(1, parts))
+            lists = [(k, t, d) for k, (t, d) in enumerate(zip(np.split(token[order], cuts), np.split(doc[order], cuts))) if len(t)]
+            if lists:
+                yield rows([k for k, _, _ in lists], [t for _, t, _ in lists], [none] * len(lists), [d for _, _, d in lists])
+            salt = int(doc[0] if len(doc) else counted[0]) % parts
+            if counted:
+                yield rows([parts + salt], [np.array(n_common, np.int32)], [none], [np.array(counted, np.int64)])
+            if wide:
+                yield rows([2 * parts + salt], [np.concatenate(position).astype(np.int32)], [np.concatenate(wide).view(np.int64)], [np.concatenate(wide_owner).astype(np.int64)])
+
+    gathered = docs.mapInArrow(run, "part int, token array<int>, wide array<long>, doc array<long>")
+
+    def count(table: pa.Table) -> pa.Table:
+        part = table.column("part")[0].as_py()
+        token, wide, doc = (table.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("token", "wide", "doc"))
+        kind, number = part // parts, token.astype(np.int64)
+        if kind == 0:
+            token = token.view(np.uint32)
+            order = np.lexsort((doc, token))
+            token, doc = token[order], doc[order]
+            new = np.append(True, (token[1:] != token[:-1]) | (doc[1:] != doc[:-1]))
+            token, doc = token[new], doc[new]
+            starts = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+            sizes = np.diff(np.append(starts, len(token)))
+            number = np.repeat(sizes, sizes)
+            shared_by_some = number > 1
+            doc, number = doc[shared_by_some], number[shared_by_some]
+            wide = token[shared_by_some].astype(np.int64) | (part << 32)
+        elif kind == 1:
+            wide = np.zeros(len(doc), np.int64)
+        return pa.table({
+            "kind": pa.array(np.full(len(doc), kind, np.int32)), "lo": pa.array(doc), "token": pa.array(wide), "number": pa.array(number.astype(np.int64)),
+        })
+
+    return gathered.groupBy("part").applyInArrow(count, "kind int, lo long, token long, number long")
+
+
+def _prefix_entries(counted: DataFrame, nodes: DataFrame) -> DataFrame:
+    """token, position, node, n: the shingles of each set's prefix that other sets have too.
+
+    A set's order is: shingles that no other set has, shingles of few sets by their number, common ones. What no
+    other set has needs no row; its number is what is left of the set's size.
+    """
+    n_common = counted.filter("kind = 1").groupBy("lo").agg(F.max("number").alias("n_common"))
+    known = nodes.select("lo", "node", "n").join(n_common, "lo", "left").select(
+        "lo", "node", "n", (F.col("n") - F.coalesce("n_common", F.lit(0))).alias("rare")
+    )
+    own = Window.partitionBy("lo")
+    repeated = counted.filter("kind = 0").select("lo", "token", "number").withColumns({
+        "place": F.row_number().over(own.orderBy("number", "token")), "shared": F.count("*").over(own)
+    }).drop("number")
+    placed = repeated.join(known, "lo").withColumn("position", F.col("rare") - F.col("shared") + F.col("place") - 1)
+    few = placed.filter(F.col("position") < F.col("n") - F.ceil(3 * F.col("n") / 4) + 1)
+    many = counted.filter("kind = 2").groupBy("lo", "token").agg(F.max("number").alias("position")).join(known, "lo")
+    columns = ["token", F.col("position").cast("long").alias("position"), "node", "n"]
+    return few.select(*columns).unionByName(many.select(*columns))
 
 
 def _wanted_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -168,30 +271,31 @@ def _least_shared(n: Column, m: Column) -> Column:
     return F.ceil(3 * (n + m) / 7)
 
 
-def _may_link(a: str, b: str) -> Column:
-    """Length and positional filter on two entries of one shingle."""
-    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    i, j = F.col(f"{a}.position"), F.col(f"{b}.position")
-    reach = F.least(i, j) + F.least(n - i, m - j)
-    return (4 * F.least(n, m) >= 3 * F.greatest(n, m)) & (reach >= _least_shared(n, m))
+def _may_link(n: Column, m: Column, i: Column, j: Column) -> Column:
+    """Length and positional filter on sets of n and m that have one shingle at positions i and j.
+
+    The first shingle that two sets share leaves them no more to share than the shorter rest, so for sets that
+    link it passes here. Later ones may not, and need not.
+    """
+    return (4 * F.least(n, m) >= 3 * F.greatest(n, m)) & (F.least(n - i, m - j) >= _least_shared(n, m))
 
 
-def _pairs(met: DataFrame) -> DataFrame:
-    """Distinct pairs u > v from entries a and b that met, after the filters on first meeting and spread.
+def _pairs(met: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Distinct pairs u > v of nodes that met, after the filter on spread.
 
-    Both prefixes follow one order, so the first shingle that a pair shares has the lowest position in
-    both. Before it nothing is shared, behind it no more than the shorter rest. Of the rest, each range of
-    hashes adds the difference of its two counts to what is not shared.
+    ``met``: node, n and the other's p_node, p_n. Of what two sets do not share, each range of hashes holds at
+    least the difference of its two counts.
     """
-    rows = met.select(
-        F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v"),
-        F.least(F.col("a.n") - F.col("a.position"), F.col("b.n") - F.col("b.position")).alias("rest"),
-        F.col("a.n").alias("n"), F.col("b.n").alias("m"), F.col("a.spread").alias("x"), F.col("b.spread").alias("y"),
-    )
-    first = rows.groupBy("u", "v").agg(F.max("rest").alias("rest"), *[F.first(c).alias(c) for c in ("n", "m", "x", "y")])
-    apart = sum(F.abs(F.get("x", F.lit(k)) - F.get("y", F.lit(k))) for k in range(SPREAD))
+    up = F.col("node") > F.col("p_node")
+    first = met.select(
+        F.greatest("node", "p_node").alias("u"), F.least("node", "p_node").alias("v"),
+        F.when(up, F.col("n")).otherwise(F.col("p_n")).alias("n"), F.when(up, F.col("p_n")).otherwise(F.col("n")).alias("m"),
+    ).distinct()
     shared = _least_shared(F.col("n"), F.col("m"))
-    kept = first.filter((F.col("rest") >= shared) & (apart <= F.col("n") + F.col("m") - 2 * shared))
+    x = nodes.select(F.col("node").alias("u"), F.col("spread").alias("x"))
+    y = nodes.select(F.col("node").alias("v"), F.col("spread").alias("y"))
+    apart = sum(F.abs(F.get("x", F.lit(k)) - F.get("y", F.lit(k))) for k in range(SPREAD))
+    kept = first.join(x, "u").join(y, "v").filter(apart <= F.col("n") + F.col("m") - 2 * shared)
     return kept.select("u", "v", "n", "m")
 
 
@@ -214,41 +318,73 @@ def _regrouped(classes: DataFrame, links: DataFrame) -> DataFrame:
     return saved(merged.select("node", F.coalesce("_new", "root").alias("root")))
 
 
-def _classes(entries: DataFrame, sets: DataFrame) -> DataFrame:
-    """node, root of all nodes with entries (token, position, node, n, spread)."""
-    classes = saved(entries.select("node", F.col("node").alias("root")).distinct())
-    total = entries.count()
-    failed = None
-    for number in range(MAX_PIVOT_ROUNDS + 1):
-        placed = entries.join(classes, "node")
+def _pivots(over: Window | None = None, first: int = 0, columns=("node", "n", "position")) -> Column:
+    """Some of the sets of a shingle, the same for most shingles of a group, as hashes of the node choose them.
+
+    Half of them are taken among those that have the shingle at the lowest position, so the fewest shingles
+    of their own: the least changed of a group of near copies, to which most others link.
+    """
+    chosen = []
+    for k in range(PIVOTS):
+        turn = F.xxhash64("node", F.lit(first + k))
+        order = F.struct("position", turn, "node") if k % 2 == 0 else F.struct(turn, "node")
+        pivot = F.min_by(F.struct(*columns), order)
+        chosen.append(pivot.over(over) if over is not None else pivot)
+    return F.array_distinct(F.array(*chosen))
+
+
+def _meetings(entries: DataFrame) -> DataFrame:
+    """Entries that can link: token, position, node, n, k (entries of the token) and its pivots.
+
+    Sorted by size, an entry whose neighbours are both too small or too large has no partner at all. One sort
+    by (token, n) serves both; a token is read as a stream, however many sets share it.
+    """
+    by_size = Window.partitionBy("token").orderBy("n", "node")
+    near = (4 * F.lag("n").over(by_size) >= 3 * F.col("n")) | (4 * F.col("n") >= 3 * F.lead("n").over(by_size))
+    some = entries.withColumn("near", near).filter("near").drop("near")
+    token = Window.partitionBy("token")
+    return some.withColumns({"k": F.count("*").over(token), "pivots": _pivots(token)}).filter("k > 1")
+
+
+def _with_pivots(entries: DataFrame) -> DataFrame:
+    """One row per entry and pivot of its token: p_node, p_n, p_position."""
+    each = entries.withColumn("p", F.explode("pivots")).drop("pivots")
+    return each.select("*", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("node", "n", "position")]).drop("p")
+
+
+def _linkable() -> Column:
+    return _may_link(F.col("n"), F.col("p_n"), F.col("position"), F.col("p_position"))
+
+
+def _classes(live: DataFrame, total: int, failed: DataFrame, classes: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """node, root after all pairs of ``live`` entries (token, position, node, n), of which those in ``failed`` are known not to link."""
+    for number in range(1, MAX_PIVOT_ROUNDS + 1):
+        placed = live.join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
         per_class = placed.groupBy("token", "root").agg(F.count("*").alias("k"))
-        # Only shingles that still lie in several classes matter.
-        spans = per_class.groupBy("token").agg(F.count("*").alias("classes"), F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("same"))
-        mixed = spans.filter("classes > 1")
-        live = saved(placed.join(mixed.select("token", (F.col("k") * F.col("k") - F.col("same")).alias("pairs")), "token"))
-        per_token = live.groupBy("token").agg(F.first("pairs").alias("pairs"))
-        between = per_token.agg(F.sum(F.col("pairs").cast("decimal(38,0)"))).first()[0] or 0
+        # Only shingles that still lie in several classes matter, now and in all rounds to come.
+        mixed = per_class.groupBy("token").agg(
+            F.count("*").alias("classes"), (F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))).alias("pairs")
+        ).filter("classes > 1")
+        placed = saved(placed.join(mixed.select("token", (F.col("pairs") / 2).alias("pairs")), "token"))
+        between = placed.groupBy("token").agg(F.first("pairs").alias("pairs")).agg(F.sum("pairs")).first()[0] or 0
         if not between:
             break
-        last = between <= 2 * PAIRS_PER_ENTRY * total or number == MAX_PIVOT_ROUNDS
-        live = live.drop("pairs")
-        a = live.alias("a")
+        last = between <= PAIRS_PER_ENTRY * total or number == MAX_PIVOT_ROUNDS
+        live = placed.select("token", "position", "node", "n")
+        other = placed.select("token", "root", "node", "n", "position")
+        if not last:
+            chosen = _pivots(None, PIVOTS * number, ("root", "node", "n", "position"))
+            other = other.groupBy("token").agg(chosen.alias("p")).select("token", F.inline("p"))
+        other = other.toDF("p_token", *[f"p_{c}" for c in other.columns[1:]])
+        meet = (F.col("token") == F.col("p_token")) & (F.col("root") != F.col("p_root")) & _linkable()
         if last:
-            b, lower = live.alias("b"), F.col("a.node") > F.col("b.node")
-        else:
-            by = F.xxhash64("node", F.lit(number))
-            b = live.groupBy("token").agg(F.min_by(F.struct("node", "position", "n", "spread", "root"), F.struct(by, "node")).alias("p")).select("token", "p.*").alias("b")
-            lower = F.lit(True)
-        met = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.root") != F.col("b.root")) & lower & _may_link("a", "b"))
-        pairs = _pairs(met)
-        if failed is not None:
-            pairs = pairs.join(failed, ["u", "v"], "left_anti")
+            meet = meet & (F.col("node") > F.col("p_node"))
+        pairs = _pairs(placed.join(other, meet), nodes).join(failed, ["u", "v"], "left_anti")
         checked = saved(_verified(pairs, sets))
         classes = _regrouped(classes, checked.filter("linked").select("u", "v"))
         if last:
             break
-        apart = checked.filter("NOT linked").select("u", "v")
-        failed = apart if failed is None else failed.unionByName(apart)
+        failed = failed.unionByName(checked.filter("NOT linked").select("u", "v"))
     return classes
 
 
@@ -269,16 +405,23 @@ def similar_documents(docs: DataFrame, id_column: str = "doc_id", text_column: s
     sets = rows.filter("n > 0").groupBy("hi", "lo").agg(F.first("n").alias("n"), F.first("spread").alias("spread"), F.min("_id").alias("first_id"))
     nodes = saved(sets.withColumn("node", F.monotonically_increasing_id()))
 
-    prefixes = _prefixes(texts, rarity).groupBy("hi", "lo").agg(F.first("prefix").alias("prefix"))
-    tokens = prefixes.join(nodes.select("hi", "lo", "node"), ["hi", "lo"]).select("node", F.posexplode("prefix").alias("position", "token"))
-    others = F.count("*").over(Window.partitionBy("token"))
-    met = saved(tokens.withColumn("others", others).filter("others > 1").drop("others"))
-    entries = saved(met.join(nodes.select("node", "n", "spread", "hi", "lo"), "node"))
+    total = described.agg(F.sum("n")).first()[0] or 0
+    counted = saved(_by_part(texts, rarity, total))
+    entries = saved(_meetings(_prefix_entries(counted, nodes)))
 
-    wanted = nodes.join(entries.select("node").distinct(), "node", "left_semi").select("hi", "lo", "node")
+    # Shingles of two sets are done with their one pair; those of more go on to further rounds.
+    pairs = saved(_pairs(_with_pivots(entries).filter((F.col("node") != F.col("p_node")) & _linkable()), nodes))
+    more = entries.filter("k > 2").select("token", "position", "node", "n")
+    concerned = more.select("node").unionByName(pairs.select(F.explode(F.array("u", "v")).alias("node"))).distinct()
+    wanted = saved(nodes.join(concerned, "node", "left_semi").select("hi", "lo", "node"))
     found = _wanted_sets(texts, wanted).groupBy("hi", "lo").agg(F.first("shingles").alias("shingles"))
     shingles = saved(found.join(wanted, ["hi", "lo"]).select("node", "shingles"))
-    classes = _classes(entries.drop("hi", "lo"), shingles)
+
+    checked = saved(_verified(pairs, shingles))
+    start = wanted.select("node", F.col("node").alias("root"))
+    classes = _regrouped(start, checked.filter("linked").select("u", "v"))
+    failed = checked.filter("NOT linked").select("u", "v")
+    classes = _classes(more, entries.count(), failed, classes, nodes, shingles)
 
     placed = nodes.join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = placed.groupBy("root").agg(F.min("first_id").alias("_component"))

@@ -15,7 +15,7 @@ import numpy as np
 
 WORDS = 5
 # Texts are hashed in pieces of about so many bytes, cut between words, which bounds the memory of a task.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
