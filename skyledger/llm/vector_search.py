@@ -13,6 +13,7 @@ Block sizes are fixed, whatever the input, and every pair of blocks is one task'
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -24,9 +25,9 @@ from skyledger.llm.common import saved
 
 NEAREST = 20
 QUERY_EVERY = 20
-# Rows of a block. At 64 components a vector block is 8 MiB of doubles, a query block 0.5 MiB.
-VECTOR_BLOCK = 1 << 14
-QUERY_BLOCK = 1 << 10
+# Bytes of a block as doubles: at 64 components 16,384 vectors, and 1,024 queries.
+VECTOR_BLOCK_BYTES = 8 << 20
+QUERY_BLOCK_BYTES = 512 << 10
 # Queries whose estimates are held at once.
 QUERIES_AT_ONCE = 64
 # Half-widths of the error bound, in standard deviations of the estimate.
@@ -34,6 +35,7 @@ BOUND = 3.0
 SEED = 7
 
 
+@lru_cache(maxsize=4)
 def rotation(dimensions: int, seed: int = SEED) -> np.ndarray:
     """A random orthogonal matrix; the same for the same size."""
     gaussian = np.random.default_rng(seed).standard_normal((dimensions, dimensions))
@@ -99,12 +101,9 @@ def _index(rows: DataFrame) -> DataFrame:
     """id, vector, bits, norm, agreement."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        turns: dict[int, np.ndarray] = {}
         for batch in batches:
             for size, same in batch.groupby(batch["vector"].map(len)):
-                if size not in turns:
-                    turns[size] = rotation(size)
-                bits, norm, agreement = encode(np.stack(same["vector"]), turns[size])
+                bits, norm, agreement = encode(np.stack(same["vector"]), rotation(size))
                 yield same.assign(bits=[b.tobytes() for b in bits], norm=norm, agreement=agreement)
 
     return rows.mapInPandas(run, "id long, vector array<double>, bits binary, norm double, agreement double")
@@ -119,11 +118,14 @@ def nearest(table: DataFrame, id_column: str = "vec_id", vector_column: str = "e
     id sees none. With fewer than k candidates all are returned.
     """
     indexed = saved(_index(usable(table, id_column, vector_column)).withColumn("size", F.size("vector")))
-    # The numbers of blocks follow from counts of rows; a vector's block, from a hash of its id.
-    total = indexed.count()
+    # The numbers of blocks follow from the bytes of all vectors; a vector's block, from a hash.
     asked = indexed.filter(F.col("id") % QUERY_EVERY == 0)
-    n_vectors = max(1, -(-total // VECTOR_BLOCK))
-    n_queries = max(1, -(-asked.count() // QUERY_BLOCK))
+
+    def blocks(rows: DataFrame, block_bytes: int) -> int:
+        total = rows.agg(F.sum(F.col("size") * 8)).first()[0] or 0
+        return max(1, -(-total // block_bytes))
+
+    n_vectors, n_queries = blocks(indexed, VECTOR_BLOCK_BYTES), blocks(asked, QUERY_BLOCK_BYTES)
     block = F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(n_vectors)).cast("int")
     vectors = indexed.withColumn("vector_block", block).withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(n_queries - 1))))
     queries = (

@@ -33,8 +33,8 @@ def found(frame):
 @pytest.mark.parametrize("spread", [1.0, 0.05])
 def test_recall(spark, spread, monkeypatch):
     """Recall against brute force on random vectors, and on near copies of few."""
-    monkeypatch.setattr(vs, "VECTOR_BLOCK", 300)
-    monkeypatch.setattr(vs, "QUERY_BLOCK", 16)
+    monkeypatch.setattr(vs, "VECTOR_BLOCK_BYTES", 150_000)
+    monkeypatch.setattr(vs, "QUERY_BLOCK_BYTES", 8_000)
     random = np.random.default_rng(3)
     base = random.standard_normal((8, 64))
     rows = [(i, np.float32(base[i % 8] + spread * random.standard_normal(64))) for i in range(1500)]
