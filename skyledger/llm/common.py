@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from skyledger.session import scratch_dir
 
+BATCH_ROWS = 1000
 # Fixed by the query contracts: a word is a run of anything but ASCII white space.
 WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -22,6 +23,18 @@ def saved(table: DataFrame) -> DataFrame:
     return table.sparkSession.read.schema(table.schema).parquet(path)
 
 
+def in_small_batches(table: DataFrame) -> DataFrame:
+    """The table, for a function over Arrow batches, in a session that makes batches of :data:`BATCH_ROWS` rows.
+
+    Spark's own default is ten times as many, which for whole texts is tens of megabytes, held by the executor
+    and by Python at once in every task. A session whose setting is not the default stays as it is.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if table.sparkSession.conf.get(name) == "10000":
+        table.sparkSession.conf.set(name, str(BATCH_ROWS))
+    return table
+
+
 def key_text(column: str) -> Column:
     """An id as text, NULL as the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import saved
+from skyledger.llm.common import in_small_batches, saved
 
 WINDOW = 10
 # Windows of so many bytes of benchmark text at most go into one automaton, which each Python worker
@@ -122,7 +122,7 @@ def _scan_part(docs: DataFrame, items: list[tuple[str, str]], keep: list[str], t
 
     span = "array<struct<start: bigint, end: bigint>>"
     kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*dict.fromkeys([*keep, text_column])).mapInPandas(
+    return in_small_batches(docs.select(*dict.fromkeys([*keep, text_column]))).mapInPandas(
         run, f"{kept}, _n_words bigint, _runs {span}, _spans {span}, _items array<string>"
     )
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 from pyspark.sql.window import Window
 
-from skyledger.llm.common import saved
+from skyledger.llm.common import in_small_batches, saved
 from skyledger.llm.url_filter import url_parts
 
 # A path needs this share of its host's votes, so a host has at most so many winning paths as fit in 1.
@@ -202,7 +202,7 @@ def _votes(pages: DataFrame) -> DataFrame:
                 best = [best_container(parse(h)) if h else None for h in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(best, pa.string())], ["_host", "path"])
 
-    return pages.select("_host", "_html").mapInArrow(run, "_host string, path string").filter("path IS NOT NULL")
+    return in_small_batches(pages.select("_host", "_html")).mapInArrow(run, "_host string, path string").filter("path IS NOT NULL")
 
 
 def winning_paths(pages: DataFrame) -> DataFrame:
@@ -234,4 +234,4 @@ def extract_main_text(pages: DataFrame, keep: list[str], url_column: str = "url"
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], pa.array(texts, pa.string())], [*keep, "_text"])
 
     schema = StructType([placed.schema[c] for c in keep]).add("_text", StringType())
-    return placed.mapInArrow(run, schema)
+    return in_small_batches(placed).mapInArrow(run, schema)

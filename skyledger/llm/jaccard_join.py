@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.window import Window
 
-from skyledger.llm.common import saved
+from skyledger.llm.common import in_small_batches, saved
 from skyledger.llm.components import components
 from skyledger.llm.shingles import fingerprint, shingle_sets
 
@@ -397,7 +397,7 @@ def similar_documents(docs: DataFrame, id_column: str = "doc_id", text_column: s
     and wordless texts have none and are components of their own. Repeated rows link like other copies; a
     NULL id takes part, and names a component (NULL) only if none of its rows has an id.
     """
-    texts = docs.select(F.col(id_column).alias("_id"), F.col(text_column).cast("string").alias("_text"))
+    texts = in_small_batches(docs.select(F.col(id_column).alias("_id"), F.col(text_column).cast("string").alias("_text")))
     described = saved(_describe(texts))
     rows = described.filter("chunk IS NULL").select("_id", "n", "hi", "lo", "spread")
     rarity = _rarity(described)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructType
 
-from skyledger.llm.common import hash60, key_text, saved
+from skyledger.llm.common import hash60, in_small_batches, key_text, saved
 
 # About so many rows per language, chosen by a hash of their id, bound the work of the fit.
 SAMPLE_PER_LANGUAGE = 2000
@@ -151,7 +151,7 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", l
                     n, df = n + 1, df + (c > 0)
         yield pd.DataFrame({"n": [n], "df": [df]})
 
-    parts = sample.select("text").mapInPandas(frequencies, "n long, df array<double>").collect()
+    parts = in_small_batches(sample.select("text")).mapInPandas(frequencies, "n long, df array<double>").collect()
     n = sum(r.n for r in parts)
     idf = (np.log((1 + n) / (1 + sum((np.array(r.df) for r in parts), np.zeros(DIMENSIONS)))) + 1).astype(np.float32)
 
@@ -190,4 +190,4 @@ def identify(docs: DataFrame, model: Model, text_column: str = "text") -> DataFr
             )
 
     schema = StructType(list(rows.schema.fields)).add("_lang", StringType()).add("_score", DoubleType()).add("_rejected", BooleanType())
-    return rows.mapInArrow(run, schema)
+    return in_small_batches(rows).mapInArrow(run, schema)

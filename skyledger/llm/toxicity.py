@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructType
 
-from skyledger.llm.common import hash60, key_text, saved
+from skyledger.llm.common import hash60, in_small_batches, key_text, saved
 from skyledger.llm.shingles import prefix_hashes
 
 # About so many labelled rows, chosen by a hash of their id, bound the work of the fit.
@@ -179,7 +179,7 @@ def learn(docs: DataFrame, labels: DataFrame, categories: Sequence[str], id_colu
 
     made = "key long, features array<long>, found array<long>, labels array<double>"
     rows = saved(
-        sample.select("key", "text", *categories).mapInPandas(featurise, made).filter(F.size("features") > 0)
+        in_small_batches(sample.select("key", "text", *categories)).mapInPandas(featurise, made).filter(F.size("features") > 0)
         .withColumn("id", F.monotonically_increasing_id()).withColumn("fold", (F.col("key") % FOLDS).cast("int"))
     )
 
@@ -239,4 +239,4 @@ def score(docs: DataFrame, chain: Chain, text_column: str = "text") -> DataFrame
     schema = StructType(list(rows.schema.fields))
     for name in added:
         schema = schema.add(name, DoubleType() if name.startswith("_p_") else BooleanType())
-    return rows.mapInArrow(run, schema)
+    return in_small_batches(rows).mapInArrow(run, schema)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from skyledger.llm.common import saved
+from skyledger.llm.common import in_small_batches, saved
 
 NEAREST = 20
 QUERY_EVERY = 20
@@ -106,7 +106,7 @@ def _index(rows: DataFrame) -> DataFrame:
                 bits, norm, agreement = encode(np.stack(same["vector"]), rotation(size))
                 yield same.assign(bits=[b.tobytes() for b in bits], norm=norm, agreement=agreement)
 
-    return rows.mapInPandas(run, "id long, vector array<double>, bits binary, norm double, agreement double")
+    return in_small_batches(rows).mapInPandas(run, "id long, vector array<double>, bits binary, norm double, agreement double")
 
 
 def nearest(table: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", k: int = NEAREST) -> DataFrame:
