@@ -12,7 +12,7 @@ from bisect import bisect_left
 from collections.abc import Iterator
 
 import ahocorasick
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -108,22 +108,25 @@ def _scan_part(docs: DataFrame, items: list[tuple[str, str]], keep: list[str], t
     shared = docs.sparkSession.sparkContext.broadcast(items)
     name = str(id(shared)) + str(hash(tuple(items)))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = _automaton(name, shared.value)
         for batch in batches:
-            texts = [None if t is None or t != t else t for t in batch[text_column]]
+            texts = batch.column(text_column).to_pylist()
             found = [scan(automaton, text) for text in texts]
-            out = batch[keep].copy()
-            out["_n_words"] = [n for n, _, _ in found]
-            out["_runs"] = [[{"start": a, "end": b} for a, b in runs] for _, runs, _ in found]
-            out["_spans"] = [original_spans(text, runs) for text, (_, runs, _) in zip(texts, found)]
-            out["_items"] = [sorted(ids) for _, _, ids in found]
-            yield out
-
-    span = "array<struct<start: bigint, end: bigint>>"
+            added = {
+                "_n_words": pa.array([n for n, _, _ in found], pa.int64()),
+                "_runs": pa.array([[{"start": a, "end": b} for a, b in runs] for _, runs, _ in found], span),
+                "_spans": pa.array([original_spans(text, runs) for text, (_, runs, _) in zip(texts, found)], span),
+                "_items": pa.array([sorted(ids) for _, _, ids in found], pa.list_(pa.string())),
+            }
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], *added.values()], [*keep, *added])
+
+    ranges = "array<struct<start: bigint, end: bigint>>"
     kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return in_small_batches(docs.select(*dict.fromkeys([*keep, text_column]))).mapInPandas(
-        run, f"{kept}, _n_words bigint, _runs {span}, _spans {span}, _items array<string>"
+    return in_small_batches(docs.select(*dict.fromkeys([*keep, text_column]))).mapInArrow(
+        run, f"{kept}, _n_words bigint, _runs {ranges}, _spans {ranges}, _items array<string>"
     )
 
 

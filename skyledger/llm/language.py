@@ -9,11 +9,10 @@ sample row, by a margin, is rejected.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -79,11 +78,21 @@ def counts(text: str | None) -> np.ndarray | None:
     return total
 
 
+def stacked(found: Iterable[np.ndarray], n: int) -> np.ndarray:
+    """``n`` rows of counts as one matrix, filled row by row."""
+    rows = np.empty((n, DIMENSIONS), dtype=np.float32)
+    for row, c in zip(rows, found):
+        row[:] = c
+    return rows
+
+
 def vectors(rows: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """Counts as TF-IDF vectors of length 1."""
-    weighted = np.log1p(rows.astype(np.float32)) * idf
-    lengths = np.linalg.norm(weighted, axis=1, keepdims=True)
-    return weighted / np.where(lengths > 0, lengths, 1)
+    """Counts, a float matrix that is overwritten, as TF-IDF vectors of length 1."""
+    np.log1p(rows, out=rows)
+    rows *= idf
+    lengths = np.sqrt(np.einsum("ij,ij->i", rows, rows))[:, None]
+    rows /= np.where(lengths > 0, lengths, 1)
+    return rows
 
 
 @dataclass(frozen=True)
@@ -99,7 +108,7 @@ class Model:
             found = [counts(t) for t in texts[at : at + ROWS_AT_ONCE]]
             some = [c for c in found if c is not None]
             if some and self.languages:
-                near = vectors(np.stack(some), self.idf) @ self.centroids.T
+                near = vectors(stacked(some, len(some)), self.idf) @ self.centroids.T
                 best = near.argmax(axis=1)
                 answers = iter(zip(best, near[np.arange(len(best)), best]))
             for c in found:
@@ -143,29 +152,33 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", l
         usable.join(rates, "lang").filter(F.col("key") < F.col("rate") * float(1 << 60)).select("lang", "key", "text").repartition(16, "key")
     )
 
-    def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, df = 0, np.zeros(DIMENSIONS)
         for batch in batches:
-            for c in map(counts, batch["text"]):
+            for c in map(counts, batch.column(0).to_pylist()):
                 if c is not None:
                     n, df = n + 1, df + (c > 0)
-        yield pd.DataFrame({"n": [n], "df": [df]})
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([df], pa.list_(pa.float64()))], ["n", "df"])
 
-    parts = in_small_batches(sample.select("text")).mapInPandas(frequencies, "n long, df array<double>").collect()
+    parts = in_small_batches(sample.select("text")).mapInArrow(frequencies, "n long, df array<double>").collect()
     n = sum(r.n for r in parts)
     idf = (np.log((1 + n) / (1 + sum((np.array(r.df) for r in parts), np.zeros(DIMENSIONS)))) + 1).astype(np.float32)
 
-    def centroids(group: pd.DataFrame) -> pd.DataFrame:
-        found = [c for c in map(counts, group.sort_values(["key", "text"])["text"]) if c is not None]
-        if not found:
-            return pd.DataFrame({"lang": [], "centroid": [], "least": []})
-        rows = vectors(np.stack(found), idf)
-        centers = cluster(rows, CENTROIDS)
-        near = rows @ centers.T
-        least = float(near.max(axis=1).min())
-        return pd.DataFrame({"lang": group["lang"].iloc[0], "centroid": list(centers), "least": least})
-
-    found = sample.groupBy("lang").applyInPandas(centroids, "lang string, centroid array<float>, least double").collect()
+    def centroids(group: pa.Table) -> pa.Table:
+        texts = group.sort_by([("key", "ascending"), ("text", "ascending")]).column("text").to_pylist()
+        texts = [t for t in texts if len(letters(t))]
+        centers, least = np.empty((0, DIMENSIONS), np.float32), 0.0
+        if texts:
+            rows = vectors(stacked(map(counts, texts), len(texts)), idf)
+            centers = cluster(rows, CENTROIDS)
+            least = float((rows @ centers.T).max(axis=1).min())
+        return pa.table({
+            "lang": pa.array([group.column("lang")[0].as_py()] * len(centers), pa.string()),
+            "centroid": pa.array(list(centers), pa.list_(pa.float32())),
+            "least": pa.array([least] * len(centers), pa.float64()),
+        })
+
+    found = sample.groupBy("lang").applyInArrow(centroids, "lang string, centroid array<float>, least double").collect()
     found.sort(key=lambda r: r.lang)
     rows = np.array([r.centroid for r in found], dtype=np.float32).reshape(len(found), DIMENSIONS)
     return Model(idf, rows, [r.lang for r in found], np.array([MARGIN * r.least for r in found]))

@@ -45,10 +45,10 @@ def test_given_documents(spark, sf_dir):
 
 def test_prediction_is_the_nearest_centroid():
     random_ = np.random.default_rng(0)
-    centroids = lg.vectors(random_.integers(0, 9, (4, lg.DIMENSIONS)), np.ones(lg.DIMENSIONS))
+    centroids = lg.vectors(random_.integers(0, 9, (4, lg.DIMENSIONS)).astype(np.float32), np.ones(lg.DIMENSIONS, np.float32))
     model = lg.Model(np.ones(lg.DIMENSIONS, np.float32), centroids, ["a", "a", "b", "b"], np.zeros(4))
     for body in ("some words", "Wörter und mehr", "x"):
-        own = lg.vectors(lg.counts(body)[None, :], model.idf)[0]
+        own = lg.vectors(lg.stacked([lg.counts(body)], 1), model.idf)[0]
         cosines = [float(own @ c) for c in centroids]
         lang, score, rejected = next(model.predict([body]))
         assert lang == model.languages[int(np.argmax(cosines))] and score == pytest.approx(max(0.0, *cosines), abs=1e-6) and not rejected
