@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import LLM_QUERIES, LLM_SQL, entry, oracle_sql, queries
+from __spark_entry__ import LLM_QUERIES, entry, oracle_sql, queries
 from skyledger.schemas import ANOMALY_RANKING
 from tests.check_oracle import compare, connect
 
