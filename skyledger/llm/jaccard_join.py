@@ -5,9 +5,8 @@ quarter of each, the prefix; so only sets that meet there are compared, after fi
 on the positions at which they meet, and on how the rest is spread. A pair is verified once.
 
 The classes need no list of all links. Among the sets that share a prefix shingle, all are first compared
-with one pivot, which joins most of a group of near copies in one round and without its square of pairs;
-rounds repeat with other pivots while they pay, and a last one compares what is left in different classes
-pair by pair. Pairs within one class are never made, and none between classes is lost.
+with a few pivots, which joins most of a group of near copies in one round and without its square of pairs;
+some rounds repeat with other pivots, and a last one compares what is left in different classes pair by pair. Pairs within one class are never made, and none between classes is lost.
 """
 
 from __future__ import annotations
