@@ -3,8 +3,9 @@
 A text's letters, lower-cased, with one space for everything between them, give runs of 1, 2 and 3
 characters; hashed, they are counted, damped by the logarithm, weighted by inverse document frequency and
 brought to length 1. Each language has several centroids, found by spherical k-means on a sample of
-its labelled rows. The nearest by cosine names the language. A text farther from its centroid than any
-sample row, by a margin, is rejected.
+its labelled rows. The nearest by cosine names the language. A text is rejected if it is farther from its
+centroid than nearly all labelled texts of that language and its size are from centroids that were
+fitted without them.
 """
 
 from __future__ import annotations
@@ -26,8 +27,21 @@ CENTROIDS = 4
 ROUNDS = 12
 DIMENSIONS = 1 << 12
 RUNS = (1, 2, 3)
-# A text is rejected below this share of the lowest cosine that any sample row has to its centroid.
-MARGIN = 0.5
+# The bound of rejection is taken for texts with about so many different runs, which tells better than their
+# length how much they say: a word repeated a thousand times is a short text. Between two, it is interpolated.
+SIZES = tuple(2 ** (k / 2) for k in range(4, 25))
+# Texts are cut to so many letters and spaces, so that all sizes are known from all texts.
+LENGTHS = tuple(3 << k for k in range(14))
+# Cosines of so many parts of the sample come from centroids fitted on the other parts.
+FOLDS = 4
+# The bound lies farther below the median of these cosines than so low a quantile, by the power SLACK of its
+# share of the median; and at least by the power SPREAD of the share that the lowest sixth of them ends with,
+# as few rows know no such quantile.
+QUANTILE = 0.01
+SLACK = 2.0
+SPREAD = 8.0
+# A bound for a size needs so many cosines; else the next smaller size's holds.
+LEAST_TEXTS = 10
 ROWS_AT_ONCE = 256
 UNKNOWN = "und"
 
@@ -63,8 +77,11 @@ def letters(text: str | None) -> np.ndarray:
 def counts(text: str | None) -> np.ndarray | None:
     """Hashed counts of all character runs; None if the text has no letter."""
     code = letters(text)
-    if not len(code):
-        return None
+    return run_counts(code) if len(code) else None
+
+
+def run_counts(code: np.ndarray) -> np.ndarray:
+    """Hashed counts of all runs of what :func:`letters` gives."""
     total = np.zeros(DIMENSIONS, dtype=np.int64)
     for n in RUNS:
         if len(code) >= n:
@@ -97,6 +114,8 @@ def vectors(rows: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Model:
+    """``least`` has a row per centroid: the bound of rejection for each of SIZES, or one for all sizes."""
+
     idf: np.ndarray
     centroids: np.ndarray
     languages: list[str]
@@ -110,14 +129,15 @@ class Model:
             if some and self.languages:
                 near = vectors(stacked(some, len(some)), self.idf) @ self.centroids.T
                 best = near.argmax(axis=1)
-                answers = iter(zip(best, near[np.arange(len(best)), best]))
+                bounds = self.least.reshape(len(self.languages), -1)[best]
+                answers = iter(zip(best, near[np.arange(len(best)), best], map(bound, bounds, some)))
             for c in found:
                 if c is None or not self.languages:
                     yield UNKNOWN, 0.0, True
                 else:
-                    k, cosine = next(answers)
+                    k, cosine, least = next(answers)
                     score = float(min(max(cosine, 0.0), 1.0))
-                    yield self.languages[k], score, score < self.least[k]
+                    yield self.languages[k], score, score < least
 
 
 def cluster(rows: np.ndarray, k: int) -> np.ndarray:
@@ -133,6 +153,40 @@ def cluster(rows: np.ndarray, k: int) -> np.ndarray:
     return found
 
 
+def bound(least: np.ndarray, c: np.ndarray) -> float:
+    """The bound of rejection for a text with counts ``c``."""
+    return float(np.interp(np.log2(np.count_nonzero(c)), np.log2(SIZES[: len(least)]), least))
+
+
+def radius(texts: list[np.ndarray], rows: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Per size the bound of rejection, from ``texts``, whole and cut, whose vectors when whole are ``rows``.
+
+    A text's cosine is that to the nearest of the centroids that were fitted without its fold. With too few
+    texts for that nothing is rejected.
+    """
+    least, fold = np.zeros(len(SIZES)), np.arange(len(texts)) % FOLDS
+    if len(texts) < FOLDS:
+        return least
+    sizes, near = [], []
+    for f in range(FOLDS):
+        centers = cluster(rows[fold != f], CENTROIDS)
+        own = [t for t, of in zip(texts, fold) if of == f]
+        cut = own + [np.append(t[: length - 1], _SPACE) for length in LENGTHS for t in own if len(t) > length]
+        for at in range(0, len(cut), ROWS_AT_ONCE):
+            part = stacked(map(run_counts, cut[at : at + ROWS_AT_ONCE]), len(cut[at : at + ROWS_AT_ONCE]))
+            sizes.append(np.count_nonzero(part, axis=1))
+            near.append((vectors(part, idf) @ centers.T).max(axis=1))
+    place, cosines = np.rint(2 * np.log2(np.concatenate(sizes) / SIZES[0])), np.concatenate(near)
+    for k in range(len(SIZES)):
+        some = cosines[place == k]
+        if len(some) < LEAST_TEXTS:
+            least[k] = least[max(k - 1, 0)]
+            continue
+        low, sixth, middle = np.maximum(np.quantile(some, [QUANTILE, 1 / 6, 0.5]), 1e-9)
+        least[k] = middle * min((low / middle) ** SLACK, (sixth / middle) ** SPREAD)
+    return least
+
+
 def held_out(id_column: str) -> Column:
     """Whether the row is kept from learning: crc32 of the id as text, mod 3, is 1. A NULL id counts as empty text."""
     return F.crc32(key_text(id_column).cast("binary")) % 3 == 1
@@ -166,22 +220,22 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", l
 
     def centroids(group: pa.Table) -> pa.Table:
         texts = group.sort_by([("key", "ascending"), ("text", "ascending")]).column("text").to_pylist()
-        texts = [t for t in texts if len(letters(t))]
-        centers, least = np.empty((0, DIMENSIONS), np.float32), 0.0
-        if texts:
-            rows = vectors(stacked(map(counts, texts), len(texts)), idf)
+        codes = [code for code in map(letters, texts) if len(code)]
+        centers, least = np.empty((0, DIMENSIONS), np.float32), np.zeros(len(SIZES))
+        if codes:
+            rows = vectors(stacked(map(run_counts, codes), len(codes)), idf)
             centers = cluster(rows, CENTROIDS)
-            least = float((rows @ centers.T).max(axis=1).min())
+            least = radius(codes, rows, idf)
         return pa.table({
             "lang": pa.array([group.column("lang")[0].as_py()] * len(centers), pa.string()),
             "centroid": pa.array(list(centers), pa.list_(pa.float32())),
-            "least": pa.array([least] * len(centers), pa.float64()),
+            "least": pa.array([least] * len(centers), pa.list_(pa.float64())),
         })
 
-    found = sample.groupBy("lang").applyInArrow(centroids, "lang string, centroid array<float>, least double").collect()
+    found = sample.groupBy("lang").applyInArrow(centroids, "lang string, centroid array<float>, least array<double>").collect()
     found.sort(key=lambda r: r.lang)
     rows = np.array([r.centroid for r in found], dtype=np.float32).reshape(len(found), DIMENSIONS)
-    return Model(idf, rows, [r.lang for r in found], np.array([MARGIN * r.least for r in found]))
+    return Model(idf, rows, [r.lang for r in found], np.array([r.least for r in found]).reshape(len(found), len(SIZES)))
 
 
 def identify(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:

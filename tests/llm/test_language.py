@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import base64
 import random
 import zlib
 
@@ -61,6 +62,38 @@ def test_far_texts_are_rejected(spark):
     assert found == {1: True, 2: False}
 
 
+FOREIGN = [
+    "La mattina il treno partì dalla stazione con molto ritardo e i viaggiatori, stanchi di aspettare, cominciarono a parlare tra loro"
+    " della pioggia che non smetteva di cadere. Una signora anziana raccontò che da giovane aveva vissuto in quella città, quando le"
+    " strade erano ancora piene di biciclette e i bambini giocavano nelle piazze fino a sera.",
+    "De trein vertrok die ochtend met veel vertraging van het station en de reizigers, moe van het wachten, begonnen met elkaar te"
+    " praten over de regen die maar niet ophield. Een oudere vrouw vertelde dat zij als meisje in die stad had gewoond, toen de"
+    " straten nog vol fietsen waren en kinderen tot laat in de avond op het plein speelden.",
+    "Juna lähti aamulla asemalta hyvin myöhässä ja matkustajat, jotka olivat väsyneet odottamaan, alkoivat puhua keskenään sateesta,"
+    " joka ei lakannut millään. Vanha nainen kertoi asuneensa nuorena siinä kaupungissa, kun kadut olivat vielä täynnä polkupyöriä.",
+    " ".join("".join(random.Random(k).choices("abcdefghijklmnopqrstuvwxyz", k=2 + k % 8)) for k in range(500)),
+    " ".join("".join(random.Random(k).choices("0123456789abcdef", k=32)) for k in range(60)),
+    base64.b64encode(random.Random(2).randbytes(3000)).decode(),
+]
+
+
+def test_unlearned_languages_and_random_letters_are_rejected(spark):
+    given = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = lg.fit(given)
+    assert [r for _, _, r in model.predict(FOREIGN)] == [True] * len(FOREIGN)
+    out = lg.identify(given.filter(lg.held_out("doc_id")), model).collect()
+    assert sum(r._rejected for r in out) <= 0.01 * len(out)
+
+
+def test_one_odd_row_does_not_set_the_bound(spark):
+    """Short, mislabelled and repeated rows among the learned ones."""
+    odd = [(1000 + k, t, "aa", "s", 0) for k, t in enumerate(["x", text("bb", random.Random(5), 40), "schr " * 300])]
+    model = lg.fit(documents(spark, rows(n=900) + odd))
+    assert [r for _, _, r in model.predict(FOREIGN)] == [True] * len(FOREIGN)
+    clean = [t for _, t, *_ in rows(seed=9, n=900)]
+    assert sum(r for _, _, r in model.predict(clean)) <= 9
+
+
 def test_letters():
     assert "".join(map(chr, lg.letters("Ab1!! c\tÉ"))) == " ab c é "
     assert lg.counts("12 !?") is None and lg.counts(None) is None and lg.counts("") is None
