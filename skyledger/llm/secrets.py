@@ -2,7 +2,7 @@
 
 Regular expressions find candidates in every text, with their places in code points. Their values, hashed,
 are then counted over the whole corpus, by distinct owners and by distinct repositories: what many owners
-have is an example that people copy, what few have looks live. Candidates of the base kinds are always
+or many repositories have is an example that people copy, what few have looks live. Candidates of the base kinds are always
 reported; the further kinds, which match looser, only if their ownership makes them look live.
 """
 
@@ -16,8 +16,9 @@ from pyspark.sql.window import Window
 
 from skyledger.llm.common import saved
 
-# A value of so many distinct owners is an example.
+# A value of so many distinct owners, or of so many distinct repositories, whoever owns them, is an example.
 EXAMPLE_OWNERS = 3
+EXAMPLE_REPOSITORIES = 10
 
 
 @dataclass(frozen=True)
@@ -96,8 +97,8 @@ def scan_secrets(docs: DataFrame, keep: list[str], text_column: str = "text", ow
     """``keep`` columns of every row, and what was found in its text.
 
     _n_assign, _n_access, _n_hex, _base and _spans (kind:start:end, comma-joined, all and base kinds only),
-    _n_live and _n_example (spans of _spans by ownership of their value), _owners (the most owners of a value). NULL and
-    empty texts have none; repeated rows are rows of one repository; a NULL owner is an owner.
+    _n_live and _n_example (spans of _spans by ownership of their value), _owners and _repositories (the most of a
+    value). NULL and empty texts have none; repeated rows are rows of one repository; a NULL owner is an owner.
     """
     rows = docs.select(
         F.monotonically_increasing_id().alias("_row"), *keep, F.col(owner_column).cast("string").alias("_owner"),
@@ -112,7 +113,9 @@ def scan_secrets(docs: DataFrame, keep: list[str], text_column: str = "text", ow
         "_row", "_owner", "_repository", "kind", F.inline("found")
     )
     found = saved(_placed(matches))
-    known = found.join(ownership(found), "hash").withColumn("live", F.col("owners") < EXAMPLE_OWNERS)
+    known = found.join(ownership(found), "hash").withColumn(
+        "live", (F.col("owners") < EXAMPLE_OWNERS) & (F.col("repositories") < EXAMPLE_REPOSITORIES)
+    )
     base = F.array(*[F.lit(k.base) for k in KINDS])
     known = known.withColumn("base", F.element_at(base, F.col("kind") + 1)).filter("base OR live")
     span = F.struct("start", "kind", "end")
@@ -123,8 +126,9 @@ def scan_secrets(docs: DataFrame, keep: list[str], text_column: str = "text", ow
         F.count_if("live").alias("_n_live"),
         F.count_if(~F.col("live")).alias("_n_example"),
         F.max("owners").alias("_owners"),
+        F.max("repositories").alias("_repositories"),
     ).withColumns({"_base": _joined(F.col("_base")), "_spans": _joined(F.col("_spans"))})
-    numbers = [c for c in per_row.columns if c.startswith("_n_")] + ["_owners"]
+    numbers = [c for c in per_row.columns if c.startswith("_n_")] + ["_owners", "_repositories"]
     joined = scanned.select("_row", *keep).join(per_row, F.col("_row") == F.col("_of"), "left")
     return joined.select(
         *keep, *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in numbers],

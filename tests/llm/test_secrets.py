@@ -48,6 +48,24 @@ def test_ownership_parts_examples_from_live_secrets(spark):
     assert all(found[100 + k]._spans == f"vendor:4:{4 + len(live)}" and found[100 + k]._n_live == 1 for k in range(5))
 
 
+def test_a_value_in_many_documents_of_one_source_is_an_example(spark):
+    copied, own = "ghp_" + "copiedcopiedcopied1234", "ghp_" + "Zq81" * 6
+    n = secrets.EXAMPLE_REPOSITORIES
+    rows = [(k, f"see {copied}", "en", "hot", 0) for k in range(n)] + [(100 + k, f"use {own}", "en", "hot", 0) for k in range(n - 1)]
+    rows += [(100, f"use {own}", "en", "hot", 0)] * n + [(200 + k, "password = 'changeme-changeme'", "en", None, 0) for k in range(n)]
+    found = secrets.scan_secrets(documents(spark, rows), ["doc_id"]).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        if r.doc_id < 100:
+            assert (r._spans, r._n_live, r._n_example) == ("", 0, 0)
+        elif r.doc_id < 200:
+            assert (r._spans, r._n_live, r._n_example) == (f"vendor:4:{4 + len(own)}", 1, 0)
+            assert (r._owners, r._repositories) == (1, n - 1)
+        else:
+            assert (r._spans, r._n_live, r._n_example) == ("assign:0:29", 0, 1)
+            assert (r._owners, r._repositories) == (1, n)
+
+
 def test_a_base_span_stays_whoever_owns_it(spark):
     rows = [(k, "password = 'changeme-changeme'", "en", f"owner{k}", 0) for k in range(5)]
     found = secrets.scan_secrets(documents(spark, rows), ["doc_id"]).collect()
