@@ -39,7 +39,9 @@ BLOCKS = frozenset(
 )
 # Their text is a block of its container, not a container.
 LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre summary figcaption caption td th".split())
-NEVER = frozenset("nav footer aside form head dialog menu button".split())
+NEVER = frozenset("nav footer aside head dialog menu button".split())
+# Rarely article text, but some sites have whole pages in them.
+DOUBTFUL = frozenset("form header".split())
 ROOTS = frozenset("html body main article".split())
 NEVER_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies consent disqus"
@@ -47,6 +49,14 @@ NEVER_NAMES = frozenset(
     " share sharing sidebar skip social sponsor sponsored subscribe subscription toolbar widget widgets".split()
 )
 COMMENTS = frozenset("comment comments reply replies disqus".split())
+# A compound name with one of these says how the element is laid out, not what it holds: with-sidebar, header-fixed.
+LAYOUT = frozenset(
+    "with without has have no not is hide hidden show open closed enabled disabled fixed sticky left right top bottom layout above below".split()
+)
+# Left empty if they are never closed; after the others of RAW the rest of the page is no text.
+EMPTY_IF_OPEN = RAW - frozenset("script style textarea title".split())
+# Without an article, an element with a doubtful name or tag stays if it holds more than this share of the text.
+MOST_TEXT = 0.5
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
@@ -56,6 +66,7 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 _NAME = re.compile(r"[^a-z0-9]+")
+_HEADER = frozenset(["header"])
 _DIGITS = re.compile(r"\d+")
 
 
@@ -67,6 +78,8 @@ class Element:
     path: str
     kept: bool
     parents: tuple[str, ...]
+    # Numbers of the elements with doubtful names or tags that it is in, itself included; negative for comments.
+    doubts: tuple[int, ...] = ()
 
 
 @dataclass
@@ -76,30 +89,64 @@ class Block:
     text: str
     containers: tuple[str, ...]
     linked: int = 0
+    doubts: tuple[int, ...] = ()
+
 
+def _named(names: set[str], never: frozenset[str]) -> bool:
+    """Whether a name, or a part of one that says what an element holds, is in ``never``."""
+    parts = [n.split() for n in (_NAME.sub(" ", name) for name in names)]
+    return any(never.intersection(p) and not LAYOUT.intersection(p) for p in parts)
 
-def _step(tag: str, attributes: str, parent: Element | None) -> Element:
+
+def _step(tag: str, attributes: str, parent: Element | None, number: int) -> Element:
     names: set[str] = set()
     classes: list[str] = []
     for m in _ATTRIBUTE.finditer(attributes):
         value = (m[2] or m[3] or m[4] or "").lower()
-        names.update(_NAME.split(value))
+        names.update(value.split())
         if m[1].lower() == "class":
             classes = sorted({_DIGITS.sub("#", c) for c in value.split()})
     inside = parent.parents if parent else ()
-    in_article = any(p.split("/")[-1].split(".")[0] in ("article", "main") for p in inside)
+    in_article = any(_tag(p) in ("article", "main") for p in inside)
     kept = parent.kept if parent else True
-    if tag in NEVER or (tag == "header" and not in_article):
+    doubts = parent.doubts if parent else ()
+    if tag in NEVER:
         kept = False
     elif tag == "article" or tag == "main":
-        kept = kept and not names & COMMENTS
-    elif tag not in ROOTS and (names & NEVER_NAMES or ("header" in names and not in_article)):
-        kept = False
+        doubts = (*doubts, -number) if _named(names, COMMENTS) else doubts
+    elif tag not in ROOTS and _named(names, COMMENTS):
+        doubts = (*doubts, -number)
+    elif tag not in ROOTS and (_named(names, NEVER_NAMES) or (not in_article and _named(names, _HEADER))):
+        doubts = (*doubts, number)
+    elif tag in DOUBTFUL and not (tag == "header" and in_article):
+        doubts = (*doubts, number)
     if len(inside) >= MAX_DEPTH:
-        return Element(tag, parent.path, kept, inside)
+        return Element(tag, parent.path, kept, inside, doubts)
     path = (parent.path + "/" if parent else "") + ".".join([tag, *classes])
     parents = inside if tag in LEAVES else (*inside, path)
-    return Element(tag, path, kept, parents)
+    return Element(tag, path, kept, parents, doubts)
+
+
+def _tag(path: str) -> str:
+    return path.split("/")[-1].split(".")[0]
+
+
+def _without_doubts(blocks: list[Block]) -> list[Block]:
+    """The blocks outside of doubtful elements; all if that leaves none.
+
+    Where no article or main element has text outside of them, those that hold most of the page's text are
+    not doubtful, unless they are comments.
+    """
+    sure = [b for b in blocks if not b.doubts]
+    if any(_tag(path) in ("article", "main") for b in sure for path in b.containers):
+        return sure
+    held: dict[int, int] = {}
+    for block in blocks:
+        for doubt in block.doubts:
+            held[doubt] = held.get(doubt, 0) + len(block.text)
+    total = sum(len(b.text) for b in blocks)
+    gone = {doubt for doubt, n in held.items() if doubt < 0 or n <= MOST_TEXT * total}
+    return [b for b in blocks if gone.isdisjoint(b.doubts)] or blocks
 
 
 def parse(source: str) -> list[Block]:
@@ -107,13 +154,13 @@ def parse(source: str) -> list[Block]:
     blocks: list[Block] = []
     stack: list[Element] = []
     parts: list[str] = []
-    linked = links = 0
+    linked = links = opened = 0
 
     def flush() -> None:
         nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            blocks.append(Block(text, stack[-1].parents if stack else (), linked))
+            blocks.append(Block(text, stack[-1].parents if stack else (), linked, stack[-1].doubts if stack else ()))
         parts.clear()
         linked = 0
 
@@ -138,9 +185,12 @@ def parse(source: str) -> list[Block]:
         if tag == "a":
             links = max(0, links + (-1 if closing else 1))
         if tag in RAW and not closing:
-            end = re.compile(f"</{re.escape(tag)}\\b[^>]*>", re.IGNORECASE).search(source, at)
-            at = end.end() if end else len(source)
             add(" ")
+            if (m[3] or m[6] or "").endswith("/"):
+                continue
+            end = re.compile(f"</{re.escape(tag)}\\b[^>]*>", re.IGNORECASE).search(source, at)
+            if end or tag not in EMPTY_IF_OPEN:
+                at = end.end() if end else len(source)
             continue
         if tag == "br":
             add(" ")
@@ -160,10 +210,11 @@ def parse(source: str) -> list[Block]:
             # A new block ends an open paragraph; an item ends the item before it.
             if stack and stack[-1].tag == "p" or stack and tag in LEAVES and stack[-1].tag == tag:
                 stack.pop()
-            stack.append(_step(tag, m[3] or m[6] or "", stack[-1] if stack else None))
+            opened += 1
+            stack.append(_step(tag, m[3] or m[6] or "", stack[-1] if stack else None, opened))
         links = 0 if tag in ROOTS else links
     flush()
-    return blocks
+    return _without_doubts(blocks)
 
 
 def best_container(blocks: list[Block]) -> str | None:

@@ -32,6 +32,33 @@ def test_what_is_no_article(before):
         assert hx.extract(page(main, "", before), []) == TEXT
 
 
+@pytest.mark.parametrize(
+    "wrapper",
+    ["div class='content with-sidebar'", "div id='page' class='no-sidebar'", "div class='site header-fixed'", "div class='has-comments'",
+     "div class='widget'", "form id='page'", "div class='page-header'", "div class='comments'"],
+)
+def test_a_wrapper_with_the_article_stays(wrapper):
+    inside = f"<div class='post'>{BODY}</div><div id='sidebar'><p>More of this</p></div><footer>Imprint</footer>"
+    tag = wrapper.split()[0]
+    source = page(f"<{wrapper}>{inside}</{tag}>", "<nav>Home</nav>")
+    if wrapper == "div class='comments'":
+        source = source.replace("<div id='sidebar'><p>More of this</p></div>", "")
+    assert hx.extract(source, []) == TEXT
+
+
+def test_long_comments_beside_a_short_article_go():
+    many = "<div class='comments-area'>" + "<p>This is a reader's comment on it.</p>" * 90 + "</div>"
+    assert hx.extract(page(f"<div class='post'>{BODY}</div>", "", many), []) == TEXT
+
+
+@pytest.mark.parametrize("raw", ["<svg class='x'/>", "<video src='a.mp4' />", "<object data='a'/>", "<svg>", "<video src='a'>", "<iframe src='a'/>"])
+def test_what_follows_a_self_closed_element_stays(raw):
+    assert hx.extract(page(f"<article>{raw}{BODY}</article>"), []) == TEXT
+    closed = f"<{raw[1:].split()[0].strip('/>')} class='y'></{raw[1:].split()[0].strip('/>')}>"
+    if raw.endswith("/>"):
+        assert hx.extract(page(f"<article>{raw}{BODY}{closed}</article>"), []) == TEXT
+
+
 def test_headline_and_inner_parts():
     source = page(f"<article><header><h1>A  headline</h1></header><div class='body'>{BODY}<ul><li>One</li><li>Two &amp; three</li></ul></div><div class='ads'>Ad</div></article>")
     assert hx.extract(source, []) == f"A headline\n{TEXT}\nOne\nTwo & three"
