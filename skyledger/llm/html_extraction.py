@@ -2,8 +2,9 @@
 
 Each page's containers are scored by the text that stands in them outside of links and of what is never
 article text. A page votes for the tag-class path of its best container, with numbers in class names made
-equal; the votes are counted per host. Then every page is read again with its host's winning paths. A page
-that has none of them falls back to its own best container.
+equal; the votes are counted per host. Then every page is read again with its host's winning paths: the first
+with a fair share of the text that any of them holds there counts. A page that has none of them falls back
+to its own best container. Sections that stand side by side are taken together by what is around them.
 """
 
 from __future__ import annotations
@@ -24,8 +25,12 @@ from skyledger.llm.url_filter import url_parts
 
 # A path needs this share of its host's votes, so a host has at most so many winning paths as fit in 1.
 LEAST_SHARE = 0.05
-# A container gives way to its parent while that adds at most this much text: a headline, a lead.
+# A container gives way to its parent while that adds at most this much text: a headline, a lead;
 PARENT_GAIN = 1.3
+# and also if it adds more, but with at most this share in links: another section, a list and its paragraphs.
+LINKED_SHARE = 0.3
+# Of a host's winning paths the first one counts under which a page has this share of the most text under any.
+HELD_SHARE = 0.15
 SLICE = 256
 # Elements deeper than this count as part of the container at this depth.
 MAX_DEPTH = 100
@@ -218,30 +223,60 @@ def parse(source: str) -> list[Block]:
 
 
 def best_container(blocks: list[Block]) -> str | None:
-    """The path of the container with most text near it, or of a parent that adds little."""
+    """The path of the container with most text near it, or of a parent that adds little or more of an article."""
     scores: dict[str, float] = {}
     totals: dict[str, int] = {}
+    linked: dict[str, int] = {}
     for block in blocks:
         weight = max(0, len(block.text) - block.linked)
         for k, path in enumerate(reversed(block.containers)):
             scores[path] = scores.get(path, 0) + weight / (1 if k == 0 else 2 if k == 1 else 3 * k)
+        # Paths repeat along one chain only where markup is deeper than MAX_DEPTH.
+        for path in set(block.containers):
             totals[path] = totals.get(path, 0) + weight
+            linked[path] = linked.get(path, 0) + block.linked
     if not scores:
         return None
     best = max(scores, key=lambda p: (scores[p], p))
     parents = next(b.containers for b in blocks if best in b.containers)
-    for parent in reversed(parents[: parents.index(best)]):
-        if parent.split("/")[-1].split(".")[0] in ("html", "body") or totals[parent] > PARENT_GAIN * totals[best]:
+    parents = parents[: parents.index(best)]
+    for parent in reversed(parents):
+        if _tag(parent) == "html":
             break
+        added, links = totals[parent] - totals[best], linked[parent] - linked[best]
+        gain = (PARENT_GAIN - 1) * totals[best]
+        mostly_links = links > LINKED_SHARE * (added + links)
+        if _tag(parent) == "body" and added <= gain or mostly_links and max(added, links) > gain:
+            break
+        if _tag(parent) == "body" and _tag(best) in ("article", "main"):
+            # Beside an article only other articles count.
+            others = [b for b in blocks if best not in b.containers and any(_tag(p) in ("article", "main") for p in b.containers)]
+            if sum(len(b.text) - b.linked for b in others) <= gain:
+                break
         best = parent
-    return best
+    # Whatever else an article holds is a part of it.
+    above = [p for p in parents if best.startswith(f"{p}/") and _tag(p) in ("article", "main")]
+    return above[-1] if above and _tag(best) not in ("article", "main") else best
+
+
+def choose(blocks: list[Block], winners: list[str]) -> str | None:
+    """The first of ``winners`` with a fair share of the text that any of them has on the page, else the page's own best.
+
+    A winner gives way to one around it that is the page's own best container.
+    """
+    own = best_container(blocks)
+    held = {w: sum(len(b.text) for b in blocks if w in b.containers) for w in winners}
+    most = max(held.values(), default=0)
+    if not most:
+        return own
+    first = next(w for w in winners if held[w] >= HELD_SHARE * most)
+    return own if own in held and first.startswith(f"{own}/") else first
 
 
 def extract(source: str, winners: list[str]) -> str:
-    """The text under the first of ``winners`` that the page has text under, else under its own best container."""
+    """The text under the path that :func:`choose` finds for the page."""
     blocks = parse(source)
-    held = {path for block in blocks for path in block.containers}
-    path = next((w for w in winners if w in held), None) or best_container(blocks)
+    path = choose(blocks, winners)
     return "\n".join(b.text for b in blocks if path is None or path in b.containers)
 
 

@@ -64,6 +64,37 @@ def test_headline_and_inner_parts():
     assert hx.extract(source, []) == f"A headline\n{TEXT}\nOne\nTwo & three"
 
 
+SECTION = "".join(f"<p>Sentence {k} of the second section, which is as long.</p>" for k in range(5))
+SECTION_TEXT = "\n".join(f"Sentence {k} of the second section, which is as long." for k in range(5))
+
+
+@pytest.mark.parametrize("around", ["article", "main", "div class='post'"])
+def test_articles_in_several_sections_are_whole(around):
+    tag = around.split()[0]
+    source = page(f"<{around}><section class='intro'>{BODY}</section><section class='analysis'>{SECTION}</section></{tag}>", "<nav>Home</nav>")
+    assert hx.extract(source, []) == f"{TEXT}\n{SECTION_TEXT}"
+    bare = page(f"<section class='intro'>{BODY}</section><section class='analysis'>{SECTION}</section>", "<nav>Home</nav>")
+    assert hx.extract(bare, []) == f"{TEXT}\n{SECTION_TEXT}"
+    two = page(f"<article class='a'>{BODY}</article><article class='b'>{SECTION}</article>", "<nav>Home</nav>")
+    assert hx.extract(two, []) == f"{TEXT}\n{SECTION_TEXT}"
+    links = "<div class='more'>" + "<p><a href='/'>Another page that is linked from here</a></p>" * 9 + "</div>"
+    assert hx.extract(page(f"<div class='page'><div class='post'>{BODY}</div>{links}</div>"), []) == TEXT
+
+
+def test_list_heavy_pages_keep_heading_and_paragraphs():
+    items = "".join(f"<li>Item {k} of a long list on this page</li>" for k in range(20))
+    source = page(f"<div class='content'><h1>Heading</h1>{BODY}<ul>{items}</ul></div>")
+    assert hx.extract(source, []) == "\n".join(["Heading", TEXT, *(f"Item {k} of a long list on this page" for k in range(20))])
+
+
+def test_pages_of_a_hosts_second_template(spark):
+    rows = [(k, "http://h.org/", page(f"<div class='post'>{BODY}</div>")) for k in range(12)]
+    rows += [(100 + k, "http://h.org/", page(f"<div class='long'>{BODY * 9}</div>", "<div class='post'><p>A short teaser.</p></div>")) for k in range(4)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r._text for r in hx.extract_main_text(pages, ["page_id"]).collect()}
+    assert all(t == (TEXT if k < 100 else "\n".join([TEXT] * 9)) for k, t in found.items())
+
+
 def test_broken_markup_and_references():
     source = "<article><h1>T &lt;b&gt; &#228;&copy</h1><p><b>Bold start.<br><p>Next&nbsp; one a<br>b <a href=\"x>y\">link</a> c<p>Last 1 < 2 words"
     assert hx.extract(source, []) == "T <b> ä©\nBold start.\nNext one a b link c\nLast 1 < 2 words"
