@@ -31,7 +31,10 @@ HOST_RULES = [
 
 @dataclass(frozen=True)
 class Pattern:
-    """A URL that matches ``regex`` is blocked; each literal is a token of every such URL."""
+    """A URL that matches ``regex`` is blocked; each literal is a token of every such URL.
+
+    A word that the expression does not end, like ``php`` where ``php5`` matches too, is no such literal.
+    """
 
     name: str
     regex: str
@@ -47,7 +50,7 @@ PATTERNS = [
     Pattern("spam host", _HOST + r"spam-[a-z0-9-]+[.]", ("spam",)),
     Pattern("tracker host", _HOST + r"ads-track(er|ing)?[.]", ("ads",)),
     Pattern("casino page", r"://[^/?#]+/([^?#]*/)?online-casino([/.-]|$)", ("online", "casino")),
-    Pattern("login page", r"://[^/?#]+/([^?#]*/)?login[.]php", ("login", "php")),
+    Pattern("login page", r"://[^/?#]+/([^?#]*/)?login[.]php", ("login",)),
 ]
 
 _UPPER, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

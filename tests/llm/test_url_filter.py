@@ -58,6 +58,32 @@ def test_index_uses_the_rarest_literal(spark):
     assert sorted((r.page_id, r._pattern) for r in found) == [(7, "open"), (99, "both")]
 
 
+MATCHING = {
+    "adult host": ["http://adult-x.org/", "http://a.adult-x-y.b.org"],
+    "betting host": ["http://bets.org", "http://my-bets-now.org/"],
+    "casino host": ["http://casino.org", "http://a.best-casino-1.org/"],
+    "pills host": ["http://cheap-pills.org", "http://x.online-pills.org/a"],
+    "spam host": ["http://spam-x.org", "http://a.spam-y.org/"],
+    "tracker host": ["http://ads-track.org", "http://ads-tracker.org/", "http://x.ads-tracking.org"],
+    "casino page": ["http://h.org/online-casino", "http://h.org/a/online-casino-x", "http://h.org/online-casino/x", "http://h.org/ONLINE-casino.html"],
+    "login page": ["http://h.org/login.php", "http://h.org/a/login.php5", "http://h.org/login.phpx?u=1", "http://h.org/Login.PHP/x", "http://h.org/login.php_old"],
+}
+
+
+@pytest.mark.parametrize("rarest", [0, 1])
+def test_the_index_loses_no_match_whichever_literal_is_rarest(spark, rarest):
+    urls = [u for found in MATCHING.values() for u in found]
+    for p in uf.PATTERNS:
+        # The other literals, and words that look like ones, stand in many more URLs.
+        common = [t for k, t in enumerate(p.literals) if k != min(rarest, len(p.literals) - 1)]
+        urls += [f"http://h.org/{p.name[0]}{k}/{t}" for t in common + ["login" if rarest else "php"] for k in range(9)]
+    pages = spark.createDataFrame([(u,) for u in urls], "url string")
+    without = uf.pattern_table(spark, [uf.Pattern(p.name, p.regex, ()) for p in uf.PATTERNS])
+    indexed = {r.url: r._pattern for r in uf.filter_urls(pages, ["url"]).collect()}
+    assert indexed == {r.url: r._pattern for r in uf.filter_urls(pages, ["url"], patterns=without).collect()}
+    assert {u: indexed[u] for found in MATCHING.values() for u in found} == {u: name for name, found in MATCHING.items() for u in found}
+
+
 def test_equally_long_rules_and_own_tables(spark):
     pages = spark.createDataFrame([(1, "http://a.b/x")], "page_id long, url string")
     rules = uf.host_rule_table(spark, [("a.b", "/", "allow"), ("a.b", "/", "block")])
