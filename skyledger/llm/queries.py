@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import decontamination, html_extraction, jaccard_join, language, mixing, secrets, sharding, toxicity, url_filter, vector_search
+from skyledger.llm import decontamination, html_extraction, jaccard_join, language, line_dedup, mixing, secrets, sharding, toxicity, url_filter, vector_search
+
+# The documents are read in so many batches, by files.
+LINE_BATCHES = 8
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -92,6 +95,15 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_lines, n_dropped, kept_sha256 of every document."""
+    docs = _read(spark, sf_dir, "documents")
+    found = line_dedup.dedup_lines(docs, batches=line_dedup.file_batches(docs, LINE_BATCHES))
+    return found.select(
+        "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), F.sha2("_kept", 256).alias("kept_sha256")
+    )
+
+
 def _values(rows: list[tuple]) -> str:
     quoted = [", ".join("'" + str(v).replace("'", "''") + "'" for v in row) for row in rows]
     return ", ".join(f"({row})" for row in quoted)
@@ -218,6 +230,20 @@ SELECT doc_id, n_bytes, depth,
 FROM keyed JOIN fitting USING (k)
 """
 
+# Lines of all documents counted at once.
+LINE_SQL = f"""
+WITH texts AS (SELECT doc_id, string_split(COALESCE(text, ''), chr(10)) AS lines FROM documents),
+lines AS (
+  SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS place,
+  FROM texts
+), keyed AS (
+  SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{_UPPER}', '{_LOWER}') AS key FROM lines
+), frequent AS (SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING COUNT(DISTINCT doc_id) >= {line_dedup.LEAST_DOCUMENTS})
+SELECT doc_id, COUNT(*) AS n_lines, COUNT(f.key) AS n_dropped,
+       sha256(COALESCE(string_agg(line, chr(10) ORDER BY place) FILTER (f.key IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN frequent f USING (key) GROUP BY doc_id
+"""
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_secrets": op2_secrets,
@@ -229,10 +255,12 @@ QUERIES = {
     "op8_vector_search": op8_vector_search,
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
+    "op11_line_dedup": op11_line_dedup,
 }
 ORACLE_SQL = {
     "op1_url_filter": URL_SQL,
     "op2_secrets": SECRETS_SQL,
     "op6_decontamination": DECONTAMINATION_SQL,
     "op7_sharding": SHARDING_SQL,
+    "op11_line_dedup": LINE_SQL,
 }
