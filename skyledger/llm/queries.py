@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import decontamination, html_extraction, jaccard_join, language, line_dedup, mixing, secrets, sharding, toxicity, url_filter, vector_search
+from skyledger.llm import conversations, decontamination, html_extraction, jaccard_join, language, line_dedup, mixing, secrets, sharding, toxicity, url_filter, vector_search
 
 # The documents are read in so many batches, by files.
 LINE_BATCHES = 8
@@ -104,6 +104,31 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of conversations with faults, chosen by a checksum of conversation and turn; dropped ones are not ``kept``."""
+    table = _read(spark, sf_dir, "conversations")
+    blank = F.lit(" ")
+    place = F.concat(F.coalesce(F.col("conv_id").cast("string"), blank), F.lit(":"), F.coalesce(F.col("turn").cast("string"), blank))
+    text = F.coalesce(F.col("text"), blank)
+    kind = F.col("kind")
+    damaged = table.withColumn("kind", F.crc32(place) % 20).select(
+        "conv_id",
+        "turn",
+        F.when(kind == 4, "user").otherwise(F.coalesce(F.col("role"), blank)).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        (kind != 0).alias("kept"),
+        F.explode(F.array_repeat(F.lit(True), F.when(kind == 3, 2).otherwise(1))).alias("copy"),
+    )
+    return damaged.drop("copy")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256 of every conversation."""
+    rows = conversations.conversation_rows(damaged_conversations(spark, sf_dir), present=F.col("kept"))
+    found = conversations.repair_conversations(rows)
+    return found.toDF("conv_id", *[c[1:] for c in found.columns[1:-1]], "repaired_sha256")
+
+
 def _values(rows: list[tuple]) -> str:
     quoted = [", ".join("'" + str(v).replace("'", "''") + "'" for v in row) for row in rows]
     return ", ".join(f"({row})" for row in quoted)
@@ -256,6 +281,7 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
     "op11_line_dedup": op11_line_dedup,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 ORACLE_SQL = {
     "op1_url_filter": URL_SQL,
