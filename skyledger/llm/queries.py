@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import conversations, decontamination, html_extraction, jaccard_join, language, line_dedup, mixing, secrets, sharding, toxicity, url_filter, vector_search
+from skyledger.llm import conversations, decontamination, html_extraction, jaccard_join, language, line_dedup, merkle, mixing, secrets, sharding, toxicity, url_filter, vector_search
 
 # The documents are read in so many batches, by files.
 LINE_BATCHES = 8
@@ -129,6 +129,15 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.toDF("conv_id", *[c[1:] for c in found.columns[1:-1]], "repaired_sha256")
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, leaf, subroot, root, proof_sha256, folded_root, verified of every document."""
+    more = merkle.leaf_hash("doc_id", "source", "lang", F.col("n_chars") + 1, "text")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, more)
+    found = merkle.merkle_manifest(_read(spark, sf_dir, "documents"), tampered=tampered)
+    names = ("leaf", "subroot", "root", "proof_sha256")
+    return found.select("doc_id", *[F.col(f"_{c}").alias(c) for c in names], F.col("_folded").alias("folded_root"), F.col("_verified").alias("verified"))
+
+
 def _values(rows: list[tuple]) -> str:
     quoted = [", ".join("'" + str(v).replace("'", "''") + "'" for v in row) for row in rows]
     return ", ".join(f"({row})" for row in quoted)
@@ -269,6 +278,58 @@ SELECT doc_id, COUNT(*) AS n_lines, COUNT(f.key) AS n_dropped,
 FROM keyed LEFT JOIN frequent f USING (key) GROUP BY doc_id
 """
 
+
+def _field_sql(value: str) -> str:
+    return f"COALESCE(CAST(strlen(CAST({value} AS VARCHAR)) AS VARCHAR) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf_sql(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_field_sql(v) for v in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+# CRC-32 of a text of ASCII characters, bit by bit.
+_CRC_SQL = """xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+  lambda sum, byte: list_reduce(list_prepend(xor(sum, byte), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+    lambda bits, _: CASE WHEN bits & 1 = 1 THEN xor(bits >> 1, 3988292384) ELSE bits >> 1 END)), 4294967295)"""
+
+# Leaves sorted, trees level by level, and each leaf folded with its siblings one by one. Ids are unique in the given tables.
+MERKLE_SQL = f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, lang, {_leaf_sql("n_chars")} AS leaf, {_leaf_sql("n_chars + 1")} AS more, {_CRC_SQL} % 7 = 0 AS tampered,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS slot, COUNT(*) OVER (PARTITION BY lang) AS n
+  FROM documents
+), nodes AS (
+  SELECT 0 AS level, lang, slot, leaf AS node, n FROM docs
+  UNION ALL
+  SELECT level + 1, lang, slot // 2, sha256(string_agg(node, '' ORDER BY slot)), (n + 1) // 2 FROM nodes WHERE n > 1 GROUP BY level, lang, slot // 2, n
+), subroots AS (
+  SELECT lang, level AS height, node AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS slot, COUNT(*) OVER () AS n FROM nodes WHERE n = 1
+), tops AS (
+  SELECT 0 AS level, slot, subroot AS node, n FROM subroots
+  UNION ALL
+  SELECT level + 1, slot // 2, sha256(string_agg(node, '' ORDER BY slot)), (n + 1) // 2 FROM tops WHERE n > 1 GROUP BY level, slot // 2, n
+), ends AS (SELECT level AS top_height, node AS root FROM tops WHERE n = 1),
+places AS (
+  SELECT doc_id, d.lang, l AS step, l AS level, d.slot >> l AS slot, false AS top
+  FROM docs d JOIN subroots s ON d.lang IS NOT DISTINCT FROM s.lang, unnest(range(height)) r(l)
+  UNION ALL
+  SELECT doc_id, d.lang, height + l, l, s.slot >> l, true
+  FROM docs d JOIN subroots s ON d.lang IS NOT DISTINCT FROM s.lang, ends, unnest(range(top_height)) r(l)
+), steps AS (
+  SELECT doc_id, step, p.slot, COALESCE(a.node, b.node) AS sibling
+  FROM places p LEFT JOIN nodes a ON NOT top AND a.level = p.level AND a.lang IS NOT DISTINCT FROM p.lang AND a.slot = xor(p.slot, 1)
+  LEFT JOIN tops b ON top AND b.level = p.level AND b.slot = xor(p.slot, 1)
+), folds AS (
+  SELECT doc_id, 0 AS step, CASE WHEN tampered THEN more ELSE leaf END AS node FROM docs
+  UNION ALL
+  SELECT f.doc_id, f.step + 1, sha256(CASE WHEN sibling IS NULL THEN node WHEN slot % 2 = 1 THEN sibling || node ELSE node || sibling END)
+  FROM folds f JOIN steps s ON f.doc_id = s.doc_id AND f.step = s.step
+), proofs AS (SELECT doc_id, string_agg(sibling, '' ORDER BY step) AS proof FROM steps GROUP BY doc_id)
+SELECT d.doc_id, leaf, subroot, root, sha256(COALESCE(proof, '')) AS proof_sha256, f.node AS folded_root, f.node = root AS verified
+FROM docs d JOIN subroots s ON d.lang IS NOT DISTINCT FROM s.lang CROSS JOIN ends
+JOIN folds f ON f.doc_id = d.doc_id AND f.step = height + top_height LEFT JOIN proofs p ON p.doc_id = d.doc_id
+"""
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_secrets": op2_secrets,
@@ -282,6 +343,7 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
     "op11_line_dedup": op11_line_dedup,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 ORACLE_SQL = {
     "op1_url_filter": URL_SQL,
@@ -289,4 +351,5 @@ ORACLE_SQL = {
     "op6_decontamination": DECONTAMINATION_SQL,
     "op7_sharding": SHARDING_SQL,
     "op11_line_dedup": LINE_SQL,
+    "op13_merkle_manifest": MERKLE_SQL,
 }
