@@ -15,7 +15,6 @@ def airline_stats(flights: DataFrame) -> DataFrame:
     months are gathered as bits of one number, a buffer of fixed width like the sums beside it, which stays in
     the generated hash aggregate, where a set per group would not.
     """
-    months = F.array(*[F.lit(m) for m in range(1, 13)])
     stats = flights.groupBy(F.col("OP_UNIQUE_CARRIER").alias("airline"), F.col("ORIGIN").alias("airport")).agg(
         F.count("*").alias("total_flights"),
         F.min("ARR_DELAY").alias("min_arr_delay"),
@@ -24,6 +23,12 @@ def airline_stats(flights: DataFrame) -> DataFrame:
         percent(F.sum("CANCELLED"), F.count("*")).alias("cancellation_rate_pct"),
         F.expr("COALESCE(bit_or(shiftleft(1, MONTH)), 0)").alias("months"),
     )
+    return stats_columns(stats)
+
+
+def stats_columns(stats: DataFrame) -> DataFrame:
+    """The report's columns and order, from statistics with the months as bits."""
+    months = F.array(*[F.lit(m) for m in range(1, 13)])
     flown = F.filter(months, lambda m: F.getbit("months", m) == 1).alias("active_months")
     return stats.select(*[c for c in stats.columns if c != "months"], flown).orderBy("airline", "airport")
 

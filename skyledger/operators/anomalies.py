@@ -9,7 +9,7 @@ from skyledger.functions import anomaly_label, has_text, percent, round2
 from skyledger.functions.flights import LABEL_WORSE
 
 
-def _operated(name: str) -> Column:
+def operated(name: str) -> Column:
     return F.when(F.col("CANCELLED") == 0, F.col(name))
 
 
@@ -20,8 +20,8 @@ def pair_stats(flights: DataFrame) -> DataFrame:
         .groupBy(F.col("ORIGIN").alias("airport"), F.col("OP_UNIQUE_CARRIER").alias("airline"))
         .agg(
             F.count("*").alias("flight_count"),
-            round2(F.avg(_operated("DEP_DELAY"))).alias("avg_dep_delay"),
-            round2(F.avg(_operated("ARR_DELAY"))).alias("avg_arr_delay"),
+            round2(F.avg(operated("DEP_DELAY"))).alias("avg_dep_delay"),
+            round2(F.avg(operated("ARR_DELAY"))).alias("avg_arr_delay"),
             percent(F.sum("CANCELLED"), F.count("*")).alias("cancellation_rate_pct"),
         )
     )
@@ -33,7 +33,7 @@ def airport_baseline(flights: DataFrame) -> DataFrame:
         flights.filter(has_text("ORIGIN"))
         .groupBy(F.col("ORIGIN").alias("airport"))
         .agg(
-            round2(F.avg(_operated("DEP_DELAY"))).alias("airport_avg_dep_delay"),
+            round2(F.avg(operated("DEP_DELAY"))).alias("airport_avg_dep_delay"),
             F.count("*").alias("airport_total_flights"),
         )
     )
@@ -45,7 +45,7 @@ def rank_in_airport() -> Column:
     return F.rank().over(by_delay)
 
 
-def _rank_and_label(pairs: DataFrame, threshold: float) -> DataFrame:
+def rank_and_label(pairs: DataFrame, threshold: float) -> DataFrame:
     """The ranking's columns and order, from averages of pairs beside those of their airports.
 
     Rank and label see a NULL average, the output shows it as 0.
@@ -73,7 +73,7 @@ def _rank_and_label(pairs: DataFrame, threshold: float) -> DataFrame:
 
 def join_baseline(pairs: DataFrame, airports: DataFrame, threshold: float = 15.0) -> DataFrame:
     """:func:`pair_stats` ranked against :func:`airport_baseline`, for tables that were computed apart."""
-    return _rank_and_label(pairs.join(airports, "airport"), threshold)
+    return rank_and_label(pairs.join(airports, "airport"), threshold)
 
 
 def anomaly_ranking(flights: DataFrame, threshold: float = 15.0) -> DataFrame:
@@ -89,9 +89,9 @@ def anomaly_ranking(flights: DataFrame, threshold: float = 15.0) -> DataFrame:
         .groupBy(F.col("ORIGIN").alias("airport"), F.col("OP_UNIQUE_CARRIER").alias("airline"))
         .agg(
             F.count("*").alias("flight_count"),
-            F.sum(_operated("DEP_DELAY")).alias("dep_sum"),
-            F.count(_operated("DEP_DELAY")).alias("dep_count"),
-            F.avg(_operated("ARR_DELAY")).alias("arr_avg"),
+            F.sum(operated("DEP_DELAY")).alias("dep_sum"),
+            F.count(operated("DEP_DELAY")).alias("dep_count"),
+            F.avg(operated("ARR_DELAY")).alias("arr_avg"),
             F.sum("CANCELLED").alias("cancelled"),
         )
     )
@@ -112,7 +112,7 @@ def anomaly_ranking(flights: DataFrame, threshold: float = 15.0) -> DataFrame:
         round2(F.try_divide("airport_dep_sum", "airport_dep_count")).alias("airport_avg_dep_delay"),
         "airport_total_flights",
     )
-    return _rank_and_label(pairs, threshold)
+    return rank_and_label(pairs, threshold)
 
 
 def label_distribution(ranking: DataFrame) -> DataFrame:

@@ -22,23 +22,23 @@ def _airport_month() -> list[Column]:
     return [F.col("ORIGIN").alias("airport"), F.coalesce("MONTH", F.lit(0)).alias("month")]
 
 
-def _or_zero(name: str) -> Column:
+def or_zero(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(0.0))
 
 
 def _band_averages() -> list[Column]:
     return [
         F.count("*").alias("flight_count"),
-        round2(F.avg(_or_zero("DEP_DELAY"))).alias("avg_dep_delay"),
-        round2(F.avg(_or_zero("ARR_DELAY"))).alias("avg_arr_delay"),
+        round2(F.avg(or_zero("DEP_DELAY"))).alias("avg_dep_delay"),
+        round2(F.avg(or_zero("ARR_DELAY"))).alias("avg_arr_delay"),
     ]
 
 
-def _cause_sums() -> list[Column]:
+def cause_sums() -> list[Column]:
     """Minutes of each cause plus one for every flight cancelled for it."""
     sums = []
     for total, (code, minutes) in CAUSE_SOURCES.items():
-        value = _or_zero(minutes)
+        value = or_zero(minutes)
         if code is not None:
             for_code = (F.col("CANCELLED") == 1) & (F.col("CANCELLATION_CODE") == code)
             value = value + F.when(for_code, 1.0).otherwise(0.0)
@@ -56,7 +56,7 @@ def delay_band_stats(flights: DataFrame) -> DataFrame:
 
 def cause_totals(flights: DataFrame) -> DataFrame:
     """One total per cause for each (airport, month)."""
-    return flights.groupBy(*_airport_month()).agg(*_cause_sums())
+    return flights.groupBy(*_airport_month()).agg(*cause_sums())
 
 
 def top_cause_rows(totals: DataFrame, k: int = 3) -> DataFrame:
@@ -65,7 +65,7 @@ def top_cause_rows(totals: DataFrame, k: int = 3) -> DataFrame:
     return placed.select("airport", "month", (F.col("at") + 1).alias("place"), "entry.cause", "entry.impact")
 
 
-def _with_causes_text(rows: DataFrame, k: int) -> DataFrame:
+def with_causes_text(rows: DataFrame, k: int) -> DataFrame:
     """The report's columns and order, from averages beside cause totals."""
     return rows.select(
         "airport",
@@ -80,7 +80,7 @@ def _with_causes_text(rows: DataFrame, k: int) -> DataFrame:
 
 def join_causes(bands: DataFrame, totals: DataFrame, k: int = 3) -> DataFrame:
     """:func:`delay_band_stats` beside :func:`cause_totals`, for tables that were computed apart."""
-    return _with_causes_text(bands.join(totals, ["airport", "month"], "left"), k)
+    return with_causes_text(bands.join(totals, ["airport", "month"], "left"), k)
 
 
 def delay_report(flights: DataFrame, k: int = 3) -> DataFrame:
@@ -92,8 +92,8 @@ def delay_report(flights: DataFrame, k: int = 3) -> DataFrame:
     """
     whole_month = Window.partitionBy("airport", "month")
     bands = flights.groupBy(*_airport_month(), delay_band("DEP_DELAY").alias("delay_band")).agg(
-        *_band_averages(), *_cause_sums()
+        *_band_averages(), *cause_sums()
     )
     known = F.col("airport").isNotNull()
     sums = {total: F.when(known, F.sum(total).over(whole_month)) for total in CAUSES}
-    return _with_causes_text(bands.withColumns(sums), k)
+    return with_causes_text(bands.withColumns(sums), k)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -29,6 +29,40 @@ def make_subset(table: DataFrame, percent: int, seed: int = 42) -> DataFrame:
     return table.select("*", F.explode(copy_numbers).alias("_copy")).drop("_copy")
 
 
+# The copies of one row are dealt out in blocks of so many.
+COPY_BLOCK = 4096
+
+
+def _row_text(table: DataFrame) -> Column:
+    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("<null>")) for c in table.columns])
+
+
+def _stays(text: Column, percent: int) -> Column:
+    """The first 32 bits of the text's MD5 are below the share."""
+    first_bits = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+    return first_bits * 100 < percent * (1 << 32)
+
+
+def numbered_subset(table: DataFrame, percent: int) -> DataFrame:
+    """``percent`` of the rows, copies treated apart, the same ones whatever the file layout or cluster size.
+
+    Copies of a row are told apart by a number, and a row stays by the hash of its text and number. A window
+    would number them in one task per distinct row; as copies are alike, they are counted instead, partly before the
+    shuffle, and dealt out again in blocks, so a row with a third of the table is no more than any other. No column
+    may be a map, which Spark cannot group by.
+    """
+    if not 0 < percent <= 100:
+        raise ValueError(f"percent must be between 1 and 100: {percent}")
+    row = F.struct(*[F.col(c) for c in table.columns])
+    counted = table.select(row.alias("row"), _row_text(table).alias("text")).groupBy("row", "text").agg(F.count("*").alias("n"))
+    last_block = F.expr(f"(n - 1) div {COPY_BLOCK}")
+    blocks = counted.select("row", "text", "n", F.explode(F.sequence(F.lit(0).cast("long"), last_block)).alias("block"))
+    first = F.col("block") * COPY_BLOCK
+    numbers = F.sequence(first + 1, F.least(first + COPY_BLOCK, F.col("n")))
+    copies = blocks.repartition("text", "block").select("row", "text", F.explode(numbers).alias("number"))
+    return copies.filter(_stays(F.concat_ws("|", "text", "number"), percent)).select("row.*")
+
+
 def hashed_subset(table: DataFrame, percent: int) -> DataFrame:
     """``percent`` of the distinct rows by a hash of all columns, with all copies of each.
 
@@ -37,6 +71,4 @@ def hashed_subset(table: DataFrame, percent: int) -> DataFrame:
     """
     if not 0 < percent <= 100:
         raise ValueError(f"percent must be between 1 and 100: {percent}")
-    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("<null>")) for c in table.columns])
-    first_bits = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
-    return table.filter(first_bits * 100 < percent * (1 << 32))
+    return table.filter(_stays(_row_text(table), percent))

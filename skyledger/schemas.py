@@ -65,8 +65,41 @@ FLIGHTS = _schema(
     MONTH=_INT,
 )
 
-# The same rows with the cleaning stage that keeps them, or takes them out, as their first folder.
-STAGES = T.StructType([*FLIGHTS.fields, T.StructField("stage", _TEXT)])
+# The same rows with the cleaning stage that keeps them, or takes them out, as their first folder. A row that was taken
+# out has no values but its month, and a reason and its raw text by column.
+STAGES = T.StructType([
+    *FLIGHTS.fields[:-2],
+    T.StructField("reason", _TEXT),
+    T.StructField("raw", T.MapType(_TEXT, _TEXT)),
+    T.StructField("stage", _TEXT),
+    *FLIGHTS.fields[-2:],
+])
+
+PARTIALS = _schema(
+    airport=_TEXT,
+    airline=_TEXT,
+    delay_band=_TEXT,
+    flights=_LONG,
+    cancelled=_LONG,
+    arr_sum=_DOUBLE,
+    arr_count=_LONG,
+    arr_min=_DOUBLE,
+    arr_max=_DOUBLE,
+    dep_zero_sum=_DOUBLE,
+    arr_zero_sum=_DOUBLE,
+    dep_operated_sum=_DOUBLE,
+    dep_operated_count=_LONG,
+    arr_operated_sum=_DOUBLE,
+    arr_operated_count=_LONG,
+    carrier_val=_DOUBLE,
+    weather_val=_DOUBLE,
+    nas_val=_DOUBLE,
+    security_val=_DOUBLE,
+    late_aircraft_val=_DOUBLE,
+    months=_INT,
+    YEAR=_INT,
+    MONTH=_INT,
+)
 
 AIRLINE_STATS = _schema(
     airline=_TEXT,
@@ -111,3 +144,6 @@ TIMINGS = _schema(
     elapsed_seconds=_DOUBLE,
     record_count=_LONG,
 )
+
+# An entry of the log as it is stored, with the run that wrote it.
+LOGGED = T.StructType([*TIMINGS.fields, T.StructField("run_id", _TEXT)])

@@ -1,7 +1,9 @@
 from skyledger.sinks.files import (
     append_timing,
+    empty_folder,
     export_csv,
     preview,
+    replace_months,
     write_clustered,
     write_csv,
     write_json,
@@ -13,9 +15,11 @@ from skyledger.sinks.tables import create_result_table, overwrite_result
 __all__ = [
     "append_timing",
     "create_result_table",
+    "empty_folder",
     "export_csv",
     "overwrite_result",
     "preview",
+    "replace_months",
     "write_clustered",
     "write_csv",
     "write_json",

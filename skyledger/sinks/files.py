@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyledger.schemas import PARTITION_COLUMNS, TIMINGS
+from skyledger.schemas import LOGGED, PARTITION_COLUMNS
 
 # Over so many tasks a month is dealt out where adaptive execution cannot split it by its size.
 MONTH_SPLITS = 16
@@ -26,11 +27,29 @@ def write_clustered(flights: DataFrame, path: str, columns: Sequence[str] = PART
     lets adaptive execution split a large month over tasks and join small ones, by measured bytes. Without
     adaptive execution Spark ignores the hint, so months are dealt out by a hash of their rows.
     """
+    write_partitioned(_dealt(flights, columns), path, columns)
+
+
+def _dealt(flights: DataFrame, columns: Sequence[str]) -> DataFrame:
     if flights.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
-        dealt = flights.hint("rebalance", *columns)
-    else:
-        dealt = flights.repartition(*columns, F.pmod(F.xxhash64(*flights.columns), F.lit(MONTH_SPLITS)))
-    write_partitioned(dealt, path, columns)
+        return flights.hint("rebalance", *columns)
+    plain = [f.name for f in flights.schema if not isinstance(f.dataType, T.MapType)]
+    return flights.repartition(*columns, F.pmod(F.xxhash64(*plain), F.lit(MONTH_SPLITS)))
+
+
+def replace_months(flights: DataFrame, path: str, columns: Sequence[str] = PARTITION_COLUMNS) -> None:
+    """Replace just those folders that the table has rows for; all others keep their files.
+
+    New files are written beside the old ones and take their place when all tasks are done, so a job that fails
+    changes nothing. To replace a folder by no rows, see :func:`empty_folder`.
+    """
+    clustered = _dealt(flights, columns)
+    clustered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(path)
+
+
+def empty_folder(spark: SparkSession, schema: T.StructType, path: str) -> None:
+    """No rows in one folder of a table; ``schema`` without the columns that the folder's path names."""
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
 
 
 def preview(table: DataFrame, n: int = 10) -> DataFrame:
@@ -85,10 +104,15 @@ def append_timing(
     record_count: int,
     technology: str = "spark_sql",
     environment: str | None = None,
+    run_id: str | None = None,
 ) -> None:
-    """One more row in the run time log."""
-    row = (job, technology, subset, environment, float(elapsed_seconds), int(record_count))
-    spark.createDataFrame([row], TIMINGS).write.mode("append").parquet(path)
+    """One more row in the run time log.
+
+    A run that is tried again under the same ``run_id`` counts once when the log is read; without one
+    each call is a run.
+    """
+    row = (job, technology, subset, environment, float(elapsed_seconds), int(record_count), run_id or uuid.uuid4().hex)
+    spark.createDataFrame([row], LOGGED).write.mode("append").parquet(path)
 
 
 def export_csv(

@@ -1,5 +1,5 @@
-from skyledger.sources.catalog import add_months, create_database, create_flights_table, find_partitions
-from skyledger.sources.files import count_rows, read_flights, read_raw_csv, read_timings, register_view
+from skyledger.sources.catalog import add_months, create_database, create_flights_table, find_partitions, sync_partitions, table_location
+from skyledger.sources.files import count_rows, in_months, month_folder, months_in, read_flights, read_partials, read_raw_csv, read_timings, register_view
 from skyledger.sources.layout import Layout
 
 __all__ = [
@@ -9,8 +9,14 @@ __all__ = [
     "create_database",
     "create_flights_table",
     "find_partitions",
+    "in_months",
+    "month_folder",
+    "months_in",
     "read_flights",
+    "read_partials",
     "read_raw_csv",
     "read_timings",
     "register_view",
+    "sync_partitions",
+    "table_location",
 ]

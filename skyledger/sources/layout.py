@@ -37,6 +37,11 @@ class Layout:
     def cleaned(self) -> str:
         return f"{self.stages}/stage=kept"
 
+    @property
+    def partials(self) -> str:
+        """Partial aggregates of the cleaned flights, in one folder per month."""
+        return self._at("data/partials")
+
     @property
     def timings(self) -> str:
         return self._at("data/outputs/timings")
