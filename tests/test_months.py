@@ -1,0 +1,134 @@
+"""Month by month: replacing one, what was set aside, files of unlike headers, partitions by difference."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from skyledger import operators as ops
+from skyledger import sources
+from skyledger.__main__ import main
+from skyledger.operators import cleaning
+from skyledger.plans import run_cleaning, run_cleaning_month, run_partials, run_quarantine
+from skyledger.schemas import STAGES
+from skyledger.sources import Layout, month_folder, months_in, read_flights, read_partials
+from tests.support import dicts, flight_table, raw_table, rows
+
+DAYS = [
+    {"FL_DATE": "2024-01-05"},
+    {"FL_DATE": "2024-02-07", "DEP_DELAY": "1.0"},
+    {"FL_DATE": "2024-02-08", "ORIGIN": " "},
+    {"FL_DATE": "2024-02-09", "DEP_DELAY": "9999"},
+    {"FL_DATE": "2024-03-01", "ARR_DELAY": "-500"},
+    {"FL_DATE": "no date"},
+]
+
+
+def write(spark, path, *changes):
+    raw_table(spark, *changes).write.mode("overwrite").option("header", True).csv(str(path))
+
+
+@pytest.fixture
+def layout(spark, tmp_path):
+    layout = Layout(str(tmp_path))
+    write(spark, tmp_path / "raw", *DAYS)
+    run_cleaning(spark, layout, str(tmp_path / "raw"))
+    return layout
+
+
+def stage_files(spark, layout):
+    stages = {"kept", *cleaning.REASONS.values()}
+    return {(s, m): f for s in stages for m, f in months_in(spark, f"{layout.stages}/stage={s}").items()}
+
+
+def test_replacing_a_month_leaves_all_other_files(spark, layout, tmp_path):
+    before = stage_files(spark, layout)
+    assert set(before) == {("kept", m) for m in [(2024, 1), (2024, 2), (None, None)]} | {("key_filter", (2024, 2)), ("range_filter", (2024, 2)), ("range_filter", (2024, 3))}
+    new = [{"FL_DATE": "2024-02-07", "DEP_DELAY": "2.0"}, {"FL_DATE": "2024-02-20", "OP_UNIQUE_CARRIER": None}, {"FL_DATE": "2024-03-01"}, {"FL_DATE": None}]
+    write(spark, tmp_path / "feb", *new)
+    for _ in range(2):
+        main(["clean", "--base", layout.base, "--month", "2024-02", "--raw", str(tmp_path / "feb")])
+        after = stage_files(spark, layout)
+        assert {k: f for k, f in after.items() if k[1] != (2024, 2)} == {k: f for k, f in before.items() if k[1] != (2024, 2)}
+        assert sorted((r.MONTH or 0, r.DEP_DELAY) for r in read_flights(spark, layout.cleaned).collect()) == [(0, 5.0), (1, 5.0), (2, 2.0)]
+        stages = spark.read.schema(STAGES).parquet(layout.stages).filter("MONTH = 2")
+        # The old range fault of the month is gone; rows of another or no month are set aside.
+        assert sorted(r.reason for r in stages.filter("reason IS NOT NULL").collect()) == ["no_airline", "other_month", "other_month"]
+
+
+def test_a_month_may_be_replaced_by_nothing(spark, layout, tmp_path):
+    run_partials(spark, layout)
+    write(spark, tmp_path / "none", {"FL_DATE": "2024-05-05"})
+    report = dicts(run_cleaning_month(spark, layout, 2024, 2, str(tmp_path / "none")))
+    assert [(r["stage"], r["rows_left"]) for r in report] == [("raw", 0), ("key_filter", 0), ("range_filter", 0)]
+    assert sorted(r.MONTH or 0 for r in read_flights(spark, layout.cleaned).collect()) == [0, 1]
+    assert sorted(r.MONTH or 0 for r in read_partials(spark, layout.partials).collect()) == [0, 1]
+
+
+def test_a_replaced_month_renews_its_partials(spark, layout, tmp_path):
+    run_partials(spark, layout)
+    write(spark, tmp_path / "feb", {"FL_DATE": "2024-02-07", "ORIGIN": "SFO"})
+    run_cleaning_month(spark, layout, 2024, 2, str(tmp_path / "feb"))
+    merged = ops.airline_stats_from(read_partials(spark, layout.partials))
+    assert rows(merged) == rows(ops.airline_stats(read_flights(spark, layout.cleaned)))
+    assert "SFO" in {r.airport for r in merged.collect()}
+
+
+def test_rows_that_are_taken_out_keep_reason_and_raw_text(spark):
+    raw = raw_table(spark, *DAYS, {"ORIGIN": None, "OP_UNIQUE_CARRIER": None}, {"CANCELLED": "1", "DEP_DELAY": "9999"}, {"DEP_DELAY": "NaN"})
+    raw = raw.withColumns({" tail.num ": F.lit("N1"), "reason": F.lit("r")})
+    stages = cleaning.cleaning_stages(raw)
+    out = stages.filter("stage <> 'kept'")
+    found = sorted((r.stage, r.reason, r.raw["FL_DATE"], r.raw["DEP_DELAY"], r.raw["TAIL.NUM"], r.raw["REASON"]) for r in out.collect())
+    assert found == [
+        ("key_filter", "no_airport", "2024-01-05", "5.0", "N1", "r"),
+        ("key_filter", "no_airport", "2024-02-08", "5.0", "N1", "r"),
+        ("range_filter", "arrival_delay", "2024-03-01", "5.0", "N1", "r"),
+        ("range_filter", "departure_delay", "2024-01-05", "NaN", "N1", "r"),
+        ("range_filter", "departure_delay", "2024-02-09", "9999", "N1", "r"),
+    ]
+    kept = stages.filter("stage = 'kept'")
+    assert rows(kept.drop("stage", "reason", "raw")) == rows(ops.clean_flights(raw))
+    assert kept.filter("reason IS NOT NULL OR raw IS NOT NULL").isEmpty()
+    assert all(r.ORIGIN is None and r.DEP_DELAY is None for r in out.collect())
+
+
+def test_quarantine_report_counts_raw_values(spark, layout, capsys):
+    found = {(r.reason, r.ORIGIN, r.DEP_DELAY, r.ARR_DELAY): r.rows for r in run_quarantine(spark, layout).collect()}
+    # A blank comes back from CSV as NULL.
+    assert found == {("no_airport", None, "5.0", "3.0"): 1, ("departure_delay", "JFK", "9999", "3.0"): 1, ("arrival_delay", "JFK", "5.0", "-500"): 1}
+    main(["quarantine", "--base", layout.base])
+    assert "arrival_delay" in capsys.readouterr().out
+
+
+def test_files_of_unlike_headers_meet_by_name(spark, tmp_path):
+    folder = tmp_path / "raw [1]%7B {a,b}"
+    folder.mkdir()
+    (folder / "a.csv").write_text("FL_DATE,ORIGIN,DEP_DELAY\n2024-01-01,JFK,1\n")
+    (folder / "b.csv").write_text(" dep_delay ,fl_date,Origin,TAIL\n2,2024-01-02,LAX,N1\n")
+    (folder / "c 100%.csv").write_text("FL_DATE,ORIGIN,DEP_DELAY\n2024-01-03,SFO,3\n")
+    (folder / "empty.csv").write_text("")
+    (folder / "header.csv").write_text("ORIGIN,FL_DATE\n")
+    place = str(folder).replace("[", "\\[").replace("]", "\\]").replace("{", "\\{").replace("}", "\\}")
+    found = cleaning.select_wanted(sources.read_raw_csv(spark, f"{tmp_path}/absent", place))
+    assert sorted(map(tuple, found.collect())) == [("2024-01-01", "JFK", "1"), ("2024-01-02", "LAX", "2"), ("2024-01-03", "SFO", "3")]
+
+
+def test_partitions_follow_the_folders(spark, tmp_path):
+    place = str(tmp_path / "flights")
+    flight_table(spark, {}, {"MONTH": 2}, {"YEAR": None, "MONTH": None}).write.partitionBy("YEAR", "MONTH").parquet(place)
+    sources.create_database(spark, "months_db")
+    sources.create_flights_table(spark, "months_db.f", place)
+    sources.add_months(spark, "months_db.f", place, 2024, [1, 7])
+    assert sources.sync_partitions(spark, "months_db.f", place) == (2, 1)
+    assert sources.sync_partitions(spark, "months_db.f", place) == (0, 0)
+    assert spark.table("months_db.f").count() == 3
+    flight_table(spark, {"MONTH": 3}).write.mode("append").partitionBy("YEAR", "MONTH").parquet(place)
+    assert sources.sync_partitions(spark, "months_db.f", place) == (1, 0)
+    assert spark.table("months_db.f").count() == 4
+    assert sources.table_location(spark, "months_db.f") == place and sources.table_location(spark, "months_db.g") is None
+
+
+def test_months_of_no_table(spark, tmp_path):
+    assert months_in(spark, str(tmp_path / "absent")) == {}
+    assert month_folder((None, None)) == "YEAR=__HIVE_DEFAULT_PARTITION__/MONTH=__HIVE_DEFAULT_PARTITION__"

@@ -11,6 +11,7 @@ import pytest
 from skyledger import operators as ops
 from skyledger import sinks
 from skyledger.operators import cleaning
+from tests.support import flight_table, rows
 
 
 def plan(table):
@@ -118,3 +119,60 @@ def test_cleaning_by_stage_parses_each_number_once(raw):
 def test_single_stages_do_not_shuffle(raw):
     for step in (cleaning.parse_types, cleaning.add_date_parts, cleaning.normalise_codes):
         assert nodes(plan(step(raw)), "Exchange") == 0
+
+
+@pytest.fixture(scope="module")
+def skewed_pairs(spark, tmp_path_factory):
+    """Written pairs of which nearly all belong to one airport, and the baselines of many airports."""
+    folder = tmp_path_factory.mktemp("skewed")
+    flights = flight_table(spark, *[{"OP_UNIQUE_CARRIER": f"A{n}", "DEP_DELAY": float(n % 90)} for n in range(3000)], *[{"ORIGIN": f"X{n}"} for n in range(300)])
+    tables = []
+    for name, table in (("pairs", ops.pair_stats(flights)), ("airports", ops.airport_baseline(flights))):
+        table.write.parquet(f"{folder}/{name}")
+        tables.append(spark.read.schema(table.schema).parquet(f"{folder}/{name}"))
+    return flights, *tables
+
+
+@pytest.mark.parametrize("bound, joined, other", [("10m", "BroadcastHashJoin", "SortMergeJoin"), ("1k", "SortMergeJoin", "BroadcastHashJoin"), ("-1", "SortMergeJoin", "BroadcastHashJoin")])
+def test_baselines_are_broadcast_below_the_bound_only(spark, skewed_pairs, bound, joined, other):
+    """The side's size is looked at, by its files before and by its bytes at run time; no hint overrules it."""
+    flights, pairs, airports = skewed_pairs
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for name in names:
+        spark.conf.set(name, bound)
+    try:
+        result = ops.join_baseline(pairs, airports)
+        found = rows(result)
+        final = result._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+    assert joined in final and other not in final
+    assert found == rows(ops.anomaly_ranking(flights))
+
+
+def test_a_skewed_airport_is_split_where_the_join_is_large(spark, skewed_pairs):
+    """Above the bound, adaptive execution deals the rows of one airport over several tasks."""
+    _, pairs, airports = skewed_pairs
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.files.maxPartitionBytes": "16k",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        joined = pairs.repartition(8).join(airports, "airport")
+        assert joined.groupBy().count().first()[0] == pairs.count()
+        joined.write.format("noop").mode("overwrite").save()
+        collected = joined.select("airport", "airline", "airport_avg_dep_delay")
+        collected.collect()
+        final = collected._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert "SortMergeJoin(skew=true)" in final

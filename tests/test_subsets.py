@@ -1,15 +1,14 @@
 from __future__ import annotations
 
 import hashlib
-
 import math
 
 import pytest
 from pyspark.sql import functions as F
 
-from skyledger.operators import hashed_subset, make_subset
+from skyledger.operators import hashed_subset, make_subset, numbered_subset
 from skyledger.operators.subsets import subset_label
-from tests.support import rows
+from tests.support import flight_table, rows
 
 
 def test_labels():
@@ -62,3 +61,31 @@ def test_hashed_subset_does_not_depend_on_layout(flights):
     by_file = rows(hashed_subset(flights, 50))
     assert by_file == rows(hashed_subset(flights.repartition(7), 50))
     assert by_file == rows(hashed_subset(flights.orderBy(F.desc("ORIGIN")).coalesce(1), 50))
+
+
+def test_numbered_subset_takes_copies_apart_and_does_not_depend_on_layout(spark):
+    hot = {"OP_CARRIER_FL_NUM": "7"}
+    others = [{"OP_CARRIER_FL_NUM": str(n), "DEST": None} for n in range(2000)]
+    table = flight_table(spark, *[hot] * 10_000, *others)
+    once = numbered_subset(table, 25)
+    kept = rows(once)
+    assert kept == rows(numbered_subset(table.repartition(7), 25))
+    assert all(n <= rows(table)[r] for r, n in kept.items())
+    copies = once.filter("OP_CARRIER_FL_NUM = '7' AND DEST IS NOT NULL").count()
+    assert abs(copies - 2500) < 5 * 44 and abs(once.count() - 3000) < 5 * 48
+    assert rows(numbered_subset(table, 100)) == rows(table)
+    assert numbered_subset(table.filter("false"), 25).collect() == []
+
+
+def test_numbered_subset_holds_no_row_in_one_task(spark):
+    table = flight_table(spark, *[{}] * 20_000, *[{"OP_CARRIER_FL_NUM": str(n)} for n in range(40)])
+    found = numbered_subset(table, 100)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and plan.count("partial_count") == 1
+    # Blocks of one row are dealt over the partitions.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = found.filter("OP_CARRIER_FL_NUM = '1'").select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert parts > 1

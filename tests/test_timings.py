@@ -5,6 +5,8 @@ import pytest
 from skyledger import operators as ops
 from skyledger import sinks, sources
 from skyledger.schemas import TIMINGS
+from skyledger.sinks import append_timing
+from skyledger.sources import read_timings
 from tests.support import dicts
 
 # Published seconds of three jobs on the full table.
@@ -90,3 +92,16 @@ def test_entries_without_environment_are_read(spark, tmp_path):
     spark.createDataFrame([("job31", "hive", "pct_025", 1.0, 5)], "job string, technology string, subset string, "
                           "elapsed_seconds double, record_count bigint").write.parquet(path)
     assert dicts(sources.read_timings(spark, path))[0]["environment"] is None
+
+
+def test_a_retried_run_counts_once(spark, tmp_path):
+    log = str(tmp_path / "log")
+    spark.createDataFrame([("job31", "hive", "full", None, 9.0, 5)] * 2, TIMINGS).write.parquet(log)
+    for seconds in (12.0, 10.0):
+        append_timing(spark, log, "job31", "full", seconds, 100, run_id="nightly 1")
+    append_timing(spark, log, "job31", "full", 11.0, 100, run_id="nightly 2")
+    for _ in range(2):
+        append_timing(spark, log, "job31", "full", 30.0, 100)
+    found = sorted((r.technology, r.elapsed_seconds) for r in read_timings(spark, log).collect())
+    assert found == [("hive", 9.0), ("hive", 9.0), ("spark_sql", 10.0), ("spark_sql", 11.0), ("spark_sql", 30.0), ("spark_sql", 30.0)]
+    assert read_timings(spark, log).schema == TIMINGS
