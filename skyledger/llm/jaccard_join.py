@@ -33,8 +33,10 @@ CHUNK = 1 << 16
 # The exact count gathers shingles by leading hash bits, in parts of about so many bytes.
 PART_BYTES = 12 << 20
 PART_SLICE = 1024
-# The wanted sets are told apart by a bitmap of fixed size; sets that it lets through in vain drop out at a join.
-WANTED_BITS = 23
+# The wanted sets are told apart by a bitmap of at least so many bits for each, and of at most 16 MB; sets that it lets
+# through in vain, which beyond some ten million wanted ones become more, drop out at a join.
+WANTED_FACTOR = 8
+MOST_BITS = 1 << 27
 # A set is described by how many of its shingles fall into each of so many ranges of hashes.
 SPREAD = 16
 # Documents of a batch are taken in slices of so many, which bounds the memory of a Python worker.
@@ -134,12 +136,30 @@ def _part_bits(total: int) -> int:
     return max(0, int(np.ceil(np.log2(max(1, total * 12 / PART_BYTES)))))
 
 
+def _numbered(values: np.ndarray, bits: int) -> np.ndarray:
+    """The leading bits of 64-bit values."""
+    return (values >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(values), np.int64)
+
+
+def _cut(numbers: np.ndarray, *arrays: np.ndarray) -> tuple[np.ndarray, list[list[np.ndarray]]]:
+    """The numbers that occur, ascending, and for each array its elements by number. Numbers that do not occur cost nothing."""
+    order = np.argsort(numbers, kind="stable")
+    numbers = numbers[order]
+    starts = np.flatnonzero(np.append(True, numbers[1:] != numbers[:-1])) if len(numbers) else np.empty(0, np.int64)
+    return numbers[starts], [np.split(array[order], starts[1:]) if len(starts) else [] for array in arrays]
+
+
+# What a row of packed arrays holds: rare shingles with their numbers of documents; sizes of sets; places of common shingles.
+RARE, SIZES, COMMON = range(3)
+
+
 def _by_part(docs: DataFrame, rarity: np.ndarray, total: int) -> DataFrame:
-    """Shingles of all documents as arrays, gathered by part.
+    """For each bucket of sets (leading bits of lo) packed rows: kind, bucket, doc (lo), wide, number.
 
-    Below ``parts``: token (32 further hash bits) and doc (lo) of shingles that are not common. From ``parts`` on:
-    token, the number of a doc's common shingles. From twice that: the common shingles in a doc's prefix, as
-    wide, and their position as token.
+    Shingles that are not common meet by the leading bits of their hash, in parts, where they are counted. Those that several
+    sets have go on as wide, with their count as number, to the bucket of each set: a part sends one row of
+    arrays to each bucket that occurs in it. Sizes of sets (of common shingles as number, of all as wide) and
+    the common shingles of prefixes (their position as number) pass through, dealt by the bucket of their set.
     """
     shared = docs.sparkSession.sparkContext.broadcast(rarity)
     bits, common_from = _part_bits(total), _common_from(total)
@@ -148,13 +168,18 @@ def _by_part(docs: DataFrame, rarity: np.ndarray, total: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = shared.value
 
-        def rows(part, token, wide, doc):
-            arrays = [pa.array(part, pa.int32()), _lists(token, np.int32), _lists(wide, np.int64), _lists(doc, np.int64)]
-            return pa.RecordBatch.from_arrays(arrays, ["part", "token", "wide", "doc"])
+        def rows(kind: int, numbers: np.ndarray, doc: np.ndarray, token: np.ndarray, number: np.ndarray | None = None) -> pa.RecordBatch:
+            found, (docs, tokens, counts) = _cut(numbers, doc, token, np.zeros(len(doc), np.int32) if number is None else number)
+            none = [np.empty(0, np.int32)] * len(found)
+            wide = kind != RARE
+            arrays = [
+                pa.array((kind * parts + found).astype(np.int64)), _lists(docs, np.int64),
+                _lists(none if wide else tokens, np.int32), _lists(tokens if wide else none, np.int64), _lists(counts if wide else none, np.int32),
+            ]
+            return pa.RecordBatch.from_arrays(arrays, ["slot", "doc", "token", "wide", "number"])
 
-        none = np.empty(0, np.int64)
         for _, sets in _texts(batches, PART_SLICE):
-            rare, owners, counted, n_common, wide, position, wide_owner = [], [], [], [], [], [], []
+            rare, owners, names, sizes, n_common, wide, position, wide_owner = [], [], [], [], [], [], [], []
             for s in sets:
                 if not len(s):
                     continue
@@ -163,79 +188,96 @@ def _by_part(docs: DataFrame, rarity: np.ndarray, total: int) -> DataFrame:
                 common = rank >= common_from
                 some = s[~common]
                 rare.append(some), owners.append(np.full(len(some), lo, dtype=np.int64))
-                if len(some) < len(s):
-                    counted.append(lo), n_common.append(len(s) - len(some))
+                names.append(lo), sizes.append(len(s)), n_common.append(len(s) - len(some))
                 more = prefix_length(len(s)) - len(some)
                 if more > 0:
                     first = s[common][np.argsort(rank[common], kind="stable")[:more]]
                     wide.append(first), position.append(np.arange(len(some), len(some) + more)), wide_owner.append(np.full(more, lo))
-            if not owners:
+            if not names:
                 continue
             tokens, doc = np.concatenate(rare), np.concatenate(owners)
-            part = (tokens >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(tokens), np.int64)
             token = ((tokens >> np.uint64(32 - bits)) & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
-            order = np.argsort(part, kind="stable")
-            cuts = np.searchsorted(part[order], np.arange(1, parts))
-            lists = [(k, t, d) for k, (t, d) in enumerate(zip(np.split(token[order], cuts), np.split(doc[order], cuts))) if len(t)]
-            if lists:
-                yield rows([k for k, _, _ in lists], [t for _, t, _ in lists], [none] * len(lists), [d for _, _, d in lists])
-            salt = int(doc[0] if len(doc) else counted[0]) % parts
-            if counted:
-                yield rows([parts + salt], [np.array(n_common, np.int32)], [none], [np.array(counted, np.int64)])
+            yield rows(RARE, _numbered(tokens, bits), doc, token)
+            names = np.array(names, np.int64)
+            yield rows(SIZES, _numbered(names.view(np.uint64), bits), names, np.array(sizes, np.int64), np.array(n_common, np.int32))
             if wide:
-                yield rows([2 * parts + salt], [np.concatenate(position).astype(np.int32)], [np.concatenate(wide).view(np.int64)], [np.concatenate(wide_owner).astype(np.int64)])
+                doc = np.concatenate(wide_owner).astype(np.int64)
+                yield rows(COMMON, _numbered(doc.view(np.uint64), bits), doc, np.concatenate(wide).view(np.int64), np.concatenate(position).astype(np.int32))
 
-    gathered = docs.mapInArrow(run, "part int, token array<int>, wide array<long>, doc array<long>")
+    gathered = docs.mapInArrow(run, "slot long, doc array<long>, token array<int>, wide array<long>, number array<int>")
 
-    def count(table: pa.Table) -> pa.Table:
-        part = table.column("part")[0].as_py()
-        token, wide, doc = (table.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("token", "wide", "doc"))
-        kind, number = part // parts, token.astype(np.int64)
-        if kind == 0:
-            token = token.view(np.uint32)
-            order = np.lexsort((doc, token))
-            token, doc = token[order], doc[order]
-            new = np.append(True, (token[1:] != token[:-1]) | (doc[1:] != doc[:-1]))
-            token, doc = token[new], doc[new]
-            starts = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
-            sizes = np.diff(np.append(starts, len(token)))
-            number = np.repeat(sizes, sizes)
-            shared_by_some = number > 1
-            doc, number = doc[shared_by_some], number[shared_by_some]
-            wide = token[shared_by_some].astype(np.int64) | (part << 32)
-        elif kind == 1:
-            wide = np.zeros(len(doc), np.int64)
-        return pa.table({
-            "kind": pa.array(np.full(len(doc), kind, np.int32)), "lo": pa.array(doc), "token": pa.array(wide), "number": pa.array(number.astype(np.int64)),
-        })
+    def packed(kind: int, buckets: np.ndarray, docs: list, wide: list, numbers: list) -> pa.Table:
+        return pa.table([
+            pa.array(np.full(len(buckets), kind, np.int32)), pa.array(buckets.astype(np.int32)),
+            _lists(docs, np.int64), _lists(wide, np.int64), _lists(numbers, np.int32),
+        ], ["kind", "bucket", "doc", "wide", "number"])
 
-    return gathered.groupBy("part").applyInArrow(count, "kind int, lo long, token long, number long")
-
-
-def _prefix_entries(counted: DataFrame, nodes: DataFrame) -> DataFrame:
+    def count(table: pa.Table) -> pa.Table:
+        kind, part = divmod(table.column("slot")[0].as_py(), parts)
+        doc = _flat(table, "doc")
+        if kind != RARE:
+            return packed(kind, np.array([part]), [doc], [_flat(table, "wide")], [_flat(table, "number")])
+        token = _flat(table, "token").view(np.uint32)
+        order = np.lexsort((doc, token))
+        token, doc = token[order], doc[order]
+        new = np.append(True, (token[1:] != token[:-1]) | (doc[1:] != doc[:-1]))
+        token, doc = token[new], doc[new]
+        starts = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+        sizes = np.diff(np.append(starts, len(token)))
+        number = np.repeat(sizes, sizes).astype(np.int32)
+        several = number > 1
+        doc, number = doc[several], number[several]
+        wide = token[several].astype(np.int64) | (part << 32)
+        buckets, cut = _cut(_numbered(doc.view(np.uint64), bits), doc, wide, number)
+        return packed(RARE, buckets, *cut)
+
+    return gathered.groupBy("slot").applyInArrow(count, "kind int, bucket int, doc array<long>, wide array<long>, number array<int>")
+
+
+def _flat(table: pa.Table, column: str) -> np.ndarray:
+    """All elements of a column of lists."""
+    return table.column(column).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+
+
+def _prefix_entries(packed: DataFrame, nodes: DataFrame) -> DataFrame:
     """token, position, node, n: the shingles of each set's prefix that other sets have too.
 
     A set's order is: shingles that no other set has, shingles of few sets by their number, common ones. What no
-    other set has needs no row; its number is what is left of the set's size.
+    other set has needs no row; its number is what is left of the set's size. A task has all of a bucket's sets
+    and chooses their prefixes in one pass over arrays.
     """
-    n_common = counted.filter("kind = 1").groupBy("lo").agg(F.max("number").alias("n_common"))
-    known = nodes.select("lo", "node", "n").join(n_common, "lo", "left").select(
-        "lo", "node", "n", (F.col("n") - F.coalesce("n_common", F.lit(0))).alias("rare")
-    )
-    own = Window.partitionBy("lo")
-    repeated = counted.filter("kind = 0").select("lo", "token", "number").withColumns({
-        "place": F.row_number().over(own.orderBy("number", "token")), "shared": F.count("*").over(own)
-    }).drop("number")
-    placed = repeated.join(known, "lo").withColumn("position", F.col("rare") - F.col("shared") + F.col("place") - 1)
-    few = placed.filter(F.col("position") < F.col("n") - F.ceil(3 * F.col("n") / 4) + 1)
-    many = counted.filter("kind = 2").groupBy("lo", "token").agg(F.max("number").alias("position")).join(known, "lo")
-    columns = ["token", F.col("position").cast("long").alias("position"), "node", "n"]
-    return few.select(*columns).unionByName(many.select(*columns))
+
+    def choose(table: pa.Table) -> pa.Table:
+        kind = table.column("kind").to_numpy()
+        doc, token, number = ({k: _flat(table.filter(pa.array(kind == k)), c) for k in (RARE, SIZES, COMMON)} for c in ("doc", "wide", "number"))
+        names, first = np.unique(doc[SIZES], return_index=True)
+        sizes, rare_sizes = token[SIZES][first], token[SIZES][first] - number[SIZES][first]
+        order = np.lexsort((token[RARE], number[RARE], doc[RARE]))
+        lo, wide = doc[RARE][order], token[RARE][order]
+        starts = np.flatnonzero(np.append(True, lo[1:] != lo[:-1])) if len(lo) else np.empty(0, np.int64)
+        several = np.diff(np.append(starts, len(lo)))
+        place = np.arange(len(lo)) - np.repeat(starts, several)
+        at = np.searchsorted(names, lo)
+        n = sizes[at]
+        position = rare_sizes[at] - np.repeat(several, several) + place
+        kept = position < n - (3 * n + 3) // 4 + 1
+        # Equal sets have sent the same common shingles.
+        once = np.lexsort((token[COMMON], doc[COMMON]))
+        again = (np.diff(doc[COMMON][once], prepend=0) == 0) & (np.diff(token[COMMON][once], prepend=0) == 0)
+        once = once[~again | (np.arange(len(once)) == 0)]
+        lo = np.concatenate([lo[kept], doc[COMMON][once]])
+        return pa.table({
+            "lo": pa.array(lo), "token": pa.array(np.concatenate([wide[kept], token[COMMON][once]])),
+            "position": pa.array(np.concatenate([position[kept], number[COMMON][once].astype(np.int64)])), "n": pa.array(sizes[np.searchsorted(names, lo)]),
+        })
+
+    chosen = packed.groupBy("bucket").applyInArrow(choose, "lo long, token long, position long, n long")
+    return chosen.join(nodes.select("lo", "node"), "lo").select("token", "position", "node", "n")
 
 
 def _wanted_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """hi, lo, shingles of the sets in ``wanted`` (hi, lo), and of few others."""
-    bits = 1 << WANTED_BITS
+    bits = min(MOST_BITS, max(1 << 15, 1 << (WANTED_FACTOR * wanted.count()).bit_length()))
     slot = F.pmod(F.col("lo"), F.lit(bits)) + 1  # bitmaps begin at 1
     rows = (
         wanted.groupBy(F.bitmap_bucket_number(slot).alias("bucket"))
@@ -405,8 +447,7 @@ def similar_documents(docs: DataFrame, id_column: str = "doc_id", text_column: s
     nodes = saved(sets.withColumn("node", F.monotonically_increasing_id()))
 
     total = described.agg(F.sum("n")).first()[0] or 0
-    counted = saved(_by_part(texts, rarity, total))
-    entries = saved(_meetings(_prefix_entries(counted, nodes)))
+    entries = saved(_meetings(_prefix_entries(_by_part(texts, rarity, total), nodes)))
 
     # Shingles of two sets are done with their one pair; those of more go on to further rounds.
     pairs = saved(_pairs(_with_pivots(entries).filter((F.col("node") != F.col("p_node")) & _linkable()), nodes))
