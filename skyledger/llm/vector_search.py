@@ -25,9 +25,10 @@ from skyledger.llm.common import in_small_batches, saved
 
 NEAREST = 20
 QUERY_EVERY = 20
-# Bytes of a block as doubles: at 64 components 16,384 vectors, and 1,024 queries.
+# Bytes of a block as doubles: at 64 components 16,384 vectors, and 4,096 queries. A vector is sent once per block of
+# queries, a query once per block of vectors.
 VECTOR_BLOCK_BYTES = 8 << 20
-QUERY_BLOCK_BYTES = 512 << 10
+QUERY_BLOCK_BYTES = 2 << 20
 # Queries whose estimates are held at once.
 QUERIES_AT_ONCE = 64
 # Half-widths of the error bound, in standard deviations of the estimate.
@@ -45,10 +46,14 @@ def rotation(dimensions: int, seed: int = SEED) -> np.ndarray:
 
 def encode(vectors: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Packed signs, length, and agreement (inner product of the rotated unit vector with its signs, scaled to length 1)."""
-    lengths = np.linalg.norm(vectors, axis=1)
-    rotated = (vectors / lengths[:, None]) @ turn
+    # By the largest component first, whose square may be beyond what a double holds.
+    largest = np.abs(vectors).max(axis=1)
+    scaled = vectors / largest[:, None]
+    lengths = np.linalg.norm(scaled, axis=1)
+    rotated = (scaled / lengths[:, None]) @ turn
     agreement = np.abs(rotated).sum(axis=1) / np.sqrt(vectors.shape[1])
-    return np.packbits(rotated > 0, axis=1), lengths, agreement
+    with np.errstate(over="ignore"):
+        return np.packbits(rotated > 0, axis=1), lengths * largest, agreement
 
 
 def estimate(queries: np.ndarray, turn: np.ndarray, bits: np.ndarray, lengths: np.ndarray, agreement: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -73,14 +78,18 @@ def search_block(query_ids, queries, ids, vectors, bits, lengths, agreement, tur
     out_q, out_v, out_s = [], [], []
     for at in range(0, len(queries), QUERIES_AT_ONCE):
         some = queries[at : at + QUERIES_AT_ONCE]
-        guess, width = estimate(some, turn, bits, lengths, agreement)
-        upper, lower = guess + width, guess - width
+        # Bounds of one query are compared with each other only, so its length does not matter.
+        with np.errstate(over="ignore", invalid="ignore"):
+            guess, width = estimate(some / np.abs(some).max(axis=1, keepdims=True), turn, bits, lengths, agreement)
+            upper, lower = guess + width, guess - width
         for row in range(len(some)):
             other = ids != query_ids[at + row]
-            floor = lower[row][other]
+            floor = np.nan_to_num(lower[row][other], nan=-np.inf, posinf=np.inf, neginf=-np.inf)
             kth = np.partition(floor, len(floor) - k)[len(floor) - k] if len(floor) > k else -np.inf
-            near = np.flatnonzero(other & (upper[row] >= kth))
-            scores = np.einsum("ij,j->i", vectors[near], some[row])
+            # A bound that is no number rules nothing out.
+            near = np.flatnonzero(other & ~(upper[row] < kth))
+            with np.errstate(over="ignore", invalid="ignore"):
+                scores = np.einsum("ij,j->i", vectors[near], some[row])
             best = _best(ids[near], scores, k)
             out_q.append(np.full(len(best), query_ids[at + row])), out_v.append(ids[near][best]), out_s.append(scores[best])
     empty = [np.empty(0)]
@@ -115,7 +124,8 @@ def nearest(table: DataFrame, id_column: str = "vec_id", vector_column: str = "e
     Score is the inner product in double precision; ties go to the smaller id. Rows with a NULL id or vector, a
     zero vector, or a component that is NULL or not finite take no part. Vectors are compared with those of
     the same number of components. Rows that share an id are several candidates, of which a query of that
-    id sees none. With fewer than k candidates all are returned.
+    id sees none. With fewer than k candidates all are returned. Vectors of any finite size take part; a score
+    beyond a double is infinite, and one that is no number comes last.
     """
     indexed = saved(_index(usable(table, id_column, vector_column)).withColumn("size", F.size("vector")))
     # The numbers of blocks follow from the bytes of all vectors; a vector's block, from a hash.
@@ -146,6 +156,6 @@ def nearest(table: DataFrame, id_column: str = "vec_id", vector_column: str = "e
 
     keys = ["size", "query_block", "vector_block"]
     met = queries.groupBy(*keys).cogroup(vectors.groupBy(*keys)).applyInPandas(meet, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id").orderBy(F.isnan("score"), F.desc("score"), "vec_id")
     ranked = met.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -44,6 +44,26 @@ def test_recall(spark, spread, monkeypatch):
     assert hits / sum(map(len, expected.values())) >= 0.98
 
 
+@pytest.mark.parametrize("size", [1e200, 1e150, 1e-150, 1e-200, 1e307, 5e-324])
+def test_vectors_of_any_finite_size_are_found(spark, size):
+    """Products that a double holds are ranked right; those beyond it are infinite, or zero and ranked by id."""
+    random = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in np.clip(random.standard_normal(64), -2, 2) * size]) for i in range(60)]
+    rows = [(i, v) for i, v in rows if any(v)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    answer = found(frame)
+    with np.errstate(over="ignore", invalid="ignore"):
+        scores = {q: {i: float(np.einsum("ij,j->i", np.array([w]), np.array(v))[0]) for i, w in rows if i != q} for q, v in rows if q % 20 == 0}
+    assert answer.keys() == scores.keys()
+    for q, near in answer.items():
+        assert len(near) == 20 and all(s == scores[q][i] or (np.isnan(s) and np.isnan(scores[q][i])) for i, s in near)
+        if 1e-150 <= size <= 1e150:
+            best = sorted(scores[q], key=lambda i: (-scores[q][i], i))[:20]
+            assert len(set(best) & {i for i, _ in near}) >= 19
+        elif size < 1e-150:
+            assert [i for i, _ in near] == sorted(scores[q], key=lambda i: (-scores[q][i], i))[:20]
+
+
 def test_given_vectors(spark, sf_dir):
     frame = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     expected, answer = plain([(r.vec_id, r.embedding) for r in frame.collect()]), found(frame)
