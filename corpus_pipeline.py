@@ -6,7 +6,7 @@ Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept,
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.llm import decontamination, jaccard_join, language, mixing, sharding
@@ -28,18 +28,28 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest id stays, and one row of it.
 
-    Documents without words are no one's duplicates. They and rows with a NULL id stay as they are.
+    A row is told by its id and its text, so unlike texts under one id are judged apart. Among rows of the
+    smallest id the text of the smallest MD5 stays; rows without an id come after all others. Documents without words are
+    no one's duplicates and stay as they are, repeated rows too.
     """
-    found = saved(jaccard_join.similar_documents(docs))
-    # A component bears its smallest id, so these are the ids of all other rows.
-    extra = saved(found.filter("_id <> _component").select(F.col("_id").alias("doc_id")).distinct())
-    kept = _documents(docs).join(extra, "doc_id", "left_anti")
-    often = found.filter("_id IS NOT NULL AND _n_shingles > 0").groupBy("_id").agg(F.count("*").alias("n"))
-    repeated = saved(often.filter("n > 1").select(F.col("_id").alias("doc_id")))
-    if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(once)
+    rows = _documents(docs).withColumn("_row", _row_name())
+    found = saved(jaccard_join.similar_documents(rows, "_row"))
+    # A component bears its smallest row, so these are all others.
+    extra = saved(found.filter("_id <> _component").select(F.col("_id").alias("_row")).distinct())
+    kept = rows.join(extra, "_row", "left_anti")
+    often = found.filter("_n_shingles > 0").groupBy("_id").agg(F.count("*").alias("n"))
+    repeated = saved(often.filter("n > 1").select(F.col("_id").alias("_row")))
+    if not repeated.isEmpty():
+        once = kept.join(repeated, "_row", "left_semi").dropDuplicates(["_row"])
+        kept = kept.join(repeated, "_row", "left_anti").unionByName(once)
+    return kept.select(*COLUMNS)
+
+
+def _row_name() -> Column:
+    """A text that rows of one id and text share, in the order of ids (NULL last), then of the texts' MD5."""
+    # Hexadecimal digits of a negative number begin with f, so the sign comes first.
+    place = F.concat(F.when(F.col("doc_id") < 0, "0").otherwise("1"), F.lpad(F.hex("doc_id"), 16, "0"))
+    return F.concat(F.coalesce(place, F.lit("2")), F.lit(" "), F.md5(F.coalesce("text", F.lit(""))))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
