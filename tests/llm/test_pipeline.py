@@ -45,6 +45,16 @@ def test_near_duplicate_stage(steps):
     assert ids(steps[2]) == Counter({i for i, (_, root) in expected.items() if i == root})
 
 
+def test_near_duplicates_go_by_row(spark):
+    """Unlike texts under one id are judged apart, and copies without an id are one group like any other."""
+    a, b, c, d, e = (" ".join(f"{name}{k}" for k in range(40)) for name in "abcde")
+    near = a.replace("a39", "x")
+    rows = [(1, a), (2, a), (2, b), (5, c), (5, d), (None, e), (None, e), (None, b), (-3, d), (7, c), (8, near), (9, None), (9, None), (None, "")]
+    table = documents(spark, [(i, t, "en", "s", 1) for i, t in rows])
+    kept = Counter((r.doc_id, r.text) for r in cp.drop_near_duplicates(spark, table, "").collect())
+    assert kept == Counter([(1, a), (2, b), (5, c), (None, e), (-3, d), (9, None), (9, None), (None, "")])
+
+
 def test_decontamination_stage(spark, steps, sf_dir):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
     assert ids(steps[3]) == Counter(r.doc_id for r in steps[2].collect() if contamination(r.text, items)[1] == 0)
