@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from urllib.parse import urlsplit
 
 from pyspark.sql import SparkSession
 
@@ -34,7 +35,11 @@ def scratch_dir(spark: SparkSession) -> str:
     """A new folder name that every executor can reach.
 
     It lies under the cluster's ``spark.checkpoint.dir``; a session without that setting uses its
-    warehouse folder, which a cluster shares as well.
+    warehouse folder. On a cluster that has neither elsewhere than in a local folder, this is an error.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        shared = spark.conf.get("spark.sql.warehouse.dir")
+        if not spark.conf.get("spark.master", "local").startswith("local") and urlsplit(shared).scheme in ("", "file"):
+            raise ValueError(f"spark.checkpoint.dir is not set, and executors may not share {shared}")
     return f"{shared.rstrip('/')}/skyledger-{uuid.uuid4().hex}"

@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+
 import pytest
 
 from __spark_entry__ import LLM_QUERIES, entry, oracle_sql, queries
@@ -28,3 +32,13 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", list(queries()))
 def test_query_equals_its_sql(spark, con, sf_dir, name):
     assert compare(spark, con, sf_dir, name) == ""
+
+
+def test_a_library_that_only_training_data_needs_may_be_missing():
+    code = (
+        "import sys; sys.modules['ahocorasick'] = None\n"
+        "import __spark_entry__ as e\n"
+        "assert 'airline_stats' in e.queries() and 'op6_decontamination' not in e.queries(), sorted(e.queries())\n"
+        "assert not any(name.startswith('op') for name in e.oracle_sql())\n"
+    )
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 
+import pytest
+
 from skyledger.session import scratch_dir, session
 
 
@@ -27,4 +29,10 @@ def test_scratch_lies_in_the_shared_folder():
 
 
 def test_without_the_setting_scratch_lies_in_the_warehouse():
-    assert scratch_dir(Settings(spark_sql_warehouse_dir="hdfs://host/tables")).startswith("hdfs://host/tables/skyledger-")
+    shared = Settings(spark_master="yarn", spark_sql_warehouse_dir="hdfs://host/tables")
+    assert scratch_dir(shared).startswith("hdfs://host/tables/skyledger-")
+    local = Settings(spark_master="local[2]", spark_sql_warehouse_dir="file:/tables")
+    assert scratch_dir(local).startswith("file:/tables/skyledger-")
+    for place in ("file:/tables", "/tables"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_dir(Settings(spark_master="yarn", spark_sql_warehouse_dir=place))
