@@ -51,7 +51,9 @@ ROOTS = frozenset("html body main article".split())
 NEVER_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies consent disqus"
     " footer masthead menu menus modal nav navbar navigation newsletter notice notices pagination popup promo promoted related"
-    " share sharing sidebar skip social sponsor sponsored subscribe subscription toolbar widget widgets".split()
+    " share sharing sidebar skip social sponsor sponsored subscribe subscription toolbar widget widgets"
+    # Readers' words, unless they are what the page is about.
+    " discussion feedback responses review reviews".split()
 )
 COMMENTS = frozenset("comment comments reply replies disqus".split())
 # A compound name with one of these says how the element is laid out, not what it holds: with-sidebar, header-fixed.
@@ -60,12 +62,14 @@ LAYOUT = frozenset(
 )
 # Left empty if they are never closed; after the others of RAW the rest of the page is no text.
 EMPTY_IF_OPEN = RAW - frozenset("script style textarea title".split())
-# Without an article, an element with a doubtful name or tag stays if it holds more than this share of the text.
+# Without an article, an element with a doubtful name or tag stays if it holds more than this share of the text,
+# and so much of it outside of links as an article has; a notice has less.
 MOST_TEXT = 0.5
+ARTICLE_CHARS = 200
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']|\"[^\"]{0,4096}\"|'[^']{0,4096}')*)>"
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
     re.DOTALL,
 )
@@ -95,6 +99,7 @@ class Block:
     containers: tuple[str, ...]
     linked: int = 0
     doubts: tuple[int, ...] = ()
+    headline: bool = False
 
 
 def _named(names: set[str], never: frozenset[str]) -> bool:
@@ -137,21 +142,25 @@ def _tag(path: str) -> str:
 
 
 def _without_doubts(blocks: list[Block]) -> list[Block]:
-    """The blocks outside of doubtful elements; all if that leaves none.
+    """The blocks outside of doubtful elements.
 
-    Where no article or main element has text outside of them, those that hold most of the page's text are
-    not doubtful, unless they are comments.
+    Where no article or main element has text outside of them, those that hold most of the page's text, and an
+    article's worth of it, are not doubtful, unless they are comments.
     """
     sure = [b for b in blocks if not b.doubts]
     if any(_tag(path) in ("article", "main") for b in sure for path in b.containers):
         return sure
     held: dict[int, int] = {}
+    unlinked: dict[int, int] = {}
     for block in blocks:
         for doubt in block.doubts:
             held[doubt] = held.get(doubt, 0) + len(block.text)
+            unlinked[doubt] = unlinked.get(doubt, 0) + len(block.text) - block.linked
     total = sum(len(b.text) for b in blocks)
-    gone = {doubt for doubt, n in held.items() if doubt < 0 or n <= MOST_TEXT * total}
-    return [b for b in blocks if gone.isdisjoint(b.doubts)] or blocks
+    gone = {doubt for doubt, n in held.items() if doubt < 0 or n <= MOST_TEXT * total or unlinked[doubt] < ARTICLE_CHARS}
+    kept = [b for b in blocks if gone.isdisjoint(b.doubts)]
+    # A page that is doubtful as a whole has a text only if one of its elements could be an article.
+    return kept or (blocks if max(unlinked.values(), default=0) >= ARTICLE_CHARS else [])
 
 
 def parse(source: str) -> list[Block]:
@@ -165,7 +174,10 @@ def parse(source: str) -> list[Block]:
         nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            blocks.append(Block(text, stack[-1].parents if stack else (), linked, stack[-1].doubts if stack else ()))
+            if stack:
+                blocks.append(Block(text, stack[-1].parents, linked, stack[-1].doubts, stack[-1].tag == "h1"))
+            else:
+                blocks.append(Block(text, (), linked))
         parts.clear()
         linked = 0
 
@@ -277,7 +289,20 @@ def extract(source: str, winners: list[str]) -> str:
     """The text under the path that :func:`choose` finds for the page."""
     blocks = parse(source)
     path = choose(blocks, winners)
-    return "\n".join(b.text for b in blocks if path is None or path in b.containers)
+    chosen = [b for b in blocks if path is None or path in b.containers]
+    return "\n".join(b.text for b in _headline(blocks, chosen) + chosen)
+
+
+def _headline(blocks: list[Block], chosen: list[Block]) -> list[Block]:
+    """The headline right above a text that has none: between them stand nothing but links."""
+    if not chosen or any(b.headline for b in chosen):
+        return []
+    for block in reversed(blocks[: blocks.index(chosen[0])]):
+        if block.headline:
+            return [block]
+        if 2 * block.linked < len(block.text):
+            return []
+    return []
 
 
 def _votes(pages: DataFrame) -> DataFrame:

@@ -133,3 +133,59 @@ def test_odd_rows(spark):
     found = sorted(((r.page_id or 0, r._text) for r in hx.extract_main_text(pages, ["page_id"]).collect()))
     assert found == [(0, TEXT), (1, ""), (2, ""), (4, ("long " * 100_000).strip()), (4, "twice"), (4, "twice")]
     assert hx.extract_main_text(pages.limit(0), ["page_id"]).collect() == []
+
+
+@pytest.mark.parametrize("quote", ["'", '"'])
+@pytest.mark.parametrize("length", [3, 5000, 200_000])
+def test_an_attribute_of_any_length_is_no_text(quote, length):
+    long = f"<div title={quote}{'x' * length}> leak <p>leak</p>{quote} class='c'>"
+    assert hx.extract(page(f"<article>{long}{BODY}</div></article>"), []) == TEXT
+
+
+def test_broken_quotes_do_not_take_long():
+    tags = "<div title='never closed><p>word</p>" * 20_000 + '<a title="open>'
+    assert "word" in hx.extract(page(f"<article>{tags}</article>"), [])
+
+
+def test_the_headline_beside_the_text_and_links_stays():
+    links = "<ul>" + "".join(f"<li><a href='/{k}'>One more story to read number {k}</a></li>" for k in range(12)) + "</ul>"
+    for source in (
+        page(f"<div class='top'><h1>The headline</h1></div>{links}<div class='body'>{BODY}</div>"),
+        page(f"<div class='story'><div class='title'><h1>The headline</h1></div>{links}<div class='body'>{BODY}</div>{links}</div>"),
+    ):
+        assert hx.extract(source, []) == f"The headline\n{TEXT}"
+    own = page(f"<div class='top'><h1>Name of the site</h1></div><article><h1>The headline</h1>{BODY}</article>")
+    assert hx.extract(own, []) == f"The headline\n{TEXT}"
+
+
+def test_reviews_and_the_like_go():
+    for name in ("user-reviews", "responses", "discussion", "reader feedback"):
+        after = f"<div class='{name}'><p>I have read it twice and liked it.</p></div>"
+        assert hx.extract(page(f"<div class='post'>{BODY}{after}</div>"), []) == TEXT
+    assert hx.extract(page(f"<div class='review'>{BODY}</div>"), []) == TEXT
+
+
+def test_a_page_of_notices_has_no_text():
+    assert hx.extract(page("<div class='cookie-banner'>We use cookies</div>"), []) == ""
+    assert hx.extract(page("<div class='cookie-banner'>We use cookies</div><div class='newsletter'><p>Write to us</p></div>"), []) == ""
+
+
+def plain_text(source, tag, name):
+    """Blocks inside the one element of this class, cut out by a regular expression and parted at tags."""
+    inside = re.search(rf"<{tag} class='{name}'>(.*?)</{tag}><!--end-->", source, re.S)[1]
+    return "\n".join(" ".join(html.unescape(t).split()) for t in re.split(r"<[^>]+>", inside) if t.strip())
+
+
+@pytest.mark.parametrize("tag, name", [("div", "post"), ("section", "story text"), ("main", "cell")])
+def test_unlike_templates_agree_with_a_plain_cut(tag, name):
+    """Three templates whose article is known by one class, each on a host of its own."""
+    frame = {
+        "div": "<div class='menu'><a href='/'>Home</a></div>{}<div class='footer'>End</div>",
+        "section": "<header><h2>Site</h2></header><nav>Home</nav>{}<aside>More</aside>",
+        "main": "<div><ul><li><a href='/'>Home</a></li><li><a href='/n'>News</a></li></ul></div><div class='wrap'>{}</div>",
+    }[tag]
+    pages = [page(frame.format(f"<{tag} class='{name}'>" + "".join(f"<p>Story {k} has part {j} &amp; more words in its text.</p>" for j in range(3 + k)) + f"</{tag}><!--end-->")) for k in range(5)]
+    winners = [hx.best_container(hx.parse(p)) for p in pages]
+    assert len(set(winners)) == 1
+    for p in pages:
+        assert hx.extract(p, winners[:1]) == plain_text(p, tag, name)
