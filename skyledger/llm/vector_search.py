@@ -125,7 +125,7 @@ def nearest(table: DataFrame, id_column: str = "vec_id", vector_column: str = "e
     zero vector, or a component that is NULL or not finite take no part. Vectors are compared with those of
     the same number of components. Rows that share an id are several candidates, of which a query of that
     id sees none. With fewer than k candidates all are returned. Vectors of any finite size take part; a score
-    beyond a double is infinite, and one that is no number comes last.
+    beyond a double is infinite, and one that is no number is NULL and comes last.
     """
     indexed = saved(_index(usable(table, id_column, vector_column)).withColumn("size", F.size("vector")))
     # The numbers of blocks follow from the bytes of all vectors; a vector's block, from a hash.
@@ -139,7 +139,8 @@ def nearest(table: DataFrame, id_column: str = "vec_id", vector_column: str = "e
     block = F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(n_vectors)).cast("int")
     vectors = indexed.withColumn("vector_block", block).withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(n_queries - 1))))
     queries = (
-        asked.select("id", "vector", "size", F.pmod(F.xxhash64("id"), F.lit(n_queries)).cast("int").alias("query_block"))
+        # Aliases, as both sides come from one table and Spark would mix up their columns.
+        asked.select(*[F.col(c).alias(c) for c in ("id", "vector", "size")], F.pmod(F.xxhash64("id"), F.lit(n_queries)).cast("int").alias("query_block"))
         .withColumn("vector_block", F.explode(F.sequence(F.lit(0), F.lit(n_vectors - 1))))
     )
 
@@ -156,6 +157,6 @@ def nearest(table: DataFrame, id_column: str = "vec_id", vector_column: str = "e
 
     keys = ["size", "query_block", "vector_block"]
     met = queries.groupBy(*keys).cogroup(vectors.groupBy(*keys)).applyInPandas(meet, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.isnan("score"), F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = met.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

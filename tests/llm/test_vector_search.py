@@ -56,7 +56,7 @@ def test_vectors_of_any_finite_size_are_found(spark, size):
         scores = {q: {i: float(np.einsum("ij,j->i", np.array([w]), np.array(v))[0]) for i, w in rows if i != q} for q, v in rows if q % 20 == 0}
     assert answer.keys() == scores.keys()
     for q, near in answer.items():
-        assert len(near) == 20 and all(s == scores[q][i] or (np.isnan(s) and np.isnan(scores[q][i])) for i, s in near)
+        assert len(near) == 20 and all(s == scores[q][i] or (s is None and np.isnan(scores[q][i])) for i, s in near)
         if 1e-150 <= size <= 1e150:
             best = sorted(scores[q], key=lambda i: (-scores[q][i], i))[:20]
             assert len(set(best) & {i for i, _ in near}) >= 19
