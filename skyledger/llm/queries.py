@@ -188,11 +188,14 @@ def _matches_sql(kind: int, regex: str, group: int, least: int) -> str:
 SECRETS_SQL = f"""
 WITH matches AS ({" UNION ALL ".join(_matches_sql(k, r, g, n) for k, _, r, g, n in _SECRET_KINDS)}),
 found AS (SELECT doc_id, source, kind, stop - size AS start, stop, value FROM matches WHERE length(value) >= least),
-owned AS (SELECT value, COUNT(DISTINCT COALESCE(source, '')) AS owners FROM found GROUP BY value),
-known AS (
-  SELECT f.*, owners < {secrets.EXAMPLE_OWNERS} AS live, name || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT) AS span
+owned AS (
+  SELECT value, COUNT(DISTINCT source) + MAX(CASE WHEN source IS NULL THEN 1 ELSE 0 END) < {secrets.EXAMPLE_OWNERS}
+                AND COUNT(DISTINCT doc_id) < {secrets.EXAMPLE_REPOSITORIES} AS live
+  FROM found GROUP BY value
+), known AS (
+  SELECT f.*, live, name || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT) AS span
   FROM found f JOIN owned USING (value) JOIN (VALUES {", ".join(f"({k}, '{n}')" for k, n, *_ in _SECRET_KINDS)}) names(kind, name) USING (kind)
-  WHERE f.kind < 3 OR owners < {secrets.EXAMPLE_OWNERS}
+  WHERE f.kind < 3 OR live
 ), sums AS (
   SELECT doc_id, COUNT(*) FILTER (kind = 0) AS n_assign, COUNT(*) FILTER (kind = 1) AS n_access, COUNT(*) FILTER (kind = 2) AS n_hex,
          string_agg(span, ',' ORDER BY start, kind) FILTER (kind < 3) AS base, string_agg(span, ',' ORDER BY start, kind) AS spans,
