@@ -109,6 +109,8 @@ def solve_rates(counts: DataFrame, targets: DataFrame, max_repeats: int = MAX_RE
         )
         if state.filter("NOT done").isEmpty():
             break
+    else:
+        raise ArithmeticError(f"rates of some sources do not meet their targets after {MAX_STEPS} steps")
     return state.select("source", "source_size", "target", "mean_size", "multiplier")
 
 
@@ -143,9 +145,10 @@ def _narrow(flips: DataFrame, bounds: DataFrame) -> DataFrame:
     )
 
 
-def _uniform(id_column: str) -> Column:
-    """A number in [0, 1) from the id."""
-    return hash60(key_text(id_column)) / F.lit(float(1 << 60))
+def _uniform(id_column: str, text_column: str) -> Column:
+    """A number in [0, 1) from id and text, so that rows without an id are told apart by their texts."""
+    text = F.md5(F.coalesce(F.col(text_column).cast("string"), F.lit("")))
+    return hash60(F.concat(key_text(id_column), F.lit(":"), text)) / F.lit(float(1 << 60))
 
 
 def _flip(k: int | Column, size: str, multiplier: str, mean_size: str, uniform: Column, max_repeats: int) -> Column:
@@ -161,7 +164,7 @@ def mixing_plan(docs: DataFrame, id_column="doc_id", text_column="text", source_
     of that size and hash gets one copy more, the one that brings the source nearest to its target.
     """
     sized = saved(docs.select(
-        F.col(source_column).cast("string").alias("source"), n_words(text_column).alias("size"), _uniform(id_column).alias("uniform")
+        F.col(source_column).cast("string").alias("source"), n_words(text_column).alias("size"), _uniform(id_column, text_column).alias("uniform")
     ))
     counts = saved(sized.groupBy("source", "size").agg(F.count("*").alias("n")))
     totals = counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
@@ -204,14 +207,14 @@ def with_copies(docs: DataFrame, plan: DataFrame, id_column="doc_id", text_colum
 
     Each decision is a function of the row and its source's row in the plan, so text is never shuffled
     while the plan is small enough for Spark to broadcast it. Reruns agree, as hashes replace random
-    numbers. NULL and empty texts have size 0 and no copies; rows that share id, source and size have the same
+    numbers. NULL and empty texts have size 0 and no copies; rows that share id, text and source have the same
     copies; a NULL source is a source like any other. Input columns named like the added ones are replaced.
     """
     added = ["_size", "_source_size", "_target", "_copies"]
     rows = docs.drop(*added).withColumn("_size", n_words(text_column))
     columns = {c: f"_plan_{c}" for c in plan.columns}
     p = plan.withColumnsRenamed(columns)
-    uniform = _uniform(id_column)
+    uniform = _uniform(id_column, text_column)
     joined = rows.join(p, F.col(source_column).cast("string").eqNullSafe(F.col("_plan_source")), "left")
     whole = sum(
         F.when(_flip(F.lit(k), "_size", "_plan_multiplier", "_plan_mean_size", uniform, max_repeats) < F.col("_plan_threshold"), 1).otherwise(0)
