@@ -27,7 +27,8 @@ def in_small_batches(table: DataFrame) -> DataFrame:
     """The table, for a function over Arrow batches, in a session that makes batches of :data:`BATCH_ROWS` rows.
 
     Spark's own default is ten times as many, which for whole texts is tens of megabytes, held by the executor
-    and by Python at once in every task. A session whose setting is not the default stays as it is.
+    and by Python at once in every task. A session whose setting is not the default stays as it is. However long
+    its texts, Spark ends a batch at ``spark.sql.execution.arrow.maxBytesPerBatch``, 64 MB unless set otherwise.
     """
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if table.sparkSession.conf.get(name) == "10000":
@@ -35,6 +36,15 @@ def in_small_batches(table: DataFrame) -> DataFrame:
     return table
 
 
+def carried(keep: list[str], added: list[str]) -> Column:
+    """The columns of ``keep`` as one struct ``_keep``, in which their names clash with no working column.
+
+    ``_keep.*`` gives them back. A column that is named like one of ``added`` is replaced by it, whatever the case.
+    """
+    taken = {name.lower() for name in added}
+    return F.struct(*[F.col(c) for c in dict.fromkeys(keep) if c.lower() not in taken]).alias("_keep")
+
+
 def key_text(column: str) -> Column:
     """An id as text, NULL as the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

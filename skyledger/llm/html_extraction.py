@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 from pyspark.sql.window import Window
 
-from skyledger.llm.common import in_small_batches, saved
+from skyledger.llm.common import carried, in_small_batches, saved
 from skyledger.llm.url_filter import url_parts
 
 # A path needs this share of its host's votes, so a host has at most so many winning paths as fit in 1.
@@ -329,10 +329,11 @@ def extract_main_text(pages: DataFrame, keep: list[str], url_column: str = "url"
     """``keep`` columns of every row, and _text: its main text, blocks joined by a line feed.
 
     NULL and empty pages have an empty text; so have pages without article text. NULL URLs and those without a
-    host are one host, the empty one. Repeated rows vote as often as they come. Other columns are not read.
+    host are one host, the empty one. Repeated rows vote as often as they come. Other columns are not read. No rows give
+    no rows. ``keep`` may have any names; one that is named ``_text`` is replaced.
     """
     host, _ = url_parts(F.col(url_column).cast("string"))
-    rows = pages.select(*keep, F.coalesce(host, F.lit("")).alias("_host"), F.col(html_column).cast("string").alias("_html"))
+    rows = pages.select(carried(keep, ["_text"]), F.coalesce(host, F.lit("")).alias("_host"), F.col(html_column).cast("string").alias("_html"))
     winners = saved(winning_paths(rows))
     placed = rows.join(winners, "_host", "left").drop("_host")
 
@@ -342,7 +343,7 @@ def extract_main_text(pages: DataFrame, keep: list[str], url_column: str = "url"
                 part = batch.slice(at, SLICE)
                 pairs = zip(part.column("_html").to_pylist(), part.column("_winners").to_pylist())
                 texts = [extract(h, w or []) if h else "" for h, w in pairs]
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], pa.array(texts, pa.string())], [*keep, "_text"])
+                yield pa.RecordBatch.from_arrays([part.column("_keep"), pa.array(texts, pa.string())], ["_keep", "_text"])
 
-    schema = StructType([placed.schema[c] for c in keep]).add("_text", StringType())
-    return in_small_batches(placed).mapInArrow(run, schema)
+    schema = StructType([placed.schema["_keep"]]).add("_text", StringType())
+    return in_small_batches(placed).mapInArrow(run, schema).select("_keep.*", "_text")

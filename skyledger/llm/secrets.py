@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from skyledger.llm.common import saved
+from skyledger.llm.common import carried, saved
 
 # A value of so many distinct owners, or of so many distinct repositories, whoever owns them, is an example.
 EXAMPLE_OWNERS = 3
@@ -44,6 +44,11 @@ KINDS = [
 ]
 
 
+# The columns that :func:`scan_secrets` adds.
+NUMBERS = [*[f"_n_{k.name}" for k in KINDS[:3]], "_n_live", "_n_example", "_owners", "_repositories"]
+ADDED = [*NUMBERS, "_base", "_spans"]
+
+
 def _found(text: Column, kind: Kind) -> Column:
     """Per match in order: characters since the last one, its characters, its value; empty if there is none.
 
@@ -98,10 +103,11 @@ def scan_secrets(docs: DataFrame, keep: list[str], text_column: str = "text", ow
 
     _n_assign, _n_access, _n_hex, _base and _spans (kind:start:end, comma-joined, all and base kinds only),
     _n_live and _n_example (spans of _spans by ownership of their value), _owners and _repositories (the most of a
-    value). NULL and empty texts have none; repeated rows are rows of one repository; a NULL owner is an owner.
+    value). NULL and empty texts have none; repeated rows are rows of one repository; a NULL owner is an owner. No rows give
+    no rows. ``keep`` may have any names; one like an added column's is replaced by that.
     """
     rows = docs.select(
-        F.monotonically_increasing_id().alias("_row"), *keep, F.col(owner_column).cast("string").alias("_owner"),
+        F.monotonically_increasing_id().alias("_row"), carried(keep, ADDED), F.col(owner_column).cast("string").alias("_owner"),
         F.col(repository_column).cast("string").alias("_repository"), F.col(text_column).cast("string").alias("_text"),
     )
     kinds = F.array(*[
@@ -128,9 +134,8 @@ def scan_secrets(docs: DataFrame, keep: list[str], text_column: str = "text", ow
         F.max("owners").alias("_owners"),
         F.max("repositories").alias("_repositories"),
     ).withColumns({"_base": _joined(F.col("_base")), "_spans": _joined(F.col("_spans"))})
-    numbers = [c for c in per_row.columns if c.startswith("_n_")] + ["_owners", "_repositories"]
-    joined = scanned.select("_row", *keep).join(per_row, F.col("_row") == F.col("_of"), "left")
+    joined = scanned.select("_row", "_keep").join(per_row, F.col("_row") == F.col("_of"), "left")
     return joined.select(
-        *keep, *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in numbers],
+        "_keep.*", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in NUMBERS],
         *[F.coalesce(c, F.lit("")).alias(c) for c in ("_base", "_spans")],
     )

@@ -15,10 +15,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import saved
+from skyledger.llm.common import carried, saved
 
 ALLOW, BLOCK = "allow", "block"
 
+# The columns that :func:`filter_urls` adds.
+ADDED = ["_host", "_path", "_rule", "_pattern", "_verdict"]
+
 # Fixed by the query contract: (host, path, action).
 HOST_RULES = [
     ("com", "/", ALLOW),
@@ -109,15 +112,20 @@ def _tokens(urls: DataFrame) -> DataFrame:
     return urls.select("url", F.explode(F.array_distinct(F.split(_lower(F.col("url")), "[^a-z0-9]+"))).alias("token")).filter("token <> ''")
 
 
-def _pattern_matches(urls: DataFrame, patterns: DataFrame) -> DataFrame:
-    """url, pattern (the first name) of the URLs that a pattern rule blocks."""
+def _candidates(urls: DataFrame, patterns: DataFrame) -> DataFrame:
+    """token, url, name, regex: each URL with the rules whose rarest literal it has."""
     tokens = _tokens(urls)
     literals = patterns.select("name", "regex", F.explode("literals").alias("token"))
     counts = tokens.join(literals.select("token").distinct(), "token", "left_semi").groupBy("token").agg(F.count("*").alias("urls"))
     rarest = literals.join(counts, "token", "left").groupBy("name", "regex").agg(
         F.min_by("token", F.struct(F.coalesce("urls", F.lit(0)), "token")).alias("token")
     )
-    candidates = tokens.join(rarest, "token")
+    return tokens.join(rarest, "token")
+
+
+def _pattern_matches(urls: DataFrame, patterns: DataFrame) -> DataFrame:
+    """url, pattern (the first name) of the URLs that a pattern rule blocks."""
+    candidates = _candidates(urls, patterns)
     # A rule without a literal has no place in the index and looks at every URL; there should be few.
     open_rules = patterns.filter(F.size("literals") == 0).select("name", "regex").collect()
     everywhere = [
@@ -134,7 +142,8 @@ def filter_urls(pages: DataFrame, keep: list[str], rules: DataFrame | None = Non
     The verdict is the host rule's action, else ``block`` if a pattern matched, else ``allow``. Each distinct
     URL is judged once, so that a URL on a third of all rows is no hot key; rows take the verdict from there.
     NULL URLs, and those without ``://``, have empty parts, fit no host rule and, if NULL, no pattern. Of two
-    equally long rules, the same host and path with two actions, ``block`` wins.
+    equally long rules, the same host and path with two actions, ``block`` wins. No rows give no rows. ``keep`` may have any
+    names; one like an added column's is replaced by that.
     """
     spark = pages.sparkSession
     rules = host_rule_table(spark) if rules is None else rules
@@ -150,8 +159,8 @@ def filter_urls(pages: DataFrame, keep: list[str], rules: DataFrame | None = Non
         F.col("best.rule").alias("_rule"), F.col("pattern").alias("_pattern"),
         F.coalesce("best.action", F.when(F.col("pattern").isNotNull(), BLOCK), F.lit(ALLOW)).alias("_verdict"),
     )
-    rows = pages.select(*keep, F.col(url_column).cast("string").alias("_url"))
+    rows = pages.select(carried(keep, ADDED), F.col(url_column).cast("string").alias("_url"))
     return rows.join(judged, "_url", "left").select(
-        *keep, F.coalesce("_host", F.lit("")).alias("_host"), F.coalesce("_path", F.lit("")).alias("_path"),
+        "_keep.*", F.coalesce("_host", F.lit("")).alias("_host"), F.coalesce("_path", F.lit("")).alias("_path"),
         "_rule", "_pattern", F.coalesce("_verdict", F.lit(ALLOW)).alias("_verdict"),
     )

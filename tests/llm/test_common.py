@@ -1,0 +1,18 @@
+from __future__ import annotations
+
+import pyarrow as pa
+from pyspark.sql import functions as F
+
+from skyledger.llm.common import in_small_batches
+
+
+def test_batches_of_long_texts_are_bounded_by_bytes(spark):
+    """1,000 texts of 1 MB do not come as one batch, although that is within the rows of one."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["n", "size"])
+
+    table = spark.range(0, 1000, 1, 1).select(F.repeat(F.lit("x"), F.lit(1_000_000)).alias("text"))
+    found = in_small_batches(table).mapInArrow(sizes, "n long, size long").collect()
+    assert sum(r.n for r in found) == 1000 and max(r.size for r in found) < 70_000_000

@@ -189,3 +189,14 @@ def test_unlike_templates_agree_with_a_plain_cut(tag, name):
     assert len(set(winners)) == 1
     for p in pages:
         assert hx.extract(p, winners[:1]) == plain_text(p, tag, name)
+
+
+def test_clashing_columns(spark):
+    from pyspark.sql import functions as F
+
+    names = ["_host", "_html", "_winners", "_keep"]
+    rows = spark.createDataFrame([(1, "http://a.org/", page(f"<div class='post'>{BODY}</div>"))], "page_id long, url string, html string")
+    rows = rows.withColumns({name: F.lit("clash") for name in [*names, "_text"]})
+    row = hx.extract_main_text(rows, ["page_id", *names, "_text"]).first()
+    assert all(row[name] == "clash" for name in names) and row._text == TEXT
+    assert hx.extract_main_text(rows.limit(0), ["page_id", *names]).collect() == []

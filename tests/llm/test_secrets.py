@@ -83,3 +83,10 @@ def test_odd_rows(spark):
     found = secrets.scan_secrets(table, ["doc_id"]).collect()
     assert sorted(((r.doc_id, r._base) for r in found), key=str) == sorted(((i, plain(t)) for i, t, *_ in ODD_ROWS), key=str)
     assert secrets.scan_secrets(documents(spark, []), ["doc_id"]).collect() == []
+
+
+def test_clashing_columns(spark):
+    names = ["_row", "_kinds", "_text", "_owner", "_repository", "_of", "_keep"]
+    table = documents(spark, [(1, "token = abcdefghijkl0", "en", "s", 0)], **dict.fromkeys([*names, "_spans"], "clash"))
+    row = secrets.scan_secrets(table, ["doc_id", *names, "_spans"]).first()
+    assert all(row[name] == "clash" for name in names) and row._spans == "assign:0:21"

@@ -96,3 +96,33 @@ def test_clashing_columns_and_no_rows(spark):
     pages = spark.createDataFrame(URLS[:3], "page_id long, url string").withColumns({c: F.lit(1) for c in ("host", "path", "token", "rule", "_url2", "name")})
     assert len(uf.filter_urls(pages, ["page_id"]).collect()) == 3
     assert uf.filter_urls(pages.limit(0), ["page_id"]).collect() == []
+    clash = pages.withColumns({c: F.lit(1) for c in ("_url", "_keep", "_host")})
+    found = uf.filter_urls(clash, ["page_id", "_url", "_keep", "_host", "url"]).collect()
+    assert {(r.url, r._url, r._keep) for r in found} == {(u, 1, 1) for _, u in URLS[:3]}
+    assert {r.page_id: r._host for r in found} == {i: plain(u)[0] for i, u in URLS[:3]}
+
+
+def test_ten_thousand_rules_are_reached_by_their_index(spark):
+    """Each rule has a literal that most rules and URLs have and one of its own; a URL meets only rules of its own."""
+    from pyspark.sql import functions as F
+
+    n = 10_000
+    one = F.col("id").cast("string")
+    patterns = spark.range(n).select(
+        F.format_string("rule %05d", "id").alias("name"),
+        F.concat(F.lit("://[^/]*/shop/item"), one, F.lit("([^0-9]|$)")).alias("regex"),
+        F.array(F.lit("shop"), F.concat(F.lit("item"), one)).alias("literals"),
+    )
+    rules = spark.range(n).select(
+        F.concat(F.lit("h"), one, F.lit(".org")).alias("host"), F.concat(F.lit("/"), one, F.lit("/")).alias("path"), F.lit("allow").alias("action")
+    )
+    urls = [(k, f"http://{'www.' * (k % 2)}h{k}.org/{['shop', str(k), str(k + 1)][k % 3]}/item{k * 7}?x") for k in range(3000)]
+    pages = spark.createDataFrame(urls, "page_id long, url string")
+    found = {r.page_id: (r._rule, r._pattern, r._verdict) for r in uf.filter_urls(pages, ["page_id"], rules, patterns).collect()}
+    expected = {}
+    for k, _ in urls:
+        named = f"rule {k * 7:05d}" if k % 3 == 0 and k * 7 < n else None
+        expected[k] = (f"h{k}.org/{k}/" if k % 3 == 1 else None, named, "block" if named else "allow")
+    assert found == expected
+    # As many candidates as URLs whose own word is a rule's, not one per URL and rule.
+    assert uf._candidates(pages.select("url"), patterns).count() == sum(k * 7 < n for k, _ in urls)
