@@ -50,12 +50,37 @@ def test_equals_a_search_window_by_window(spark):
     assert found(documents(spark, rows), benchmark(spark, items)) == {i: plain(t, items) for i, t, *_ in rows}
 
 
-def test_a_large_benchmark_takes_several_automata(spark, monkeypatch):
+def test_a_large_benchmark_stays_in_spark(spark, monkeypatch):
+    """Parts by item meet blocks of documents; the one place that fetches items is not reached."""
     monkeypatch.setattr(dc, "AUTOMATON_BYTES", 600)
+    monkeypatch.setattr(dc, "BLOCK_BYTES", 500)
+    monkeypatch.setattr(dc, "_scan_at_once", None)
     rows, items = cases(2)
-    bench = benchmark(spark, items)
-    assert len(dc._parts(bench, "item_id", "text")) > 1
-    assert found(documents(spark, rows), bench) == {i: plain(t, items) for i, t, *_ in rows}
+    rows += [(100, None, "en", "s", 0), (101, "", "en", "s", 0), (102, rows[0][1] + " " + rows[1][1], "en", "s", 0)]
+    assert found(documents(spark, rows), benchmark(spark, items)) == {i: plain(t, items) for i, t, *_ in rows}
+
+
+def test_spans_of_both_ways_are_the_same(spark, monkeypatch):
+    rows, items = cases(3)
+    table, bench = documents(spark, rows), benchmark(spark, items)
+    at_once = sorted(map(tuple, dc.find_contamination(table, bench, ["doc_id", "source"]).collect()))
+    monkeypatch.setattr(dc, "AUTOMATON_BYTES", 600)
+    assert sorted(map(tuple, dc.find_contamination(table, bench, ["doc_id", "source"]).collect())) == at_once
+
+
+def test_the_empty_text_is_an_id(spark):
+    bench = spark.createDataFrame([("", "alpha beta"), (None, "gamma delta")], "item_id string, text string")
+    rows = dc.find_contamination(documents(spark, [(1, "alpha beta gamma delta", "en", "s", 0)]), bench, ["doc_id"]).collect()
+    assert (rows[0]._n_hit, rows[0]._items) == (4, [""])
+
+
+def test_clashing_columns(spark, monkeypatch):
+    names = ["_row", "_text", "_keep", "row", "part", "_runs", "_n_words"]
+    table = documents(spark, [(1, "token here", "en", "s", 0)], **dict.fromkeys(names, "clash"))
+    for size in (dc.AUTOMATON_BYTES, 1):
+        monkeypatch.setattr(dc, "AUTOMATON_BYTES", size)
+        row = dc.find_contamination(table, benchmark(spark, [(2, "token"), (3, "here")]), ["doc_id", *names]).first()
+        assert (row._row, row._keep, row._runs, row._n_words, row._items) == ("clash", "clash", "clash", 2, ["2", "3"])
 
 
 def test_spans_lead_back_to_the_text(spark):
