@@ -47,6 +47,43 @@ def test_rows_of_one_id_are_cut_into_pieces(spark):
     assert sorted(sizes.values())[-2] <= 100
 
 
+def test_rows_without_an_id_are_cut_where_they_lie(spark):
+    """A third of all rows has no id; their pieces need no window over their texts."""
+    rows = [(None, "same text", "en", "s", 0)] * 700 + [(None, "x" * (k % 60), "en", "s", 0) for k in range(300)]
+    rows += [(7, "seven", "en", "s", 0)] * 300 + [(k, "y" * 20, "en", "s", 0) for k in range(100, 1800)]
+    table = documents(spark, rows)
+    found = assigned(table, 400)
+    assert Counter((r.doc_id, r.text) for r in found) == Counter(r[:2] for r in rows)
+    sizes = bytes_per_shard(found)
+    assert max(sizes.values()) <= 400
+    # Pieces of unlike ids are apart, and are not many more than needed.
+    owners = {}
+    for r in found:
+        if "-" in r._shard:
+            owners.setdefault(r._shard, set()).add(r.doc_id)
+    assert all(len(ids) == 1 for ids in owners.values())
+    assert len(owners) <= 4 * sum(r._bytes for r in found if "-" in r._shard) / 400
+    assert "Window" not in sharding.assign_shards(table, 400)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def plan(table, limit):
+    return sharding.assign_shards(table, limit)._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_texts_are_not_shuffled(spark, monkeypatch):
+    table = documents(spark, [(k, "x" * 10, "en", "s", 0) for k in range(2000)])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in plan(table, 20) and "SortMergeJoin" not in plan(table, 20)
+        near = sorted(map(tuple, assigned(table, 20)), key=str)
+        # A directory beyond the bound meets the ids alone, and the texts meet their depths once.
+        monkeypatch.setattr(sharding, "DIRECTORY_ENTRIES", 100)
+        assert plan(table, 20).count("SortMergeJoin") == 1 and "BroadcastHashJoin" not in plan(table, 20)
+        assert sorted(map(tuple, assigned(table, 20)), key=str) == near
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_a_document_over_the_limit_is_alone(spark):
     rows = assigned(documents(spark, [(k, "x" * (5000 if k == 3 else 40), "en", "s", 0) for k in range(20)]), 100)
     big = next(r for r in rows if r._bytes == 5000)
@@ -57,7 +94,7 @@ def test_odd_rows(spark):
     table = documents(spark, ODD_ROWS, _key="clash", _shard=1, slot=2, limit="x", round=3, depth=None)
     rows = assigned(table, 1 << 20)
     assert Counter(r.doc_id for r in rows) == Counter(r[0] for r in ODD_ROWS)
-    assert {r.doc_id: r._bytes for r in rows}[901] == 0 and rows[0].slot == 2
+    assert {r.doc_id: r._bytes for r in rows}[901] == 0 and rows[0].slot == 2 and rows[0]._key == "clash"
     assert assigned(documents(spark, []), 100) == []
 
 
