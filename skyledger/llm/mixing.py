@@ -4,7 +4,8 @@ Every document starts with rate 1. Among all rates whose words add up to the sou
 nearest to 1 in relative entropy are exponential tilts ``exp(lambda * size / mean size)``, cut at the
 largest number of repeats. The one multiplier per source solves a convex dual; Newton steps on all
 sources at once find it, each step one aggregate over (source, size) counts. Rates become whole copies by
-one threshold per source on a hash of the document, found by narrowing a histogram, not by sorting.
+one threshold per source on a hash of the document, found by narrowing a histogram, not by sorting. Rows
+that share id, text and source are told apart by their number, so they need not flip together.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from skyledger.llm.common import WORD, hash60, key_text, saved
+from skyledger.llm.common import WORD, carried, hash60, key_text, saved
 
 WEIGHTS = (1.0, 2.0, 3.0)
 MAX_REPEATS = 3
@@ -27,6 +28,9 @@ LOWEST_LOG_RATE = 750.0
 # Each narrowing splits the interval of thresholds into so many bins; four leave less than a hash's own step.
 BINS = 4096
 NARROWINGS = 4
+# Rows that share id, text and source are numbered in blocks of so many.
+COPY_BLOCK_BITS = 12
+ADDED = ["_size", "_source_size", "_target", "_copies"]
 
 
 def n_words(text: str) -> Column:
@@ -151,6 +155,62 @@ def _uniform(id_column: str, text_column: str) -> Column:
     return hash60(F.concat(key_text(id_column), F.lit(":"), text)) / F.lit(float(1 << 60))
 
 
+def _uniform_of_copy(number: Column) -> Column:
+    """A number in [0, 1) of one of the rows that share ``uniform``; ``number`` counts from 1."""
+    return hash60(F.concat_ws(":", F.col("uniform").cast("string"), number.cast("string"))) / F.lit(float(1 << 60))
+
+
+def _sized(docs: DataFrame, id_column: str, text_column: str, source_column: str) -> DataFrame:
+    return docs.select(
+        F.col(source_column).cast("string").alias("source"), n_words(text_column).alias("size"), _uniform(id_column, text_column).alias("uniform"),
+        carried(docs.columns, ADDED),
+    )
+
+
+def _repeated(sized: DataFrame) -> DataFrame:
+    """often: each ``uniform`` that several rows with words share."""
+    counted = sized.filter("size > 0").groupBy("uniform").agg(F.count("*").alias("n"))
+    return saved(counted.filter("n > 1").select(F.col("uniform").alias("often")))
+
+
+def _sizes_apart(sized: DataFrame, often: DataFrame) -> DataFrame:
+    """source, size, uniform, where rows that share all three have a ``uniform`` of their own each.
+
+    As such rows are alike, they are counted and their numbers dealt out again in blocks.
+    """
+    if often.isEmpty():
+        return sized
+    shares = F.col("uniform") == F.col("often")
+    counted = sized.join(often, shares, "left_semi").groupBy("source", "size", "uniform").agg(F.count("*").alias("n"))
+    last = F.shiftright(F.col("n") - 1, COPY_BLOCK_BITS)
+    blocks = counted.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    first = F.col("block") * (1 << COPY_BLOCK_BITS)
+    numbers = F.sequence(first + 1, F.least(first + (1 << COPY_BLOCK_BITS), F.col("n")))
+    dealt = blocks.repartition("uniform", "block").withColumn("number", F.explode(numbers))
+    return sized.join(often, shares, "left_anti").unionByName(dealt.select("source", "size", _uniform_of_copy(F.col("number")).alias("uniform")))
+
+
+def _rows_apart(rows: DataFrame, often: DataFrame) -> DataFrame:
+    """source, size, uniform, _keep, numbered as in :func:`_sizes_apart`.
+
+    Which of several rows that are alike bears which number does not matter, so they are written once and numbered by
+    their places there: first the rows of blocks of places are counted, then a window runs inside each block.
+    """
+    if often.isEmpty():
+        return rows
+    shares = F.col("uniform") == F.col("often")
+    written = saved(rows.join(often, shares, "left_semi").withColumn("place", F.monotonically_increasing_id()))
+    alike, block = F.struct("source", "size", "uniform").alias("alike"), F.shiftright("place", COPY_BLOCK_BITS).alias("block")
+    placed = written.select("*", alike, block)
+    before = F.sum("n").over(Window.partitionBy("alike").orderBy("block")) - F.col("n")
+    blocks = placed.groupBy("alike", "block").agg(F.count("*").alias("n")).select("alike", "block", before.alias("before"))
+    number = F.row_number().over(Window.partitionBy("alike", "block").orderBy("place")) + F.col("before")
+    numbered = placed.join(blocks, ["alike", "block"]).withColumn("number", number)
+    return rows.join(often, shares, "left_anti").unionByName(
+        numbered.select("source", "size", _uniform_of_copy(F.col("number")).alias("uniform"), "_keep")
+    )
+
+
 def _flip(k: int | Column, size: str, multiplier: str, mean_size: str, uniform: Column, max_repeats: int) -> Column:
     """The threshold from which on a document has its k-th copy."""
     return k - _rate(F.col(size) / F.col(mean_size), F.col(multiplier), max_repeats) - uniform
@@ -163,15 +223,17 @@ def mixing_plan(docs: DataFrame, id_column="doc_id", text_column="text", source_
     source, source_size, target, mean_size, multiplier, threshold, and extra_size, extra_at: one document
     of that size and hash gets one copy more, the one that brings the source nearest to its target.
     """
-    sized = saved(docs.select(
-        F.col(source_column).cast("string").alias("source"), n_words(text_column).alias("size"), _uniform(id_column, text_column).alias("uniform")
-    ))
+    sized = saved(_sized(docs, id_column, text_column, source_column).drop("_keep"))
+    return _plan(sized, _repeated(sized), weights, max_repeats)
+
+
+def _plan(sized: DataFrame, often: DataFrame, weights, max_repeats: int) -> DataFrame:
     counts = saved(sized.groupBy("source", "size").agg(F.count("*").alias("n")))
     totals = counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     targets = saved(source_targets(totals, weights, max_repeats))
     solved = solve_rates(counts.filter("size > 0"), targets, max_repeats)
 
-    rated = sized.filter("size > 0").join(
+    rated = _sizes_apart(sized, often).filter("size > 0").join(
         solved.select(F.col("source").alias("_source"), "mean_size", "multiplier"), F.col("source").eqNullSafe(F.col("_source"))
     )
     flips = saved(rated.select(
@@ -203,32 +265,44 @@ def mixing_plan(docs: DataFrame, id_column="doc_id", text_column="text", source_
 
 def with_copies(docs: DataFrame, plan: DataFrame, id_column="doc_id", text_column="text", source_column="source",
                 max_repeats: int = MAX_REPEATS) -> DataFrame:
-    """The input columns, and _size, _source_size, _target, _copies of each row.
+    """The input columns, and _size, _source_size, _target, _copies of each row; ``plan``: :func:`mixing_plan` of the same rows.
 
     Each decision is a function of the row and its source's row in the plan, so text is never shuffled
-    while the plan is small enough for Spark to broadcast it. Reruns agree, as hashes replace random
-    numbers. NULL and empty texts have size 0 and no copies; rows that share id, text and source have the same
-    copies; a NULL source is a source like any other. Input columns named like the added ones are replaced.
+    while the plan is small enough for Spark to broadcast it, but that of rows which share id and text. Reruns agree, as hashes
+    replace random numbers; among rows that share id, text and source it is their number that counts, so as many of them have
+    one copy more in every run, whatever the file layout. NULL and empty texts have size 0 and no copies; a NULL
+    source is a source like any other. Input columns named like the added ones are replaced, all others may have any names.
     """
-    added = ["_size", "_source_size", "_target", "_copies"]
-    rows = docs.drop(*added).withColumn("_size", n_words(text_column))
-    columns = {c: f"_plan_{c}" for c in plan.columns}
-    p = plan.withColumnsRenamed(columns)
-    uniform = _uniform(id_column, text_column)
-    joined = rows.join(p, F.col(source_column).cast("string").eqNullSafe(F.col("_plan_source")), "left")
+    sized = _sized(docs, id_column, text_column, source_column)
+    return _take(sized, plan, _repeated(sized), max_repeats)
+
+
+def _take(rows: DataFrame, plan: DataFrame, often: DataFrame, max_repeats: int) -> DataFrame:
+    p = plan.withColumnsRenamed({c: f"_plan_{c}" for c in plan.columns})
+    joined = _rows_apart(rows, often).join(p, F.col("source").eqNullSafe(F.col("_plan_source")), "left")
+    uniform = F.col("uniform")
     whole = sum(
-        F.when(_flip(F.lit(k), "_size", "_plan_multiplier", "_plan_mean_size", uniform, max_repeats) < F.col("_plan_threshold"), 1).otherwise(0)
+        F.when(_flip(F.lit(k), "size", "_plan_multiplier", "_plan_mean_size", uniform, max_repeats) < F.col("_plan_threshold"), 1).otherwise(0)
         for k in range(1, max_repeats + 1)
     )
-    extra = F.when((F.col("_size") == F.col("_plan_extra_size")) & (uniform == F.col("_plan_extra_at")), 1).otherwise(0)
-    copies = F.when(F.col("_size") > 0, F.least(whole + extra, F.lit(max_repeats))).otherwise(0).cast("int")
-    return joined.withColumns({
-        "_source_size": F.col("_plan_source_size"), "_target": F.col("_plan_target"), "_copies": F.coalesce(copies, F.lit(0)),
-    }).drop(*columns.values())
+    extra = F.when((F.col("size") == F.col("_plan_extra_size")) & (uniform == F.col("_plan_extra_at")), 1).otherwise(0)
+    copies = F.when(F.col("size") > 0, F.least(whole + extra, F.lit(max_repeats))).otherwise(0).cast("int")
+    return joined.select(
+        "_keep.*", F.col("size").alias("_size"), F.col("_plan_source_size").alias("_source_size"), F.col("_plan_target").alias("_target"),
+        F.coalesce(copies, F.lit(0)).alias("_copies"),
+    )
+
+
+def mixed(docs: DataFrame, id_column="doc_id", text_column="text", source_column="source",
+          weights=WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """:func:`with_copies` by the plan of the same documents, which are searched for repeated rows once."""
+    rows = _sized(docs, id_column, text_column, source_column)
+    sized = saved(rows.drop("_keep"))
+    often = _repeated(sized)
+    return _take(rows, _plan(sized, often, weights, max_repeats), often, max_repeats)
 
 
 def mix(docs: DataFrame) -> DataFrame:
     """The documents that the mix takes, each as often as it takes it."""
-    columns = docs.columns
-    copied = with_copies(docs, mixing_plan(docs)).filter("_copies > 0")
-    return copied.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*columns)
+    taken = mixed(docs).filter("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies")))
+    return taken.select(*docs.columns)

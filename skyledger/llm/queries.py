@@ -84,8 +84,7 @@ def op8_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, size, source_size, target, taken, copies of every document."""
-    docs = _read(spark, sf_dir, "documents")
-    return mixing.with_copies(docs, mixing.mixing_plan(docs)).select(
+    return mixing.mixed(_read(spark, sf_dir, "documents")).select(
         "doc_id",
         F.col("_size").alias("size"),
         F.col("_source_size").alias("source_size"),

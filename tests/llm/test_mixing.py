@@ -89,3 +89,33 @@ def test_odd_rows(spark):
     assert len(twice) == 1
     assert mixed(spark, []) == []
     assert [r._copies for r in mixed(spark, [(1, None, "en", "a", 0), (2, "", "en", None, 0)])] == [0, 0]
+
+
+@pytest.mark.parametrize("hot_id", [None, 7])
+def test_a_third_of_all_rows_alike(spark, hot_id):
+    """Rows that share id, text and source need not flip together: targets are met, in any order of rows."""
+    text = "one two three four five"
+    rows = [(hot_id if i % 3 == 0 else i, text, "en", "ab"[i % 2], 23) for i in range(3000)]
+    rows += [(10_000 + i, "w " * (1 + i % 40), "en", "c", 0) for i in range(600)]
+    sizes = defaultdict(int)
+    for _, text, _, source, _ in rows:
+        sizes[source] += len(words(text))
+    table, turned = documents(spark, rows), documents(spark, rows[::-1]).repartition(9)
+    results = mixing.mixed(table), mixing.with_copies(turned, mixing.mixing_plan(turned))
+    found = [sorted((r.doc_id or 0, r.source, r._size, r._copies) for r in result.collect()) for result in results]
+    assert all(f == found[0] for f in found) and len(found[0]) == len(rows)
+    taken = defaultdict(int)
+    for _, source, size, copies in found[0]:
+        assert 0 <= copies <= 3
+        taken[source] += size * copies
+    for source, target in plain_targets(sizes).items():
+        assert abs(taken[source] - target) <= 20 + 1
+
+
+def test_columns_of_any_name(spark):
+    names = ["_size", "_copies", "uniform", "often", "place", "block", "alike", "_keep", "_plan_source", "size", "n", "number", "before"]
+    table = documents(spark, [*ODD_ROWS, (901, "two words", "en", "s1", 0)], **{n: "clash" for n in names})
+    rows = mixing.mixed(table).collect()
+    assert len(rows) == len(ODD_ROWS) + 1
+    assert all(r[n] == "clash" for r in rows for n in names[2:])
+    assert {r._size for r in rows if r.text == "two words"} == {2}
