@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import re
 
 import __spark_entry__ as entry
@@ -7,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyledger import fixtures
+from skyledger.operators import make_subset, numbered_subset
 from tests.support import flight_table, rows
 
 # Java does not compile a method of more bytes of bytecode; each row of it is interpreted.
@@ -77,3 +79,26 @@ def test_sample_facts_see_wrong_samples(spark, monkeypatch, wrong):
         assert tuple(found) == (300, False, 300, 300)
     else:
         assert found["unknown_rows"] == 0 and 100 < found["changed_rows"] < 200
+
+
+def test_numbered_subset_shuffles_no_text_and_only_what_stays(spark):
+    table = make_subset(flight_table(spark, *[{"OP_CARRIER_FL_NUM": str(n)} for n in range(400)]), 200)
+    plan = numbered_subset(table, 25)._jdf.queryExecution().executedPlan().toString()
+    keys = re.findall(r"Exchange hashpartitioning\(([^\n]*)", plan)
+    assert len(keys) == 2 and not any("text" in k for k in keys)
+    dealt = plan.index("REPARTITION_BY_COL")
+    assert "md5" in plan[dealt:]
+
+
+def test_numbered_subset_tells_signs_of_zero_apart(spark):
+    changes = [{"OP_CARRIER_FL_NUM": str(n), "NAS_DELAY": zero} for n in range(300) for zero in (0.0, -0.0, -0.0)]
+    table = flight_table(spark, *changes)
+    found = numbered_subset(table, 50)
+    def stays(number, zero, copy):
+        values = list(table.first())
+        values[table.columns.index("OP_CARRIER_FL_NUM")], values[table.columns.index("NAS_DELAY")] = str(number), zero
+        text = "|".join("<null>" if v is None else str(v) for v in [*values, copy])
+        return int(hashlib.md5(text.encode()).hexdigest()[:8], 16) * 100 < 50 << 32
+
+    expected = sum(stays(n, z, c) for n in range(300) for z, c in ((0.0, 1), (-0.0, 1), (-0.0, 2)))
+    assert found.count() == expected
