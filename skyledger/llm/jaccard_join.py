@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.window import Window
 
-from skyledger.llm.common import in_small_batches, saved
+from skyledger.llm.common import flagged, flags, in_small_batches, is_flagged, saved
 from skyledger.llm.components import components
 from skyledger.llm.shingles import fingerprint, shingle_sets
 
@@ -30,19 +30,24 @@ from skyledger.llm.shingles import fingerprint, shingle_sets
 # alone, behind all others; so no shingle of the exact count below has more documents than the table says.
 COUNT_BITS = 22
 CHUNK = 1 << 16
+# The least common shingles by the table, about this share of those that are not common, come first in the order. Most sets
+# have their prefix among these alone, and send no others to the exact count.
+LOW_SHARE = 0.4
+# What the number of a shingle's documents is raised by, beyond any such number, where it is not among these.
+HIGH = 1 << 30
 # The exact count gathers shingles by leading hash bits, in parts of about so many bytes.
 PART_BYTES = 12 << 20
 PART_SLICE = 1024
-# The wanted sets are told apart by a bitmap of at least so many bits for each, and of at most 16 MB; sets that it lets
-# through in vain, which beyond some ten million wanted ones become more, drop out at a join.
-WANTED_FACTOR = 8
-MOST_BITS = 1 << 27
-# A set is described by how many of its shingles fall into each of so many ranges of hashes.
-SPREAD = 16
+# A set is described by how many of its shingles fall into each of so many ranges of hashes, counted up to a byte. Below a
+# thousand shingles, sets that have little in common are told apart by that.
+SPREAD_BITS = 6
+MOST_SPREAD = 127
 # Documents of a batch are taken in slices of so many, which bounds the memory of a Python worker.
 SLICE = 256
 # So many sets of each shingle are pivots of one round.
 PIVOTS = 4
+# Sets that share a shingle with few others are all compared at once, and done with.
+FEW = 6
 # Pivot rounds go on while pairs between classes outnumber the entries by this factor.
 PAIRS_PER_ENTRY = 2
 MAX_PIVOT_ROUNDS = 3
@@ -82,25 +87,26 @@ def _describe(docs: DataFrame) -> DataFrame:
             for s in sets:
                 high, low = fingerprint(s)
                 n.append(len(s)), hi.append(high), lo.append(low)
-                spread.append(np.bincount((s >> np.uint64(60)).astype(np.int64), minlength=SPREAD).astype(np.int32))
+                ranges = np.bincount((s >> np.uint64(64 - SPREAD_BITS)).astype(np.int64), minlength=1 << SPREAD_BITS)
+                spread.append(np.minimum(ranges, MOST_SPREAD).astype(np.int8))
                 entries.append(_entry(s))
             at, k = np.unique(np.concatenate(entries), return_counts=True)
             counts[at] += k.astype(np.uint32)
             none = pa.nulls(len(n))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()),
-                 _lists(spread, np.int32), none.cast(pa.int32()), none.cast(pa.binary())],
+                 _lists(spread, np.int8), none.cast(pa.int32()), none.cast(pa.binary())],
                 ["_id", "n", "hi", "lo", "spread", "chunk", "counts"],
             )
         if counts.any():
-            types = [docs_type, pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
+            types = [docs_type, pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int8())]
             for chunk, part in enumerate(counts.reshape(-1, CHUNK)):
                 yield pa.RecordBatch.from_arrays(
                     [*[pa.nulls(1).cast(t) for t in types], pa.array([chunk], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())],
                     ["_id", "n", "hi", "lo", "spread", "chunk", "counts"],
                 )
 
-    return docs.mapInArrow(run, f"_id {kind}, n long, hi long, lo long, spread array<int>, chunk int, counts binary")
+    return docs.mapInArrow(run, f"_id {kind}, n long, hi long, lo long, spread array<tinyint>, chunk int, counts binary")
 
 
 def _rarity(described: DataFrame) -> np.ndarray:
@@ -132,6 +138,20 @@ def _common_from(total: int) -> int:
     return int(np.round(np.log2(1.0 + mean + 4 * mean**0.5 + 8) * 512)) + 1
 
 
+def _low_below(rarity: np.ndarray, common_from: int) -> int:
+    """The rank in the table below which there is about LOW_SHARE of all shingles that are not common."""
+    ranks = np.arange(1 << 16)
+    below = np.cumsum((np.bincount(rarity, minlength=1 << 16) * (np.exp2(ranks / 512) - 1))[:common_from])
+    return int(np.searchsorted(below, LOW_SHARE * below[-1])) + 1 if len(below) else 0
+
+
+def _sent(rank: np.ndarray, low_below: int, common_from: int) -> np.ndarray:
+    """Which shingles of a set, by their ranks in the table, go to the exact count: all low ones, and the others only
+    if the prefix is longer than these. Common ones never do."""
+    low = rank < low_below
+    return low if np.count_nonzero(low) >= prefix_length(len(rank)) else rank < common_from
+
+
 def _part_bits(total: int) -> int:
     return max(0, int(np.ceil(np.log2(max(1, total * 12 / PART_BYTES)))))
 
@@ -156,13 +176,15 @@ RARE, SIZES, COMMON = range(3)
 def _by_part(docs: DataFrame, rarity: np.ndarray, total: int) -> DataFrame:
     """For each bucket of sets (leading bits of lo) packed rows: kind, bucket, doc (lo), wide, number.
 
-    Shingles that are not common meet by the leading bits of their hash, in parts, where they are counted. Those that several
-    sets have go on as wide, with their count as number, to the bucket of each set: a part sends one row of
-    arrays to each bucket that occurs in it. Sizes of sets (of common shingles as number, of all as wide) and
-    the common shingles of prefixes (their position as number) pass through, dealt by the bucket of their set.
+    Shingles that can be in a prefix and are not common meet by the leading bits of their hash, in parts, where they are counted.
+    Those that several sets sent go on as wide, with their count as number, raised by HIGH unless they are low, to the
+    bucket of each set: a part sends one row of arrays to each bucket that occurs in it. Sizes of sets (of common shingles
+    as number, of low ones and of all as halves of wide) and the common shingles of prefixes (their position as number)
+    pass through, dealt by the bucket of their set.
     """
     shared = docs.sparkSession.sparkContext.broadcast(rarity)
     bits, common_from = _part_bits(total), _common_from(total)
+    low_below = _low_below(rarity, common_from)
     parts = 1 << bits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,9 +208,9 @@ def _by_part(docs: DataFrame, rarity: np.ndarray, total: int) -> DataFrame:
                 lo = fingerprint(s)[1]
                 rank = ranks[_entry(s)]
                 common = rank >= common_from
-                some = s[~common]
+                some = s[_sent(rank, low_below, common_from)]
                 rare.append(some), owners.append(np.full(len(some), lo, dtype=np.int64))
-                names.append(lo), sizes.append(len(s)), n_common.append(len(s) - len(some))
+                names.append(lo), sizes.append(np.count_nonzero(rank < low_below) << 32 | len(s)), n_common.append(np.count_nonzero(common))
                 more = prefix_length(len(s)) - len(some)
                 if more > 0:
                     first = s[common][np.argsort(rank[common], kind="stable")[:more]]
@@ -228,6 +250,7 @@ def _by_part(docs: DataFrame, rarity: np.ndarray, total: int) -> DataFrame:
         several = number > 1
         doc, number = doc[several], number[several]
         wide = token[several].astype(np.int64) | (part << 32)
+        number += np.where(shared.value[wide >> (32 + bits - COUNT_BITS)] < low_below, 0, HIGH).astype(np.int32)
         buckets, cut = _cut(_numbered(doc.view(np.uint64), bits), doc, wide, number)
         return packed(RARE, buckets, *cut)
 
@@ -242,24 +265,27 @@ def _flat(table: pa.Table, column: str) -> np.ndarray:
 def _prefix_entries(packed: DataFrame, nodes: DataFrame) -> DataFrame:
     """token, position, node, n: the shingles of each set's prefix that other sets have too.
 
-    A set's order is: shingles that no other set has, shingles of few sets by their number, common ones. What no
-    other set has needs no row; its number is what is left of the set's size. A task has all of a bucket's sets
-    and chooses their prefixes in one pass over arrays.
+    A set's order is: low shingles, others, common ones; the first two each begin with those that no other set sent and
+    go on by the number of sets. What no other set sent needs no row; its number is what is left of the set's size. A task
+    has all of a bucket's sets and chooses their prefixes in one pass over arrays.
     """
 
     def choose(table: pa.Table) -> pa.Table:
         kind = table.column("kind").to_numpy()
         doc, token, number = ({k: _flat(table.filter(pa.array(kind == k)), c) for k in (RARE, SIZES, COMMON)} for c in ("doc", "wide", "number"))
         names, first = np.unique(doc[SIZES], return_index=True)
-        sizes, rare_sizes = token[SIZES][first], token[SIZES][first] - number[SIZES][first]
+        sizes, low_sizes = token[SIZES][first] & 0xFFFFFFFF, token[SIZES][first] >> 32
+        rare_sizes = sizes - number[SIZES][first]
         order = np.lexsort((token[RARE], number[RARE], doc[RARE]))
-        lo, wide = doc[RARE][order], token[RARE][order]
+        lo, wide, low = doc[RARE][order], token[RARE][order], number[RARE][order] < HIGH
         starts = np.flatnonzero(np.append(True, lo[1:] != lo[:-1])) if len(lo) else np.empty(0, np.int64)
         several = np.diff(np.append(starts, len(lo)))
+        several_low = np.add.reduceat(low.astype(np.int64), starts) if len(lo) else several
         place = np.arange(len(lo)) - np.repeat(starts, several)
         at = np.searchsorted(names, lo)
         n = sizes[at]
-        position = rare_sizes[at] - np.repeat(several, several) + place
+        own = np.where(low, low_sizes[at] - np.repeat(several_low, several), rare_sizes[at] - np.repeat(several, several))
+        position = own + place
         kept = position < n - (3 * n + 3) // 4 + 1
         # Equal sets have sent the same common shingles.
         once = np.lexsort((token[COMMON], doc[COMMON]))
@@ -277,28 +303,17 @@ def _prefix_entries(packed: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def _wanted_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """hi, lo, shingles of the sets in ``wanted`` (hi, lo), and of few others."""
-    bits = min(MOST_BITS, max(1 << 15, 1 << (WANTED_FACTOR * wanted.count()).bit_length()))
-    slot = F.pmod(F.col("lo"), F.lit(bits)) + 1  # bitmaps begin at 1
-    rows = (
-        wanted.groupBy(F.bitmap_bucket_number(slot).alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bitmap")).collect()
-    )
-    table = np.zeros(bits // 8, dtype=np.uint8)
-    for row in rows:
-        first = (row.bucket - 1) * 4096
-        table[first : first + 4096] = np.frombuffer(bytes(row.bitmap), dtype=np.uint8)
-    shared = docs.sparkSession.sparkContext.broadcast(table)
+    shared = docs.sparkSession.sparkContext.broadcast(flags(wanted, F.col("lo")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flags = shared.value
+        table = shared.value
         for _, sets in _texts(batches):
             hi, lo, found = [], [], []
             for s in sets:
                 if not len(s):
                     continue
                 high, low = fingerprint(s)
-                at = low % bits
-                if flags[at >> 3] >> (at & 7) & 1:
+                if is_flagged(table, low):
                     hi.append(high), lo.append(low), found.append(s)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(hi, pa.int64()), pa.array(lo, pa.int64()), _lists(found, np.int64)], ["hi", "lo", "shingles"]
@@ -325,7 +340,7 @@ def _pairs(met: DataFrame, nodes: DataFrame) -> DataFrame:
     """Distinct pairs u > v of nodes that met, after the filter on spread.
 
     ``met``: node, n and the other's p_node, p_n. Of what two sets do not share, each range of hashes holds at
-    least the difference of its two counts.
+    least the difference of its two counts, also of counts that end at the same number.
     """
     up = F.col("node") > F.col("p_node")
     first = met.select(
@@ -335,15 +350,15 @@ def _pairs(met: DataFrame, nodes: DataFrame) -> DataFrame:
     shared = _least_shared(F.col("n"), F.col("m"))
     x = nodes.select(F.col("node").alias("u"), F.col("spread").alias("x"))
     y = nodes.select(F.col("node").alias("v"), F.col("spread").alias("y"))
-    apart = sum(F.abs(F.get("x", F.lit(k)) - F.get("y", F.lit(k))) for k in range(SPREAD))
+    apart = F.aggregate(F.zip_with("x", "y", lambda a, b: F.abs(a.cast("int") - b.cast("int"))), F.lit(0), lambda total, d: total + d)
     kept = first.join(x, "u").join(y, "v").filter(apart <= F.col("n") + F.col("m") - 2 * shared)
     return kept.select("u", "v", "n", "m")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """u, v, linked: each pair's sets meet once."""
-    one = sets.select(F.col("node").alias("u"), F.col("shingles").alias("x"))
-    other = sets.select(F.col("node").alias("v"), F.col("shingles").alias("y"))
+    """u, v, linked: each pair's sets meet once. ``pairs`` is a saved table; only sets that it has are shuffled."""
+    one = sets.filter(flagged(F.xxhash64("node"), pairs, F.xxhash64("u"))).select(F.col("node").alias("u"), F.col("shingles").alias("x"))
+    other = sets.filter(flagged(F.xxhash64("node"), pairs, F.xxhash64("v"))).select(F.col("node").alias("v"), F.col("shingles").alias("y"))
     shared = F.size(F.array_intersect("x", "y")).cast("long")
     joined = pairs.join(one, "u").join(other, "v").select("u", "v", "n", "m", shared.alias("shared"))
     return joined.select("u", "v", (100 * F.col("shared") >= 75 * (F.col("n") + F.col("m") - F.col("shared"))).alias("linked"))
@@ -378,13 +393,16 @@ def _meetings(entries: DataFrame) -> DataFrame:
     """Entries that can link: token, position, node, n, k (entries of the token) and its pivots.
 
     Sorted by size, an entry whose neighbours are both too small or too large has no partner at all. One sort
-    by (token, n) serves both; a token is read as a stream, however many sets share it.
+    by (token, n) serves both; a token is read as a stream, however many sets share it. If they are FEW, all are pivots.
     """
     by_size = Window.partitionBy("token").orderBy("n", "node")
     near = (4 * F.lag("n").over(by_size) >= 3 * F.col("n")) | (4 * F.col("n") >= 3 * F.lead("n").over(by_size))
-    some = entries.withColumn("near", near).filter("near").drop("near")
+    some = entries.withColumn("near", near).filter("near").drop("near").withColumn("place", F.row_number().over(by_size))
     token = Window.partitionBy("token")
-    return some.withColumns({"k": F.count("*").over(token), "pivots": _pivots(token)}).filter("k > 1")
+    k = F.count("*").over(token)
+    first = F.collect_list(F.when(F.col("place") <= FEW, F.struct("node", "n", "position"))).over(token)
+    chosen = some.withColumns({"k": k, "pivots": F.when(k <= FEW, first).otherwise(_pivots(token))})
+    return chosen.drop("place").filter("k > 1")
 
 
 def _with_pivots(entries: DataFrame) -> DataFrame:
@@ -420,7 +438,7 @@ def _classes(live: DataFrame, total: int, failed: DataFrame, classes: DataFrame,
         meet = (F.col("token") == F.col("p_token")) & (F.col("root") != F.col("p_root")) & _linkable()
         if last:
             meet = meet & (F.col("node") > F.col("p_node"))
-        pairs = _pairs(placed.join(other, meet), nodes).join(failed, ["u", "v"], "left_anti")
+        pairs = saved(_pairs(placed.join(other, meet), nodes).join(failed, ["u", "v"], "left_anti"))
         checked = saved(_verified(pairs, sets))
         classes = _regrouped(classes, checked.filter("linked").select("u", "v"))
         if last:
@@ -449,9 +467,9 @@ def similar_documents(docs: DataFrame, id_column: str = "doc_id", text_column: s
     total = described.agg(F.sum("n")).first()[0] or 0
     entries = saved(_meetings(_prefix_entries(_by_part(texts, rarity, total), nodes)))
 
-    # Shingles of two sets are done with their one pair; those of more go on to further rounds.
+    # Shingles of few sets are done with their pairs; those of more go on to further rounds.
     pairs = saved(_pairs(_with_pivots(entries).filter((F.col("node") != F.col("p_node")) & _linkable()), nodes))
-    more = entries.filter("k > 2").select("token", "position", "node", "n")
+    more = entries.filter(F.col("k") > FEW).select("token", "position", "node", "n")
     concerned = more.select("node").unionByName(pairs.select(F.explode(F.array("u", "v")).alias("node"))).distinct()
     wanted = saved(nodes.join(concerned, "node", "left_semi").select("hi", "lo", "node"))
     found = _wanted_sets(texts, wanted).groupBy("hi", "lo").agg(F.first("shingles").alias("shingles"))

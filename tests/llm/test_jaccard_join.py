@@ -65,6 +65,31 @@ def test_common_shingles_can_link(spark, monkeypatch):
     assert found(documents(spark, [(i, t, "en", "s", 0) for i, t in rows])) == linked_components(rows)
 
 
+@pytest.mark.parametrize("count", [1, 2, 6])
+def test_low_shingles_come_first(spark, monkeypatch, count):
+    """Wherever the low shingles end, so that some sets send only these and others all, the links are the same."""
+    below = int(np.round(np.log2(1.0 + count) * 512)) + 1
+    monkeypatch.setattr(jaccard_join, "_low_below", lambda rarity, common_from: below)
+    rows = near_copies(6)
+    assert found(documents(spark, [(i, t, "en", "s", 0) for i, t in rows])) == linked_components(rows)
+
+
+def test_most_shingles_are_not_sent():
+    """Of a table that is full, sets send about the lower two fifths, which hold their prefix."""
+    counts = np.random.default_rng(1).poisson(20, 1 << jaccard_join.COUNT_BITS)
+    rarity = np.round(np.log2(1.0 + counts) * 512).astype(np.uint16)
+    common_from = jaccard_join._common_from(int(counts.sum()))
+    low_below = jaccard_join._low_below(rarity, common_from)
+    tokens = np.repeat(np.arange(len(counts)), counts)
+    for n in (5, 60, 400, 3000):
+        rank = rarity[np.random.default_rng(n).choice(tokens, n)]
+        sent = jaccard_join._sent(rank, low_below, common_from)
+        low = rank < low_below
+        assert sent[low].all() and not sent[rank >= common_from].any()
+        assert sent.sum() >= jaccard_join.prefix_length(n) and (n < 400 or sent.sum() < 0.55 * n)
+    assert jaccard_join._sent(np.full(8, low_below), low_below, common_from).all()
+
+
 def test_many_parts(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "PART_BYTES", 2000)
     rows = near_copies(4)
