@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.llm import decontamination, jaccard_join, language, mixing, sharding
-from skyledger.llm.common import saved
+from skyledger.llm.common import flagged, saved
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -34,17 +34,25 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     rows = _documents(docs).withColumn("_row", _row_name())
     found = saved(jaccard_join.similar_documents(rows, "_row"))
-    # A component bears its smallest row, so these are all others.
-    extra = saved(found.filter("_id <> _component").select(F.col("_id").alias("_row")).distinct())
-    kept = rows.join(extra, "_row", "left_anti")
-    often = found.filter("_n_shingles > 0").groupBy("_id").agg(F.count("*").alias("n"))
-    repeated = saved(often.filter("n > 1").select(F.col("_id").alias("_row")))
-    if not repeated.isEmpty():
-        once = kept.join(repeated, "_row", "left_semi").dropDuplicates(["_row"])
-        kept = kept.join(repeated, "_row", "left_anti").unionByName(once)
+    # A component bears its smallest row, so all others go.
+    by_row = found.groupBy(F.col("_id").alias("_row")).agg(
+        F.bool_or(F.col("_id") != F.col("_component")).alias("gone"), (F.min("_n_shingles") > 0).alias("has_words"), F.count("*").alias("n")
+    )
+    marks = saved(by_row.filter("gone OR has_words AND n > 1").select("_row", "gone"))
+    clear, asked = _parted(rows, marks)
+    stay = asked.join(marks, "_row", "left").filter("gone IS NULL OR NOT gone")
+    kept = clear.unionByName(stay.filter("gone IS NULL").select(*clear.columns))
+    if not marks.filter("NOT gone").isEmpty():
+        kept = kept.unionByName(stay.filter("NOT gone").dropDuplicates(["_row"]).select(*clear.columns))
     return kept.select(*COLUMNS)
 
 
+def _parted(rows: DataFrame, marks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows whose ``_row`` is surely not in ``marks``, and the others, by a bitmap: only these need to meet the marks with their text."""
+    told = rows.withColumn("_flagged", flagged(F.xxhash64("_row"), marks, F.xxhash64("_row")))
+    return told.filter("NOT _flagged").drop("_flagged"), told.filter("_flagged").drop("_flagged")
+
+
 def _row_name() -> Column:
     """A text that rows of one id and text share, in the order of ids (NULL last), then of the texts' MD5."""
     # Hexadecimal digits of a negative number begin with f, so the sign comes first.

@@ -55,6 +55,17 @@ def test_near_duplicates_go_by_row(spark):
     assert kept == Counter([(1, a), (2, b), (5, c), (None, e), (-3, d), (9, None), (9, None), (None, "")])
 
 
+def test_texts_that_stay_are_not_joined(spark):
+    """Only rows that are marked, and few others by chance, meet the marks with their text."""
+    table = documents(spark, [(i, " ".join(f"w{i}_{k}" for k in range(20)), "en", "s", 1) for i in range(200)])
+    rows = table.withColumn("_row", cp._row_name())
+    marks = rows.filter("doc_id < 5").select("_row")
+    clear, asked = cp._parted(rows, marks)
+    assert {r.doc_id for r in asked.collect()} >= set(range(5)) and asked.count() < 20
+    assert clear.unionByName(asked).exceptAll(rows).isEmpty() and clear.count() + asked.count() == 200
+    assert cp._parted(rows, marks.limit(0))[0].count() == 200
+
+
 def test_decontamination_stage(spark, steps, sf_dir):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
     assert ids(steps[3]) == Counter(r.doc_id for r in steps[2].collect() if contamination(r.text, items)[1] == 0)
