@@ -90,6 +90,16 @@ def pattern_table(spark: SparkSession, patterns=None) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*made)))
 
 
+def _looked_up(asked: DataFrame, rules: DataFrame, keys: list[str]) -> DataFrame:
+    """The inner join of what URLs ask for with rules, in which only the rules can be broadcast.
+
+    What is asked comes from a compressed file and has several rows per URL, so that Spark's estimate is up to a hundred times
+    too low, and an inner join would send all of it through the driver. Spark never broadcasts the left side of these two
+    joins; after the first, each row has a rule. A filter on a rule's column above them would make the second an inner join.
+    """
+    return asked.join(rules.select(*keys), keys, "left_semi").join(rules, keys, "left")
+
+
 def _host_matches(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """url, rule, action for every host rule that fits; ``urls`` has url, host, path."""
     rules = rules.withColumns({"labels": F.size(F.split("host", "[.]")), "length": F.char_length("path")})
@@ -104,7 +114,7 @@ def _host_matches(urls: DataFrame, rules: DataFrame) -> DataFrame:
         return urls.select("url", F.lit("").alias("rule"), F.lit("").alias("action")).limit(0)
     asked = urls.select("url", F.explode(F.array(*lookups)).alias("asked")).select("url", "asked.*")
     named = rules.withColumn("rule", F.concat("host", "path"))
-    return asked.join(named, ["host", "path", "labels", "length"]).select("url", "rule", "action")
+    return _looked_up(asked, named, ["host", "path", "labels", "length"]).select("url", "rule", "action")
 
 
 def _tokens(urls: DataFrame) -> DataFrame:
@@ -120,18 +130,19 @@ def _candidates(urls: DataFrame, patterns: DataFrame) -> DataFrame:
     rarest = literals.join(counts, "token", "left").groupBy("name", "regex").agg(
         F.min_by("token", F.struct(F.coalesce("urls", F.lit(0)), "token")).alias("token")
     )
-    return tokens.join(rarest, "token")
+    # Written, as it is asked twice, and small tables are broadcast by the size of their file, before tokens are shuffled.
+    return _looked_up(tokens, saved(rarest), ["token"])
 
 
 def _pattern_matches(urls: DataFrame, patterns: DataFrame) -> DataFrame:
-    """url, pattern (the first name) of the URLs that a pattern rule blocks."""
+    """url, pattern (the first name) of the URLs that a pattern rule blocks, and of others that have a candidate, with NULL."""
     candidates = _candidates(urls, patterns)
     # A rule without a literal has no place in the index and looks at every URL; there should be few.
     open_rules = patterns.filter(F.size("literals") == 0).select("name", "regex").collect()
     everywhere = [
         urls.filter(_lower(F.col("url")).rlike(r.regex)).select("url", F.lit(r.name).alias("name")) for r in open_rules
     ]
-    matched = candidates.filter(F.expr(f"translate(url, '{_UPPER}', '{_LOW}') RLIKE regex")).select("url", "name")
+    matched = candidates.select("url", F.when(F.expr(f"translate(url, '{_UPPER}', '{_LOW}') RLIKE regex"), F.col("name")).alias("name"))
     return reduce(DataFrame.unionByName, everywhere, matched).groupBy("url").agg(F.min("name").alias("pattern"))
 
 

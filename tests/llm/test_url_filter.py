@@ -126,3 +126,31 @@ def test_ten_thousand_rules_are_reached_by_their_index(spark):
     assert found == expected
     # As many candidates as URLs whose own word is a rule's, not one per URL and rule.
     assert uf._candidates(pages.select("url"), patterns).count() == sum(k * 7 < n for k, _ in urls)
+
+
+def test_no_table_of_several_rows_per_url_is_broadcast(spark):
+    """Its file's size tells little of its rows: the driver would hold all tokens of the URLs. Rules are broadcast if they are small."""
+    from pyspark.sql import functions as F
+
+    from skyledger.llm.common import saved
+
+    n = 3000
+    one = F.col("id").cast("string")
+    # More rules than URLs, so that by their estimates URLs are what is smaller.
+    rules = saved(spark.range(n).select(F.concat(F.lit("h"), one, F.lit(".org")).alias("host"), F.lit("/").alias("path"), F.lit("allow").alias("action")))
+    patterns = saved(spark.range(n).select(F.concat(F.lit("rule "), one).alias("name"), F.concat(F.lit("/item"), one, F.lit("$")).alias("regex"),
+                                           F.array(F.concat(F.lit("item"), one)).alias("literals")))
+    pages = spark.range(200).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h"), (F.col("id") % 2 * 5000 + F.col("id")).cast("string"),
+                                                                           F.lit(".org/a/b/c/item"), one).alias("url"))
+    urls = saved(pages.select("url").withColumns(dict(zip(("host", "path"), uf.url_parts(F.col("url"))))))
+    for found, rows in ((uf._host_matches(urls, rules), 100), (uf._pattern_matches(urls, patterns), 200), (uf._candidates(urls, patterns), 200),
+                        (uf._host_matches(urls, uf.host_rule_table(spark, [("org", "/", "allow")])), 200)):
+        assert len(found.collect()) == rows
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BuildRight" in plan and "BuildLeft" not in plan
+    # Candidates that their expression turns down are no matches.
+    other = patterns.withColumn("regex", F.lit("/x$"))
+    assert {r.pattern for r in uf._pattern_matches(urls, other).collect()} <= {None}
+    judged = uf.filter_urls(pages, ["page_id"], rules, other).collect()
+    assert len(judged) == 200 and {(r._pattern, r._verdict) for r in judged} == {(None, "allow")}
+    assert sum(r._rule is not None for r in judged) == 100
