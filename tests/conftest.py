@@ -21,6 +21,8 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        # Tests look for folders in plans, which Spark would cut after 100 characters.
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .config("spark.sql.warehouse.dir", str(folder / "warehouse"))
         .config("spark.checkpoint.dir", str(folder / "shared"))
         .getOrCreate()
