@@ -93,7 +93,7 @@ def pattern_table(spark: SparkSession, patterns=None) -> DataFrame:
 def _looked_up(asked: DataFrame, rules: DataFrame, keys: list[str]) -> DataFrame:
     """The inner join of what URLs ask for with rules, in which only the rules can be broadcast.
 
-    What is asked comes from a compressed file and has several rows per URL, so that Spark's estimate is up to a hundred times
+    What is asked comes from a compressed file and has several rows per URL, so that Spark's estimate is many times
     too low, and an inner join would send all of it through the driver. Spark never broadcasts the left side of these two
     joins; after the first, each row has a rule. A filter on a rule's column above them would make the second an inner join.
     """
